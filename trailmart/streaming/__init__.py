@@ -1,0 +1 @@
+"""Intentionally empty: the workload is a full batch reload, nothing here is a stream."""
