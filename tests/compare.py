@@ -1,0 +1,53 @@
+"""Run a registered query and its SQL oracle and compare values row by row."""
+
+from __future__ import annotations
+
+import datetime
+import decimal
+import glob
+import os
+
+import duckdb
+
+
+def plain(value):
+    if isinstance(value, decimal.Decimal):
+        return float(value)
+    if isinstance(value, datetime.datetime) and value.tzinfo is not None:
+        return value.astimezone(datetime.timezone.utc).replace(tzinfo=None)
+    return value
+
+
+def table(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    values = [tuple(plain(row[i]) for i in order) for row in rows]
+    return [columns[i] for i in order], sorted(values, key=lambda row: tuple((v is not None, str(v)) for v in row))
+
+
+def duck(sf_dir: str):
+    connection = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        source = f"{path}/*.parquet" if os.path.isdir(path) else path
+        connection.execute(f"create view {name} as select * from '{source}'")
+    return connection
+
+
+def differences(df, connection, sql: str) -> list[str]:
+    """Readable differences between a Spark result and the SQL result; empty if equal."""
+    columns, rows = table(df.columns, [tuple(row) for row in df.collect()])
+    cursor = connection.execute(sql)
+    names = [item[0] for item in cursor.description]
+    expected_columns, expected = table(names, cursor.fetchall())
+    if columns != expected_columns:
+        return [f"columns {columns} != {expected_columns}"]
+    found = []
+    if len(rows) != len(expected):
+        found.append(f"rows {len(rows)} != {len(expected)}")
+    for mine, theirs in zip(rows, expected, strict=False):
+        if mine != theirs:
+            cells = [(c, m, t) for c, m, t in zip(columns, mine, theirs, strict=True) if m != t]
+            found.append(f"{cells[:4]}")
+            if len(found) > 4:
+                break
+    return found

@@ -1,29 +1,28 @@
-"""Text cleaning rules and the hash bucket used for assignment and sampling."""
+"""Text cleaning rules and the hash bucket used for assignment and sampling.
 
-from __future__ import annotations
+The rules are SQL expressions over a column name.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from trailmart.schemas import UNKNOWN
 
 
-def normalised(text: Column) -> Column:
-    return F.lower(F.trim(text))
+def normalised(name: str) -> str:
+    return f"lower(trim({name}))"
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(F.trim(text), F.lit(""))
+def empty_to_null(name: str) -> str:
+    return f"nullif({name}, '')"
 
 
-def known_or_unknown(text: Column) -> Column:
-    return F.coalesce(blank_to_null(text), F.lit(UNKNOWN))
+def known_or_unknown(name: str) -> str:
+    return f"coalesce(nullif(trim({name}), ''), '{UNKNOWN}')"
 
 
-def hash_bucket(key: Column, buckets: int = 100) -> Column:
+def hash_bucket(key: str, buckets: int = 100) -> str:
     """A stable bucket in ``[0, buckets)`` from the leading 32 bits of the MD5 of ``key``.
 
     The same key gets the same bucket on every run, engine and partitioning.
     """
-    head = F.substring(F.md5(key.cast("string")), 1, 8)
-    return (F.conv(head, 16, 10).cast("bigint") % buckets).cast("int")
+    return f"cast(cast(conv(substring(md5(cast({key} as string)), 1, 8), 16, 10) as bigint) % {buckets} as int)"

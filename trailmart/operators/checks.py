@@ -25,7 +25,7 @@ def event_time_range(events: DataFrame) -> DataFrame:
 
 
 def null_counts(events: DataFrame) -> DataFrame:
-    return events.agg(*(F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in NULL_CHECKED))
+    return events.agg(*(F.expr(f"count_if({name} is null) as null_{name}") for name in NULL_CHECKED))
 
 
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
@@ -37,6 +37,6 @@ def unknown_products(products: DataFrame) -> DataFrame:
     """Product count and how many lack a category or a brand, in one pass."""
     return products.agg(
         F.count(F.lit(1)).alias("total_products"),
-        F.count_if(F.col("category_code") == UNKNOWN).alias("unknown_categories"),
-        F.count_if(F.col("brand") == UNKNOWN).alias("unknown_brands"),
+        F.expr(f"count_if(category_code = '{UNKNOWN}') as unknown_categories"),
+        F.expr(f"count_if(brand = '{UNKNOWN}') as unknown_brands"),
     )

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmart.functions.calendar import day_name, is_weekend, month_name, period_start, weekday
-from trailmart.functions.rates import mean_minutes, micros_between, ratio, sum_micros
+from trailmart.functions.calendar import calendar_columns
+from trailmart.functions.rates import mean_minutes, micros, ratio, sum_micros
 from trailmart.functions.text import known_or_unknown
-from trailmart.operators.facts import event_counts, flag, is_type
-from trailmart.schemas import EVENT_TYPES, RATE, TOTAL, UNKNOWN
+from trailmart.operators.facts import event_counts
+from trailmart.schemas import EVENT_TYPES, TOTAL, UNKNOWN
 
 
 def dim_date(events: DataFrame) -> DataFrame:
@@ -18,69 +18,65 @@ def dim_date(events: DataFrame) -> DataFrame:
     The bounds are one aggregated row that is expanded in place: one scan, nothing
     returns to the driver.
     """
-    bounds = events.agg(
-        F.to_date(F.min("event_time")).alias("first_day"), F.to_date(F.max("event_time")).alias("last_day")
-    ).filter(F.col("first_day").isNotNull())
-    day = F.col("date_day")
-    return bounds.select(F.explode(F.expr("sequence(first_day, last_day, interval 1 day)")).alias("date_day")).select(
-        day,
-        F.dayofmonth(day).alias("day_of_month"),
-        F.month(day).alias("month_number"),
-        F.year(day).alias("year_number"),
-        F.quarter(day).alias("quarter_number"),
-        weekday(day).alias("day_of_week_number"),
-        day_name(day).alias("day_of_week_name"),
-        month_name(day).alias("month_name"),
-        *(period_start(unit, day).alias(f"{unit}_start_date") for unit in ("week", "month", "quarter", "year")),
-        is_weekend(day).alias("is_weekend"),
+    bounds = events.agg(F.expr("to_date(min(event_time)) as first"), F.expr("to_date(max(event_time)) as last"))
+    days = bounds.filter("first is not null").selectExpr(
+        "explode(sequence(first, last, interval 1 day)) as date_day"
     )
+    return days.select("date_day", *calendar_columns("date_day"))
 
 
 def dim_product(product_dim: DataFrame) -> DataFrame:
     """Products with blank or missing text replaced by ``unknown`` and flagged."""
-    named = product_dim.filter(F.col("product_id").isNotNull()).withColumns(
-        {name: known_or_unknown(F.col(name)) for name in ("category_code", "brand")}
+    named = product_dim.filter("product_id is not null").selectExpr(
+        "product_id",
+        "category_id",
+        f"{known_or_unknown('category_code')} as category_code",
+        f"{known_or_unknown('brand')} as brand",
+        "source_system",
+        "loaded_at",
     )
-    return named.select(
+    return named.selectExpr(
         "product_id",
         "category_id",
         "category_code",
         "brand",
-        flag(F.col("category_code") == UNKNOWN).alias("is_unknown_category"),
-        flag(F.col("brand") == UNKNOWN).alias("is_unknown_brand"),
+        f"if(category_code = '{UNKNOWN}', 1, 0) as is_unknown_category",
+        f"if(brand = '{UNKNOWN}', 1, 0) as is_unknown_brand",
         "source_system",
         "loaded_at",
     )
 
 
-def user_segment() -> Column:
-    """First match wins: bought, carted, viewed, other."""
-    return (
-        F.when(F.col("conversion_count") > 0, "purchaser")
-        .when(F.col("has_ever_carted") == 1, "carted_not_purchased")
-        .when(F.col("has_ever_viewed") == 1, "viewer_only")
-        .otherwise("other")
-    )
+def or_zero(value: Column, name: str) -> Column:
+    return F.coalesce(value, F.lit(0)).alias(name)
 
 
 def sessions_by_user(sessions: DataFrame) -> DataFrame:
     """Session totals per owning user; durations stay exact until they are divided."""
     return sessions.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("owned_sessions"),
-        sum_micros(micros_between(F.col("session_start"), F.col("session_end"))).alias("owned_micros"),
+        F.expr(f"{sum_micros(micros('session_start', 'session_end'))} as owned_micros"),
         F.sum("events_in_session").alias("owned_events"),
         *(F.sum(f"has_{kind}").alias(f"{kind}_sessions") for kind in EVENT_TYPES),
     )
 
 
-def owned_session_means() -> dict[str, Column]:
-    """Zero-filled session count and means over the columns of ``sessions_by_user``."""
-    owned, zero = F.col("owned_sessions"), F.lit(0).cast(RATE)
-    return {
-        "session_count": F.coalesce(owned, F.lit(0)),
-        "avg_session_duration_minutes": F.coalesce(mean_minutes(F.col("owned_micros"), owned), zero),
-        "avg_events_per_session": F.coalesce(ratio(F.col("owned_events"), owned), zero),
-    }
+def owned_session_means() -> list[Column]:
+    """Zero-filled means over the columns of ``sessions_by_user``."""
+    return [
+        or_zero(mean_minutes("owned_micros", "owned_sessions"), "avg_session_duration_minutes"),
+        or_zero(ratio("owned_events", "owned_sessions"), "avg_events_per_session"),
+    ]
+
+
+def user_segment() -> Column:
+    """First match wins: bought, carted, viewed, other."""
+    return (
+        F.when(F.col("conversion_count") > 0, "purchaser")
+        .when(F.col("has_ever_carted") == 1, "carted_not_purchased")
+        .when(F.col("has_ever_viewed") == 1, "viewer_only")
+        .otherwise("other")
+    )
 
 
 def dim_user(events: DataFrame, sessions: DataFrame) -> DataFrame:
@@ -95,7 +91,7 @@ def dim_user(events: DataFrame, sessions: DataFrame) -> DataFrame:
     by the same key, so it adds no exchange of its own and each side has one row per
     user, whatever the skew of the inputs.
     """
-    paid = F.when(is_type("purchase"), F.col("price"))
+    paid = "if(event_type = 'purchase', price, null)"
     activity = events.groupBy("user_id").agg(
         F.min("event_time").alias("first_seen_at"),
         F.max("event_time").alias("last_seen_at"),
@@ -103,10 +99,9 @@ def dim_user(events: DataFrame, sessions: DataFrame) -> DataFrame:
         F.countDistinct("user_session").alias("total_sessions"),
         F.countDistinct("product_id").alias("total_products_interacted"),
         *event_counts(prefix="total_"),
-        F.sum(paid).cast(TOTAL).alias("revenue"),
-        F.count(paid).alias("priced_purchases"),
+        F.expr(f"cast(sum({paid}) as {TOTAL}) as revenue"),
+        F.expr(f"count({paid}) as priced_purchases"),
     )
-    ever = {"view": "has_ever_viewed", "cart": "has_ever_carted", "purchase": "has_ever_purchased"}
     profile = activity.join(sessions_by_user(sessions), "user_id", "left").select(
         "user_id",
         "first_seen_at",
@@ -119,10 +114,13 @@ def dim_user(events: DataFrame, sessions: DataFrame) -> DataFrame:
         "total_view_events",
         "total_cart_events",
         "total_purchase_events",
-        *(value.alias(name) for name, value in owned_session_means().items()),
-        *(flag(F.col(f"{kind}_sessions") > 0).alias(name) for kind, name in ever.items()),
+        or_zero("owned_sessions", "session_count"),
+        *owned_session_means(),
+        F.expr("if(view_sessions > 0, 1, 0) as has_ever_viewed"),
+        F.expr("if(cart_sessions > 0, 1, 0) as has_ever_carted"),
+        F.expr("if(purchase_sessions > 0, 1, 0) as has_ever_purchased"),
         F.col("total_purchase_events").alias("conversion_count"),
-        F.coalesce("revenue", F.lit(0).cast(TOTAL)).alias("total_revenue"),
-        F.coalesce(ratio(F.col("revenue"), F.col("priced_purchases")), F.lit(0).cast(RATE)).alias("avg_purchase_value"),
+        F.expr(f"coalesce(revenue, cast(0 as {TOTAL})) as total_revenue"),
+        or_zero(ratio("revenue", "priced_purchases"), "avg_purchase_value"),
     )
     return profile.select("*", user_segment().alias("user_segment"))

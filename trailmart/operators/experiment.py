@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trailmart.functions.rates import lift, pct, ratio
 from trailmart.functions.text import hash_bucket
-from trailmart.operators.dimensions import owned_session_means, sessions_by_user
+from trailmart.operators.dimensions import or_zero, owned_session_means, sessions_by_user
 from trailmart.schemas import EXPERIMENT_NAME, TOTAL
 
 # Rounded metrics that are compared with control, with the name of their lift.
@@ -25,12 +25,12 @@ def assign_variants(
     users: DataFrame, experiment: str = EXPERIMENT_NAME, control_share: int = 50, extra: tuple[str, ...] = ()
 ) -> DataFrame:
     """Bucket 0-99 per user; buckets below ``control_share`` form the control group."""
-    bucket = hash_bucket(F.col("user_id"))
-    return users.select(
+    bucketed = users.selectExpr("*", f"{hash_bucket('user_id')} as assignment_bucket")
+    return bucketed.select(
         "user_id",
         F.lit(experiment).alias("experiment_name"),
-        F.when(bucket < control_share, "control").otherwise("treatment").alias("experiment_variant"),
-        bucket.alias("assignment_bucket"),
+        F.expr(f"if(assignment_bucket < {control_share}, 'control', 'treatment') as experiment_variant"),
+        "assignment_bucket",
         F.col("first_seen_date").alias("assigned_date"),
         *extra,
     )
@@ -44,23 +44,20 @@ def user_metrics(users: DataFrame, sessions: DataFrame) -> DataFrame:
     """
     carried = ("conversion_count", "total_revenue", "avg_purchase_value")
     assigned = assign_variants(users, extra=carried)
-    means = owned_session_means()
-    none = F.lit(0).cast("bigint")
     return assigned.join(sessions_by_user(sessions), "user_id", "left").select(
         "experiment_name",
         "experiment_variant",
         "assignment_bucket",
         "assigned_date",
         "user_id",
-        means["session_count"].alias("total_sessions"),
-        means["avg_session_duration_minutes"].alias("avg_session_duration_minutes"),
-        means["avg_events_per_session"].alias("avg_events_per_session"),
-        F.coalesce("cart_sessions", none).alias("sessions_with_cart"),
-        F.coalesce("purchase_sessions", none).alias("sessions_with_purchase"),
+        or_zero("owned_sessions", "total_sessions"),
+        *owned_session_means(),
+        or_zero("cart_sessions", "sessions_with_cart"),
+        or_zero("purchase_sessions", "sessions_with_purchase"),
         F.col("conversion_count").alias("purchase_events"),
         "total_revenue",
         "avg_purchase_value",
-        F.when(F.col("conversion_count") > 0, 1).otherwise(0).alias("is_purchaser"),
+        F.expr("if(conversion_count > 0, 1, 0) as is_purchaser"),
     )
 
 
@@ -81,7 +78,6 @@ def variant_summary(per_user: DataFrame) -> DataFrame:
         F.sum("avg_session_duration_minutes").alias("duration_sum"),
         F.sum("avg_events_per_session").alias("events_sum"),
     )
-    users, sessions, revenue = F.col("users"), F.col("sessions"), F.col("total_revenue")
     return totals.select(
         "experiment_name",
         "experiment_variant",
@@ -92,14 +88,14 @@ def variant_summary(per_user: DataFrame) -> DataFrame:
         "purchasers",
         "purchase_events",
         "total_revenue",
-        pct(F.col("purchasers"), users).alias("user_conversion_rate"),
-        pct(F.col("sessions_with_cart"), sessions).alias("session_cart_rate"),
-        pct(F.col("sessions_with_purchase"), sessions).alias("session_purchase_rate"),
-        ratio(revenue, users).alias("revenue_per_user"),
-        ratio(revenue, sessions).alias("revenue_per_session"),
-        ratio(revenue, F.col("purchase_events")).alias("avg_purchase_value"),
-        ratio(F.col("duration_sum"), users).alias("avg_session_duration_minutes"),
-        ratio(F.col("events_sum"), users).alias("avg_events_per_session"),
+        pct("purchasers", "users").alias("user_conversion_rate"),
+        pct("sessions_with_cart", "sessions").alias("session_cart_rate"),
+        pct("sessions_with_purchase", "sessions").alias("session_purchase_rate"),
+        ratio("total_revenue", "users").alias("revenue_per_user"),
+        ratio("total_revenue", "sessions").alias("revenue_per_session"),
+        ratio("total_revenue", "purchase_events").alias("avg_purchase_value"),
+        ratio("duration_sum", "users").alias("avg_session_duration_minutes"),
+        ratio("events_sum", "users").alias("avg_events_per_session"),
     )
 
 
@@ -127,7 +123,7 @@ def lift_against_control(summary: DataFrame) -> DataFrame:
     siblings = Window.partitionBy("experiment_name")
     return summary.withColumn("control", control.over(siblings)).select(
         *summary.columns,
-        *(lift(F.col(name), F.col(f"control.{name}")).alias(alias) for name, alias in LIFTS.items()),
+        *(lift(name, f"control.{name}").alias(alias) for name, alias in LIFTS.items()),
         result_status().alias("experiment_result_status"),
     )
 

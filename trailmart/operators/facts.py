@@ -5,23 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trailmart.functions.rates import MICROS_PER_MINUTE, micros_between, pct
+from trailmart.functions.rates import minutes, pct
 from trailmart.schemas import EVENT_TYPES, MONEY, TOTAL
 
-
-def is_type(kind: str) -> Column:
-    return F.col("event_type") == kind
-
-
-def event_counts(suffix: str = "_events", prefix: str = "") -> list[Column]:
-    """One conditional count per event type, e.g. ``view_events``."""
-    return [F.count_if(is_type(kind)).alias(f"{prefix}{kind}{suffix}") for kind in EVENT_TYPES]
-
-
-def flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
-
-
 # Fixed labels, keyed by 4 * has_view + 2 * has_cart + has_purchase.
 JOURNEY_BY_CODE = {
     7: "view_cart_purchase",
@@ -33,13 +19,20 @@ JOURNEY_BY_CODE = {
 }
 
 
+def event_counts(suffix: str = "_events", prefix: str = "") -> list[Column]:
+    """One conditional count per event type, e.g. ``view_events``."""
+    return [F.expr(f"count_if(event_type = '{kind}') as {prefix}{kind}{suffix}") for kind in EVENT_TYPES]
+
+
+def type_flags() -> list[Column]:
+    """0/1 per event type from the counts, e.g. ``has_view``."""
+    return [F.expr(f"if({kind}_events > 0, 1, 0) as has_{kind}") for kind in EVENT_TYPES]
+
+
 def journey_pattern() -> Column:
     """Label of the (view, cart, purchase) combination a session shows, in any order."""
-    code = F.col("has_view") * 4 + F.col("has_cart") * 2 + F.col("has_purchase")
-    label = F
-    for value, name in JOURNEY_BY_CODE.items():
-        label = label.when(code == value, name)
-    return label.otherwise("other")
+    cases = " ".join(f"when {code} then '{label}'" for code, label in JOURNEY_BY_CODE.items())
+    return F.expr(f"case 4 * has_view + 2 * has_cart + has_purchase {cases} else 'other' end as journey_pattern")
 
 
 def fact_sessions(events: DataFrame) -> DataFrame:
@@ -50,9 +43,8 @@ def fact_sessions(events: DataFrame) -> DataFrame:
     holding a large share of all events is spread over many tasks. Flags follow from
     the counts and need no aggregate of their own.
     """
-    paid = F.when(is_type("purchase"), F.col("price")).otherwise(F.lit(0).cast(MONEY))
     per_session = (
-        events.filter(F.col("user_session").isNotNull())
+        events.filter("user_session is not null")
         .groupBy("user_session")
         .agg(
             F.min("user_id").alias("user_id"),
@@ -61,16 +53,11 @@ def fact_sessions(events: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("events_in_session"),
             F.countDistinct("product_id").alias("unique_products_viewed"),
             *event_counts(),
-            F.sum(paid).cast(TOTAL).alias("session_revenue"),
+            F.expr(f"cast(sum(if(event_type = 'purchase', price, cast(0 as {MONEY}))) as {TOTAL}) as session_revenue"),
         )
     )
-    minutes = micros_between(F.col("session_start"), F.col("session_end")) / F.lit(float(MICROS_PER_MINUTE))
-    flagged = per_session.select(
-        "*",
-        minutes.alias("session_duration_minutes"),
-        *(flag(F.col(f"{kind}_events") > 0).alias(f"has_{kind}") for kind in EVENT_TYPES),
-    )
-    return flagged.select(
+    length = minutes("session_start", "session_end").alias("session_duration_minutes")
+    return per_session.select("*", length, *type_flags()).select(
         "user_session",
         "user_id",
         "session_start",
@@ -85,14 +72,14 @@ def fact_sessions(events: DataFrame) -> DataFrame:
         "cart_events",
         "purchase_events",
         "session_revenue",
-        journey_pattern().alias("journey_pattern"),
+        journey_pattern(),
     )
 
 
 def fact_conversions(events: DataFrame) -> DataFrame:
     """One row per purchase event; a missing price is kept and flagged."""
-    return events.filter(is_type("purchase")).select(
-        F.col("event_id").alias("conversion_id"),
+    return events.filter("event_type = 'purchase'").selectExpr(
+        "event_id as conversion_id",
         "event_time",
         "event_date",
         "event_hour",
@@ -102,38 +89,37 @@ def fact_conversions(events: DataFrame) -> DataFrame:
         "user_session",
         "product_id",
         "category_id",
-        F.col("price").alias("revenue"),
-        flag(F.col("price").isNull()).alias("is_missing_revenue"),
+        "price as revenue",
+        "if(price is null, 1, 0) as is_missing_revenue",
         "source_file",
         "loaded_at",
     )
 
 
-def funnel_rates(view: str, cart: str, purchase: str, prefix: str) -> list[Column]:
-    """The three step rates of one funnel, named ``<prefix>_view_to_cart_rate`` and so on."""
-    steps = {"view": F.col(view), "cart": F.col(cart), "purchase": F.col(purchase)}
-    pairs = (("view", "cart"), ("cart", "purchase"), ("view", "purchase"))
-    return [pct(steps[to], steps[of]).alias(f"{prefix}_{of}_to_{to}_rate") for of, to in pairs]
+def step_rates(view: str, cart: str, purchase: str, prefix: str = "") -> list[Column]:
+    """The three step rates of one funnel, named ``<prefix>view_to_cart_rate`` and so on."""
+    counts = {"view": view, "cart": cart, "purchase": purchase}
+    steps = (("view", "cart"), ("cart", "purchase"), ("view", "purchase"))
+    return [pct(counts[to], counts[of]).alias(f"{prefix}{of}_to_{to}_rate") for of, to in steps]
 
 
 def fact_funnel_steps(events: DataFrame) -> DataFrame:
     """One row per day with event, user and session counts and step rates.
 
-    Steps are independent, so a rate may exceed 100.
+    Steps are independent, so a rate may exceed 100. The conditional distinct counts
+    share one pass: Spark reduces the events to one row per day and user and one per
+    day and session, each spread by its own key, before anything is grouped by day.
     """
-    session = "count(distinct user_session)"
+    distinct = "count(distinct user_session)"
     daily = events.groupBy("event_date").agg(
         F.count(F.lit(1)).alias("total_events"),
         F.countDistinct("user_id").alias("active_users"),
         F.countDistinct("user_session").alias("sessions"),
         *event_counts(),
-        *(
-            F.expr(f"{session} filter (where event_type = '{kind}')").alias(f"sessions_with_{kind}")
-            for kind in EVENT_TYPES
-        ),
+        *(F.expr(f"{distinct} filter (where event_type = '{k}') as sessions_with_{k}") for k in EVENT_TYPES),
     )
     return daily.select(
         "*",
-        *funnel_rates("view_events", "cart_events", "purchase_events", "event"),
-        *funnel_rates("sessions_with_view", "sessions_with_cart", "sessions_with_purchase", "session"),
+        *step_rates("view_events", "cart_events", "purchase_events", "event_"),
+        *step_rates("sessions_with_view", "sessions_with_cart", "sessions_with_purchase", "session_"),
     )

@@ -25,7 +25,7 @@ def daily_revenue(conversions: DataFrame) -> DataFrame:
         F.countDistinct("user_id").alias("purchasing_users"),
         F.countDistinct("user_session").alias("purchasing_sessions"),
         F.sum("revenue").cast(TOTAL).alias("total_revenue"),
-        ratio(F.sum("revenue"), F.count("revenue")).cast(MONEY).alias("avg_purchase_value"),
+        ratio("sum(revenue)", "count(revenue)").cast(MONEY).alias("avg_purchase_value"),
     )
 
 
@@ -50,20 +50,8 @@ def mart_growth_daily(funnel: DataFrame, conversions: DataFrame, dates: DataFram
         "is_weekend",
     )
     steps = funnel.withColumnRenamed("purchase_events", "funnel_purchase_events")
-    no_count, no_total = F.lit(0).cast("bigint"), F.lit(0).cast(TOTAL)
-    filled = (
-        steps.join(revenue, "event_date", "left")
-        .join(calendar, "event_date", "left")
-        .withColumns(
-            {
-                **{
-                    name: F.coalesce(name, no_count)
-                    for name in ("purchase_events", "purchasing_users", "purchasing_sessions")
-                },
-                "total_revenue": F.coalesce("total_revenue", no_total),
-                "avg_purchase_value": F.coalesce("avg_purchase_value", F.lit(0).cast(MONEY)),
-            }
-        )
+    filled = steps.join(revenue, "event_date", "left").join(calendar, "event_date", "left").na.fill(
+        0, [name for name in revenue.columns if name != "event_date"]
     )
     return filled.select(
         *calendar.columns,
@@ -82,9 +70,9 @@ def mart_growth_daily(funnel: DataFrame, conversions: DataFrame, dates: DataFram
         "sessions_with_cart",
         "sessions_with_purchase",
         *(name for name in funnel.columns if name.endswith("_rate")),
-        ratio(F.col("total_revenue"), F.col("active_users")).alias("revenue_per_active_user"),
-        ratio(F.col("total_revenue"), F.col("sessions")).alias("revenue_per_session"),
-        pct(F.col("purchase_events"), F.col("sessions")).alias("purchase_events_per_session_pct"),
+        ratio("total_revenue", "active_users").alias("revenue_per_active_user"),
+        ratio("total_revenue", "sessions").alias("revenue_per_session"),
+        pct("purchase_events", "sessions").alias("purchase_events_per_session_pct"),
     )
 
 
@@ -102,16 +90,14 @@ def mart_revenue_attribution(conversions: DataFrame, products: DataFrame) -> Dat
     sold = conversions.select(
         "event_date", "event_month", "product_id", "category_id", "user_id", "user_session", "revenue"
     )
-    joined = sold.join(described, "product_id", "left").withColumns(
-        {name: F.coalesce(name, F.lit(UNKNOWN)) for name in ("category_code", "brand")}
-    )
+    joined = sold.join(described, "product_id", "left").na.fill(UNKNOWN, ["category_code", "brand"])
     return joined.groupBy(*ATTRIBUTION_KEYS).agg(
         F.count(F.lit(1)).alias("purchase_events"),
         F.countDistinct("user_id").alias("purchasing_users"),
         F.countDistinct("user_session").alias("purchasing_sessions"),
         F.countDistinct("product_id").alias("purchased_products"),
         F.sum("revenue").cast(TOTAL).alias("total_revenue"),
-        ratio(F.sum("revenue"), F.count("revenue")).cast(MONEY).alias("avg_purchase_value"),
+        ratio("sum(revenue)", "count(revenue)").cast(MONEY).alias("avg_purchase_value"),
         F.min("revenue").alias("min_purchase_value"),
         F.max("revenue").alias("max_purchase_value"),
     )

@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from trailmart.functions.rates import (
     MICROS_PER_MINUTE,
     mean_minutes,
-    micros_between,
+    micros,
+    minutes,
     pct,
     ratio,
     sum_micros,
 )
 from trailmart.functions.text import hash_bucket
-from trailmart.operators.facts import event_counts, flag, is_type, journey_pattern
+from trailmart.operators.facts import event_counts, journey_pattern, step_rates, type_flags
 from trailmart.schemas import EVENT_TYPES, TOTAL, UNKNOWN
 
 PRICE_QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
@@ -28,44 +29,28 @@ def as_rows(one_row: DataFrame, columns: list[str], key: str, value: str) -> Dat
 
 def missing_values(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Missing count and share per column, most missing first; one pass."""
-    rows = F.count(F.lit(1))
-    report = df.agg(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(name).alias("field"),
-                    F.count_if(F.col(name).isNull()).alias("missing_count"),
-                    pct(F.count_if(F.col(name).isNull()), rows).alias("missing_pct"),
-                )
-                for name in columns
-            )
-        ).alias("report")
+    missing = df.agg(
+        F.count(F.lit(1)).alias("total"), *(F.expr(f"count_if({name} is null) as {name}") for name in columns)
     )
-    return report.select(F.inline("report")).orderBy(F.desc("missing_count"), "field")
+    cells = ", ".join(f"struct('{name}' as field, {name} as missing_count)" for name in columns)
+    report = missing.selectExpr("total", f"inline(array({cells}))")
+    shares = report.select("field", "missing_count", pct("missing_count", "total").alias("missing_pct"))
+    return shares.orderBy(F.desc("missing_count"), "field")
 
 
 def metadata_quality(df: DataFrame, columns: tuple[str, ...] = ("category_code", "brand")) -> DataFrame:
     """Missing values plus the number of distinct values of descriptive columns."""
-    rows = F.count(F.lit(1))
     report = df.agg(
-        *(F.count_if(F.col(name).isNull()).alias(f"{name}_missing") for name in columns),
-        *(pct(F.count_if(F.col(name).isNull()), rows).alias(f"{name}_pct") for name in columns),
-        *(F.countDistinct(name).alias(f"{name}_distinct") for name in columns),
+        F.count(F.lit(1)).alias("total"),
+        *(F.expr(f"count_if({name} is null) as {name}_missing") for name in columns),
+        *(F.countDistinct(name).alias(f"{name}_values") for name in columns),
     )
-    return report.select(
-        F.inline(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(name).alias("field"),
-                        F.col(f"{name}_missing").alias("missing_count"),
-                        F.col(f"{name}_pct").alias("missing_pct"),
-                        F.col(f"{name}_distinct").alias("unique_non_null_values"),
-                    )
-                    for name in columns
-                )
-            )
-        )
+    cells = ", ".join(
+        f"struct('{name}' as field, {name}_missing as missing_count, {name}_values as unique_non_null_values)"
+        for name in columns
+    )
+    return report.selectExpr("total", f"inline(array({cells}))").select(
+        "field", "missing_count", pct("missing_count", "total").alias("missing_pct"), "unique_non_null_values"
     )
 
 
@@ -74,9 +59,10 @@ def value_counts(df: DataFrame, column: str, count: str, share: str) -> DataFram
 
     The total is a scalar subquery over the counts, not a window over one partition.
     """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(count))
-    total = counts.agg(F.sum(count)).scalar()
-    return counts.withColumn(share, pct(F.col(count), total)).orderBy(F.desc(count), column)
+    counts = df.filter(f"{column} is not null").groupBy(column).agg(F.count(F.lit(1)).alias(count))
+    total = counts.agg(F.sum(count)).scalar().alias("total")
+    shares = counts.select("*", total).select(column, count, pct(count, "total").alias(share))
+    return shares.orderBy(F.desc(count), column)
 
 
 def time_profile(landing_text: DataFrame) -> DataFrame:
@@ -127,9 +113,8 @@ def top_values(df: DataFrame, column: str, k: int = 15) -> DataFrame:
     return counts.orderBy(F.desc("event_count"), column).limit(k)
 
 
-def magnitude(value: Column) -> Column:
-    """Bucket of a whole number: order-preserving, about 0.07 % wide, at most 131 072 of them."""
-    return (F.signum(value) * F.floor(F.log2(F.abs(value).cast("double") + 1) * 1024)).cast("int")
+# Order-preserving bucket of a whole number, about 0.07 % wide, at most 131 072 of them.
+MAGNITUDE = "cast(signum(v) * floor(log2(abs(cast(v as double)) + 1) * 1024) as int)"
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...]) -> DataFrame:
@@ -140,48 +125,40 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...]
     ranks, and only values of those few buckets are counted one by one in a second
     pass. No task ever sees all values, and repeated values travel as one row.
     """
-    values = df.filter(F.col(column).isNotNull()).select(F.col(column).cast("bigint").alias("v"))
-    buckets = values.groupBy(magnitude(F.col("v")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    values = df.filter(f"{column} is not null").selectExpr(f"cast({column} as bigint) as v")
+    values = values.selectExpr("v", f"{MAGNITUDE} as bucket")
+    buckets = values.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     running = "sum(n) over (order by bucket)"
-    placed = buckets.select(
-        "bucket",
-        F.expr(f"{running} - n").alias("before"),
-        F.expr(running).alias("upto"),
-        F.expr("sum(n) over ()").alias("total"),
+    placed = buckets.selectExpr(
+        "bucket", f"{running} - n as before", f"{running} as upto", "sum(n) over () as total"
     )
-    # Rank position p * (total - 1); its floor and ceiling are the two ranks needed.
-    wanted = F.array(*(F.lit(p).cast("decimal(8,6)") for p in probabilities))
-    position = F.col("p") * (F.col("total") - 1).cast("decimal(20,0)")
+    # The wanted position is p * (total - 1); values are needed at its floor and its ceiling.
+    wanted = ", ".join(f"cast({p} as decimal(8,6))" for p in probabilities)
     ranks = (
-        placed.select("bucket", "before", "upto", "total", F.explode(wanted).alias("p"))
-        .select("*", position.alias("position"))
-        .select("*", F.explode(F.array(F.floor("position"), F.ceil("position"))).alias("rank"))
-        .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
-        .select("bucket", "before", "p", "position", F.col("rank").cast("bigint").alias("rank"))
-        .distinct()
+        placed.selectExpr("*", f"explode(array({wanted})) as p")
+        .selectExpr("*", "p * cast(total - 1 as decimal(20,0)) as position")
+        .selectExpr("*", "explode(array_distinct(array(floor(position), ceil(position)))) as rank")
+        .filter("rank >= before and rank < upto")
+        .select("bucket", "before", "p", "position", "rank")
     )
+    # At most two ranks per probability, so both broadcasts are a handful of rows.
     needed = ranks.select("bucket", "before").distinct()
     points = (
-        values.withColumn("bucket", magnitude(F.col("v")))
-        .join(F.broadcast(needed), "bucket")
+        values.join(F.broadcast(needed), "bucket")
         .groupBy("bucket", "before", "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     inside = "sum(n) over (partition by bucket order by v)"
-    located = points.select(
-        "bucket",
-        "v",
-        F.expr(f"before + {inside} - n").alias("from_rank"),
-        F.expr(f"before + {inside}").alias("to_rank"),
+    located = points.selectExpr(
+        "bucket", "v", f"before + {inside} - n as from_rank", f"before + {inside} as to_rank"
     )
-    hit = located.join(F.broadcast(ranks), "bucket").filter(
-        (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank"))
+    hit = located.join(F.broadcast(ranks), "bucket").filter("rank >= from_rank and rank < to_rank")
+    ends = hit.groupBy("p", "position").agg(
+        F.expr("cast(min(v) as decimal(20,0)) as low"), F.expr("cast(max(v) as decimal(20,0)) as high")
     )
-    low, high = F.min("v").cast("decimal(20,0)"), F.max("v").cast("decimal(20,0)")
-    fraction = (F.col("position") - F.floor("position")).cast("decimal(7,6)")
-    return hit.groupBy("p", "position").agg(low.alias("low"), high.alias("high")).select(
-        F.col("p").alias("probability"),
-        (F.col("low") + fraction * (F.col("high") - F.col("low"))).cast("decimal(28,6)").alias("value"),
+    return ends.selectExpr(
+        "p as probability",
+        "cast(low + cast(position - floor(position) as decimal(7,6)) * (high - low) as decimal(28,6)) as value",
     )
 
 
@@ -220,17 +197,16 @@ PURCHASE_METRICS = [
 
 
 def purchase_summary(events: DataFrame) -> DataFrame:
-    price = F.col("price")
     numbers = (
         F.count(F.lit(1)),
         F.countDistinct("user_id"),
         F.countDistinct("user_session"),
-        F.sum(price),
-        ratio(F.sum(price), F.count(price)),
-        F.min(price),
-        F.max(price),
+        F.sum("price"),
+        ratio("sum(price)", "count(price)"),
+        F.min("price"),
+        F.max("price"),
     )
-    one = events.filter(is_type("purchase")).agg(
+    one = events.filter("event_type = 'purchase'").agg(
         *(value.cast(TOTAL).alias(name) for name, value in zip(PURCHASE_METRICS, numbers, strict=True))
     )
     return as_rows(one, PURCHASE_METRICS, "metric", "value")
@@ -274,37 +250,24 @@ def histogram(events: DataFrame, bins: int = 50, up_to: float | None = None) ->
 
 def event_funnel(events: DataFrame) -> DataFrame:
     """Events per step in funnel order with their share of views."""
-    one = events.agg(*event_counts(suffix=""))
-    steps = F.array(
-        *(
-            F.struct(
-                F.lit(position).alias("step_number"),
-                F.lit(kind).alias("funnel_step"),
-                F.col(kind).alias("event_count"),
-                pct(F.col(kind), F.col("view")).alias("pct_of_views"),
-            )
-            for position, kind in enumerate(EVENT_TYPES, start=1)
-        )
+    steps = ", ".join(
+        f"struct({position} as step_number, '{kind}' as funnel_step, {kind} as event_count)"
+        for position, kind in enumerate(EVENT_TYPES, start=1)
     )
-    return one.select(F.inline(steps))
+    counts = events.agg(*event_counts(suffix="")).selectExpr("view", f"inline(array({steps}))")
+    share = pct("event_count", "view").alias("pct_of_views")
+    return counts.select("step_number", "funnel_step", "event_count", share)
 
 
 def event_funnel_rates(events: DataFrame) -> DataFrame:
-    rates = [rate.alias(name) for rate, name in _named_rates(EVENT_TYPES, "")]
-    one = events.agg(*event_counts(suffix="")).select(*rates)
+    one = events.agg(*event_counts(suffix="")).select(*step_rates(*EVENT_TYPES))
     return as_rows(one, one.columns, "metric", "value_pct")
 
 
-def _named_rates(columns: tuple[str, ...], prefix: str) -> list[tuple[Column, str]]:
-    view, cart, purchase = columns
-    steps = (("view_to_cart", view, cart), ("cart_to_purchase", cart, purchase), ("view_to_purchase", view, purchase))
-    return [(pct(F.col(to), F.col(of)), f"{prefix}{name}_rate") for name, of, to in steps]
-
-
 def session_profile(events: DataFrame) -> DataFrame:
     """One row per session of the untyped funnel: any event type counts as an event."""
     per_session = (
-        events.filter(F.col("user_session").isNotNull())
+        events.filter("user_session is not null")
         .groupBy("user_session")
         .agg(
             F.min("user_id").alias("user_id"),
@@ -314,16 +277,16 @@ def session_profile(events: DataFrame) -> DataFrame:
             *event_counts(),
         )
     )
-    duration = micros_between(F.col("session_start"), F.col("session_end")) / F.lit(float(MICROS_PER_MINUTE))
-    return per_session.select(
+    flagged = per_session.select(
         "user_session",
         "user_id",
         "session_start",
         "session_end",
         "events_in_session",
-        *(flag(F.col(f"{kind}_events") > 0).alias(f"has_{kind}") for kind in EVENT_TYPES),
-        duration.alias("session_duration_minutes"),
-    ).withColumn("journey_pattern", journey_pattern())
+        *type_flags(),
+        minutes("session_start", "session_end").alias("session_duration_minutes"),
+    )
+    return flagged.select("*", journey_pattern())
 
 
 # Metrics of the session summary, in order.
@@ -338,13 +301,12 @@ SESSION_METRICS = [
 
 def session_totals(sessions: DataFrame) -> DataFrame:
     """Session counts and means as one row, from session rows."""
-    n = F.count(F.lit(1))
-    span = micros_between(F.col("session_start"), F.col("session_end"))
+    span = micros("session_start", "session_end")
     return sessions.agg(
-        n.alias("total_sessions"),
+        F.count(F.lit(1)).alias("total_sessions"),
         *(F.sum(f"has_{kind}").alias(f"sessions_with_{kind}") for kind in EVENT_TYPES),
-        ratio(F.sum("events_in_session"), n).alias("avg_events_per_session"),
-        mean_minutes(sum_micros(span), F.count(span)).alias("avg_session_duration_minutes"),
+        ratio("sum(events_in_session)", "count(1)").alias("avg_events_per_session"),
+        mean_minutes(sum_micros(span), f"count({span})").alias("avg_session_duration_minutes"),
     )
 
 
@@ -357,9 +319,7 @@ def session_summary_with_medians(sessions: DataFrame) -> DataFrame:
     """The session summary plus mean duration and exact medians of events and duration."""
     names = [*SESSION_METRICS, "avg_session_duration_minutes"]
     one = session_totals(sessions).select(*(F.col(name).cast(TOTAL).alias(name) for name in names))
-    spans = sessions.select(
-        "events_in_session", micros_between(F.col("session_start"), F.col("session_end")).alias("span")
-    )
+    spans = sessions.selectExpr("events_in_session", f"{micros('session_start', 'session_end')} as span")
     medians = (
         ("median_events_per_session", "events_in_session", 1),
         ("median_session_duration_minutes", "span", MICROS_PER_MINUTE),
@@ -373,10 +333,8 @@ def session_summary_with_medians(sessions: DataFrame) -> DataFrame:
 
 
 def session_funnel_rates(sessions: DataFrame) -> DataFrame:
-    steps = tuple(f"sessions_with_{kind}" for kind in EVENT_TYPES)
-    one = session_totals(sessions).select(
-        *(rate.alias(name) for rate, name in _named_rates(steps, "session_"))
-    )
+    steps = (f"sessions_with_{kind}" for kind in EVENT_TYPES)
+    one = session_totals(sessions).select(*step_rates(*steps, prefix="session_"))
     return as_rows(one, one.columns, "metric", "value_pct")
 
 
@@ -387,4 +345,4 @@ def random_sample(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> Data
 
 def session_sample(events: DataFrame, one_in: int = 100) -> DataFrame:
     """All events of one in ``one_in`` sessions, chosen by a hash of the session id."""
-    return events.filter(hash_bucket(F.col("user_session"), one_in) == 0)
+    return events.filter(f"{hash_bucket('user_session', one_in)} = 0")

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmart.functions.text import empty_to_null
 from trailmart.schemas import (
     EVENT_TYPES,
     JOURNEY_PATTERNS,
@@ -153,37 +154,30 @@ ROW_CHECKS = {
 VALIDATED_COLUMNS = ("event_time", "event_type", "product_id", "price", "user_id")
 
 
-def row_rules(table: str) -> list[tuple[str, str, Column]]:
+def row_rules(table: str) -> list[tuple[str, str, str]]:
     """``(rule, column, violated)`` for everything one scan of ``table`` can decide."""
     declared = COLUMN_TESTS.get(table, {})
-    rules = [("not_null", name, F.col(name).isNull()) for name in declared.get("not_null", ())]
+    rules = [("not_null", name, f"{name} is null") for name in declared.get("not_null", ())]
     for name, values in declared.get("accepted_values", {}).items():
-        rules.append(("accepted_values", name, ~F.col(name).isin(*values)))
+        rules.append(("accepted_values", name, f"{name} not in {values}"))
     for name, condition in ROW_CHECKS.get(table, {}).items():
-        rules.append(("check", name, ~F.expr(condition)))
+        rules.append(("check", name, f"not ({condition})"))
     return rules
 
 
-def count_violations(df: DataFrame, table: str, rules: list[tuple[str, str, Column]]) -> DataFrame:
+def count_violations(df: DataFrame, table: str, rules: list[tuple[str, str, str]]) -> DataFrame:
     """One aggregated row with a counter per rule, turned into one row per rule."""
-    counters = [F.count_if(violated).alias(f"r{i}") for i, (_, _, violated) in enumerate(rules)]
-    results = F.array(
-        *(
-            F.struct(
-                F.lit(table).alias("table_name"),
-                F.lit(rule).alias("rule"),
-                F.lit(name).alias("column_name"),
-                F.col(f"r{i}").alias("failures"),
-            )
-            for i, (rule, name, _) in enumerate(rules)
-        )
+    counters = [F.expr(f"count_if({violated}) as r{i}") for i, (_, _, violated) in enumerate(rules)]
+    results = ", ".join(
+        f"struct('{table}' as table_name, '{rule}' as rule, '{name}' as column_name, r{i} as failures)"
+        for i, (rule, name, _) in enumerate(rules)
     )
-    return df.agg(*counters).select(F.inline(results))
+    return df.agg(*counters).selectExpr(f"inline(array({results}))")
 
 
 def duplicated_values(df: DataFrame, table: str, name: str) -> DataFrame:
     """Number of non-NULL values that occur more than once."""
-    repeated = df.filter(F.col(name).isNotNull()).groupBy(name).count().filter(F.col("count") > 1)
+    repeated = df.filter(f"{name} is not null").groupBy(name).count().filter("count > 1")
     return repeated.agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit(table).alias("table_name"), F.lit("unique").alias("rule"), F.lit(name).alias("column_name"), "failures"
     )
@@ -209,11 +203,16 @@ def gate(results: DataFrame) -> None:
         raise ValueError("data quality failures\n" + "\n".join(lines))
 
 
-def validate_columns(header: list[str]) -> tuple[list[str], list[str]]:
-    """Expected columns that are missing, and extra ones (reported, not an error)."""
-    missing = [name for name in LANDING_COLUMNS if name not in header]
-    extra = [name for name in header if name not in LANDING_COLUMNS]
-    return missing, extra
+def extra_columns(header: list[str]) -> list[str]:
+    """Columns nothing expects; they are reported, not an error."""
+    return [name for name in header if name not in LANDING_COLUMNS]
+
+
+def validate_header(landing: DataFrame, source: str = "landing") -> DataFrame:
+    """One ``required_column`` row per expected column; decided from the header, no data is read."""
+    rows = [(source, "required_column", name, int(name not in landing.columns)) for name in LANDING_COLUMNS]
+    schema = "table_name string, rule string, column_name string, failures bigint"
+    return landing.sparkSession.createDataFrame(rows, schema)
 
 
 def validate_landing(landing: DataFrame, source: str = "landing") -> DataFrame:
@@ -221,18 +220,21 @@ def validate_landing(landing: DataFrame, source: str = "landing") -> DataFrame:
 
     Every row is checked, in one scan.
     """
-    present = F.nullif(F.col("event_type"), F.lit(""))
-    rules = [("accepted_values", "event_type", ~present.isin(*EVENT_TYPES))]
-    rules += [
-        ("not_null", name, F.nullif(F.col(name), F.lit("")).isNull()) for name in VALIDATED_COLUMNS
-    ]
+    rules = [("accepted_values", "event_type", f"{empty_to_null('event_type')} not in {EVENT_TYPES}")]
+    rules += [("not_null", name, f"{empty_to_null(name)} is null") for name in VALIDATED_COLUMNS]
     return count_violations(landing, source, rules)
 
 
+def validate_file(landing: DataFrame, source: str = "landing") -> None:
+    """Header first, then contents; raises at the first stage that fails."""
+    gate(validate_header(landing, source))
+    gate(validate_landing(landing, source))
+
+
 def invalid_event_types(landing: DataFrame) -> DataFrame:
     """The distinct event types outside the accepted ones, with their number of rows."""
     return (
-        landing.filter(~F.nullif(F.col("event_type"), F.lit("")).isin(*EVENT_TYPES))
+        landing.filter(f"{empty_to_null('event_type')} not in {EVENT_TYPES}")
         .groupBy("event_type")
         .agg(F.count(F.lit(1)).alias("event_count"))
     )

@@ -3,37 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from trailmart.functions.calendar import period_start, weekday
-from trailmart.functions.text import blank_to_null, normalised
 from trailmart.schemas import EVENT_TYPES, MONEY
 
+REQUIRED = ("event_time", "event_type", "product_id", "user_id")
+
 
 def stg_events(raw_events: DataFrame) -> DataFrame:
     """Usable events with calendar parts; rows without price or session are kept.
 
     A narrow projection over one filter, so a consumer that needs three columns
-    scans three columns and the null checks reach the parquet reader.
+    scans three columns and the null checks reach the parquet reader. Weekdays count
+    from Sunday = 0.
     """
-    required = ("event_time", "event_type", "product_id", "user_id")
-    usable = normalised(F.col("event_type")).isin(*EVENT_TYPES)
-    for name in required:
-        usable = F.col(name).isNotNull() & usable
-    day = F.to_date("event_time")
-    return raw_events.filter(usable).select(
+    present = " and ".join(f"{name} is not null" for name in REQUIRED)
+    usable = raw_events.filter(f"{present} and lower(trim(event_type)) in {EVENT_TYPES}")
+    return usable.selectExpr(
         "event_id",
         "event_time",
-        day.alias("event_date"),
-        F.hour("event_time").alias("event_hour"),
-        weekday(day).alias("event_day_of_week"),
-        period_start("month", day).alias("event_month"),
-        normalised(F.col("event_type")).alias("event_type"),
+        "to_date(event_time) as event_date",
+        "hour(event_time) as event_hour",
+        "dayofweek(event_time) - 1 as event_day_of_week",
+        "trunc(event_time, 'month') as event_month",
+        "lower(trim(event_type)) as event_type",
         "product_id",
         "category_id",
-        F.col("price").cast(MONEY).alias("price"),
+        f"cast(price as {MONEY}) as price",
         "user_id",
-        blank_to_null(F.col("user_session")).alias("user_session"),
+        "nullif(trim(user_session), '') as user_session",
         "source_file",
         "loaded_at",
     )

@@ -30,6 +30,7 @@ class Model:
 
 
 SOURCES = ("raw_events", "product_dim")
+SOURCE_PARTITIONS = {"raw_events": ("event_type",)}
 MODELS = {
     "stg_events": Model(("raw_events",), stg_events, "staging", is_view=True),
     "fact_sessions": Model(("stg_events",), fact_sessions, "analytics"),
@@ -55,6 +56,12 @@ def with_inputs(names: Iterable[str]) -> list[str]:
     return needed
 
 
+def sources_of(name: str) -> tuple[str, ...]:
+    """The source tables one model reads, directly or through other models."""
+    read = {source for item in with_inputs([name]) for source in MODELS[item].inputs}
+    return tuple(source for source in SOURCES if source in read)
+
+
 def derive(name: str, sources: dict[str, DataFrame]) -> DataFrame:
     """One model as a lazy plan straight from the sources, nothing written."""
     frames = dict(sources)
@@ -80,8 +87,13 @@ class Warehouse:
         return f"{self.root}/{schema}/{name}"
 
     def load(self, name: str, rows: DataFrame) -> DataFrame:
-        """Store a source table; the written rows keep their surrogate keys from here on."""
-        return replace_table(rows, self.path(name))
+        """Store a source table; the written rows keep their surrogate keys from here on.
+
+        Raw events get a directory per event type, without a shuffle: a consumer of one
+        type, such as conversions, then reads that type's files only, because partition
+        pruning also works through the staging view's clean-up of the type.
+        """
+        return replace_table(rows, self.path(name), SOURCE_PARTITIONS.get(name, ()), rebalance=False)
 
     def read(self, name: str) -> DataFrame:
         """A stored table, or a view over the stored tables."""

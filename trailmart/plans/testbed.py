@@ -9,8 +9,7 @@ every row, so the same inputs can be derived in SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from trailmart.schemas import CATEGORY, LANDING_COLUMNS, MONEY, SOURCE_SYSTEM
 from trailmart.session import configure
@@ -21,90 +20,80 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def every(n: int, key: str = "event_id") -> Column:
-    return F.col(key) % n == 0
-
-
 def _shaped(events: DataFrame) -> DataFrame:
-    kind = F.col("event_type")
-    owner = F.when(F.col("user_id") % 50 == 1, F.col("user_id") - 1).otherwise(F.col("user_id"))
-    evening = F.to_date(F.col("ts") + F.expr("interval 6 hours"))
-    session = F.concat(F.lit("s"), owner.cast("string"), F.lit("-"), evening.cast("string"))
-    return events.select(
+    owner = "user_id - if(user_id % 50 = 1, 1, 0)"
+    evening = "to_date(ts + interval 6 hours)"
+    return events.selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("event_time"),
-        F.when(kind == "click", " Cart ").when(kind == "view", "VIEW").otherwise(kind).alias("event_type"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("product_id"),
-        F.when(every(17), None).otherwise(F.col("value").cast(MONEY)).alias("price"),
+        "cast(ts as timestamp) as event_time",
+        "case event_type when 'click' then ' Cart ' when 'view' then 'VIEW' else event_type end as event_type",
+        "cast(regexp_extract(props, '([0-9]+)', 1) as bigint) as product_id",
+        f"if(event_id % 17 = 0, null, cast(value as {MONEY})) as price",
         "user_id",
-        F.when(every(13), "  ").otherwise(session).alias("user_session"),
+        f"if(event_id % 13 = 0, '  ', concat('s', {owner}, '-', {evening})) as user_session",
     )
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shaped = _shaped(table(spark, sf_dir, "events"))
-    return shaped.select(
+    return _shaped(table(spark, sf_dir, "events")).selectExpr(
         "event_id",
         "event_time",
         "event_type",
         "product_id",
-        (F.col("product_id") % 10).cast(CATEGORY).alias("category_id"),
+        f"cast(product_id % 10 as {CATEGORY}) as category_id",
         "price",
         "user_id",
         "user_session",
-        F.lit("events.parquet").alias("source_file"),
-        F.current_timestamp().alias("loaded_at"),
+        "'events.parquet' as source_file",
+        "current_timestamp() as loaded_at",
     )
 
 
 def product_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.when(every(11, "p_partkey"), None).otherwise(F.col("p_partkey")).alias("product_id"),
-        (F.col("p_partkey") % 10).cast(CATEGORY).alias("category_id"),
-        F.when(every(7, "p_partkey"), "").otherwise(F.col("p_type")).alias("category_code"),
-        F.when(every(5, "p_partkey"), None).otherwise(F.col("p_brand")).alias("brand"),
-        F.lit(SOURCE_SYSTEM).alias("source_system"),
-        F.current_timestamp().alias("loaded_at"),
+    return table(spark, sf_dir, "part").selectExpr(
+        "if(p_partkey % 11 = 0, null, p_partkey) as product_id",
+        f"cast(p_partkey % 10 as {CATEGORY}) as category_id",
+        *PRODUCT_TEXTS,
+        f"'{SOURCE_SYSTEM}' as source_system",
+        "current_timestamp() as loaded_at",
     )
 
 
+PRODUCT_TEXTS = (
+    "if(p_partkey % 7 = 0, '', p_type) as category_code",
+    "if(p_partkey % 5 = 0, null, p_brand) as brand",
+)
+
+# Every n-th value of a column that does not parse or is missing.
+SPOILED = {
+    "event_time": (29, "'not a time'"),
+    "product_id": (31, "'x12'"),
+    "price": (37, "'n/a'"),
+    "event_type": (41, "null"),
+    "user_id": (43, "''"),
+}
+
+
 def landing(spark: SparkSession, sf_dir: str, dirty: bool) -> DataFrame:
     """Event rows as they would stand in a CSV: nine text columns after ``event_id``.
 
-    ``dirty`` adds values that do not parse and missing types.
+    A product's brand changes over time, so keeping the first one matters. ``dirty``
+    adds values that do not parse and missing types.
     """
-    texts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(every(7, "p_partkey"), "").otherwise(F.col("p_type")).alias("category_code"),
-        F.when(every(5, "p_partkey"), None).otherwise(F.col("p_brand")).alias("brand"),
-    )
-    time_text = F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(" UTC"))
-    rows = (
-        _shaped(table(spark, sf_dir, "events"))
-        .join(texts, "product_id", "left")
-        .select(
-            "event_id",
-            time_text.alias("event_time"),
-            "event_type",
-            F.col("product_id").cast("string").alias("product_id"),
-            (F.col("product_id") % 10).cast("string").alias("category_id"),
-            "category_code",
-            # A product's brand changes over time, so keeping the first one matters.
-            F.when(every(19), F.concat("brand", F.lit(" II"))).otherwise(F.col("brand")).alias("brand"),
-            F.col("price").cast("string").alias("price"),
-            F.col("user_id").cast("string").alias("user_id"),
-            F.nullif(F.trim("user_session"), F.lit("")).alias("user_session"),
-        )
-    )
+    texts = table(spark, sf_dir, "part").selectExpr("p_partkey as product_id", *PRODUCT_TEXTS)
+    rows = _shaped(table(spark, sf_dir, "events")).join(texts, "product_id", "left")
+    text = {
+        "event_time": "concat(date_format(event_time, 'yyyy-MM-dd HH:mm:ss.SSSSSS'), ' UTC')",
+        "event_type": "event_type",
+        "product_id": "cast(product_id as string)",
+        "category_id": "cast(product_id % 10 as string)",
+        "category_code": "category_code",
+        "brand": "if(event_id % 19 = 0, concat(brand, ' II'), brand)",
+        "price": "cast(price as string)",
+        "user_id": "cast(user_id as string)",
+        "user_session": "nullif(trim(user_session), '')",
+    }
     if dirty:
-        spoiled = {
-            "event_time": (29, "not a time"),
-            "product_id": (31, "x12"),
-            "price": (37, "n/a"),
-            "event_type": (41, None),
-            "user_id": (43, ""),
-        }
-        rows = rows.withColumns(
-            {name: F.when(every(n), bad).otherwise(F.col(name)) for name, (n, bad) in spoiled.items()}
-        )
-    return rows.select("event_id", *LANDING_COLUMNS)
+        for name, (n, bad) in SPOILED.items():
+            text[name] = f"if(event_id % {n} = 0, {bad}, {text[name]})"
+    return rows.selectExpr("event_id", *(f"{text[name]} as {name}" for name in LANDING_COLUMNS))

@@ -35,6 +35,8 @@ def local_session(app: str, cores: str = "*", conf: dict[str, str] | None = None
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        # Plans are built faster without a Python stack trace attached to every column.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
     )
     for key, value in {**RUNTIME_CONF, **(conf or {})}.items():

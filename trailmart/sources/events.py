@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmart.functions.text import normalised
+from trailmart.functions.text import empty_to_null, normalised
 from trailmart.schemas import CATEGORY, EVENT_TYPES, LANDING_COLUMNS, MONEY
 from trailmart.session import configure
 from trailmart.sources.files import find_csv
@@ -28,13 +28,13 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     and has gaps.
     """
     configure(spark)
-    files = find_csv(spark, path)
     header = csv_header(spark, path)
     missing = [name for name in LANDING_COLUMNS if name not in header]
     if missing:
         raise ValueError(f"missing expected columns: {missing}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema="false").csv(files)
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema="false", pathGlobFilter="*.csv")
+    rows = reader.csv(path)
     return rows.select(
         *LANDING_COLUMNS,
         F.col("_metadata.file_name").alias("source_file"),
@@ -42,16 +42,12 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def empty_to_null(name: str) -> Column:
-    return F.nullif(F.col(name), F.lit(""))
-
-
 def strict(name: str, target: str) -> Column:
     """Cast that fails the job on text the target type cannot hold, whatever the ANSI setting."""
     text = empty_to_null(name)
-    value = text.try_cast(target)
-    message = F.concat(F.lit(f"{name} is not a {target}: "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+    value = f"try_cast({text} as {target})"
+    failure = f"raise_error(concat('{name} is not a {target}: ', {name}))"
+    return F.expr(f"if({text} is not null and {value} is null, {failure}, {value})")
 
 
 def load_strict(landing: DataFrame) -> DataFrame:
@@ -59,37 +55,37 @@ def load_strict(landing: DataFrame) -> DataFrame:
 
     Rows without a required value or with a type outside the funnel are left out.
     """
-    usable = normalised(F.col("event_type")).isin(*EVENT_TYPES)
-    for name in REQUIRED:
-        usable = empty_to_null(name).isNotNull() & usable
+    present = " and ".join(f"{empty_to_null(name)} is not null" for name in REQUIRED)
+    usable = landing.filter(f"{present} and {normalised('event_type')} in {EVENT_TYPES}")
     price = strict("price", MONEY)
     checked = F.when(price < 0, F.raise_error(F.lit("price must not be negative"))).otherwise(price)
-    return landing.filter(usable).select(
+    return usable.select(
         F.col("load_order").alias("event_id"),
         strict("event_time", "timestamp").alias("event_time"),
-        normalised(F.col("event_type")).alias("event_type"),
+        F.expr(f"{normalised('event_type')} as event_type"),
         strict("product_id", "bigint").alias("product_id"),
         strict("category_id", CATEGORY).alias("category_id"),
         checked.alias("price"),
         strict("user_id", "bigint").alias("user_id"),
-        empty_to_null("user_session").alias("user_session"),
+        F.expr(f"{empty_to_null('user_session')} as user_session"),
         "source_file",
         F.current_timestamp().alias("loaded_at"),
     )
 
 
 def typed(landing: DataFrame) -> DataFrame:
-    """Every landing row with values that do not parse turned into NULL."""
-    return landing.withColumns(
-        {
-            "event_time": F.col("event_time").try_cast("timestamp"),
-            "event_type": normalised(F.col("event_type")),
-            "product_id": F.col("product_id").try_cast("bigint"),
-            "category_id": F.col("category_id").try_cast(CATEGORY),
-            "price": F.col("price").try_cast(MONEY),
-            "user_id": F.col("user_id").try_cast("bigint"),
-            "user_session": empty_to_null("user_session"),
-        }
+    """Every landing row with blanks and values that do not parse turned into NULL."""
+    return landing.selectExpr(
+        "try_cast(event_time as timestamp) as event_time",
+        f"{normalised('event_type')} as event_type",
+        "try_cast(product_id as bigint) as product_id",
+        f"try_cast(category_id as {CATEGORY}) as category_id",
+        *(f"{empty_to_null(name)} as {name}" for name in ("category_code", "brand")),
+        f"try_cast(price as {MONEY}) as price",
+        "try_cast(user_id as bigint) as user_id",
+        f"{empty_to_null('user_session')} as user_session",
+        "source_file",
+        "load_order",
     )
 
 
@@ -115,11 +111,8 @@ def load_permissive(landing: DataFrame) -> DataFrame:
 
 def rejected(landing: DataFrame) -> DataFrame:
     """Text of the rows the permissive load leaves out, with the first column at fault."""
-    parsed = {
-        "event_time": F.col("event_time").try_cast("timestamp"),
-        "event_type": F.col("event_type"),
-        "product_id": F.col("product_id").try_cast("bigint"),
-        "user_id": F.col("user_id").try_cast("bigint"),
-    }
-    reason = F.coalesce(*(F.when(value.isNull(), name) for name, value in parsed.items()))
-    return landing.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    reason = """case when try_cast(event_time as timestamp) is null then 'event_time'
+        when event_type is null then 'event_type'
+        when try_cast(product_id as bigint) is null then 'product_id'
+        when try_cast(user_id as bigint) is null then 'user_id' end as reason"""
+    return landing.selectExpr("*", reason).filter("reason is not null")

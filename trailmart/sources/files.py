@@ -30,16 +30,14 @@ def size_in_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(parsed).getLength()
 
 
-def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), rebalance: bool = True) -> DataFrame:
     """Write ``df`` next to ``path`` and swap it in once the write has succeeded.
 
     Readers see the old table until the swap and a failed job leaves it untouched.
-    A partitioned write is rebalanced first: AQE then splits a partition value that
-    holds far more rows than others over several tasks and files.
     """
     spark = df.sparkSession
     staged = f"{path}.staged-{uuid.uuid4().hex}"
-    write_table(df, staged, "errorifexists", partition_by)
+    write_table(df, staged, "errorifexists", partition_by, rebalance)
     fs, target = file_system(spark, path)
     _, fresh = file_system(spark, staged)
     _, retired = file_system(spark, f"{path}.retired-{uuid.uuid4().hex}")
@@ -55,11 +53,17 @@ def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_table(df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = ()) -> None:
-    if partition_by:
-        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
-    else:
-        df.write.mode(mode).parquet(path)
+def write_table(
+    df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = (), rebalance: bool = True
+) -> None:
+    """One distributed parquet write.
+
+    A partitioned write is rebalanced first unless told otherwise: AQE then merges
+    small partition values and splits one that holds far more rows than the others
+    over several tasks and files.
+    """
+    rows = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
+    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

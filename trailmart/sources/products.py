@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trailmart.functions.text import empty_to_null
 from trailmart.schemas import CATEGORY, SOURCE_SYSTEM, UNKNOWN
 
 
@@ -17,16 +18,15 @@ def product_master(landing: DataFrame, order: str = "load_order") -> DataFrame:
     choice of the first set then works on the small remainder.
     """
     attributes = ("category_id", "category_code", "brand")
+    texts = (f"coalesce({empty_to_null(name)}, '{UNKNOWN}') as {name}" for name in ("category_code", "brand"))
+    rows = landing.selectExpr(
+        "try_cast(product_id as bigint) as product_id",
+        f"try_cast(category_id as {CATEGORY}) as category_id",
+        *texts,
+        f"{order} as position",
+    )
     variants = (
-        landing.select(
-            F.col("product_id").try_cast("bigint").alias("product_id"),
-            F.col("category_id").try_cast(CATEGORY).alias("category_id"),
-            *(F.coalesce(F.nullif(F.col(name), F.lit("")), F.lit(UNKNOWN)).alias(name) for name in attributes[1:]),
-            F.col(order).alias("position"),
-        )
-        .filter(F.col("product_id").isNotNull())
-        .groupBy("product_id", *attributes)
-        .agg(F.min("position").alias("position"))
+        rows.filter("product_id is not null").groupBy("product_id", *attributes).agg(F.min("position").alias("position"))
     )
     first = F.min_by(F.struct(*attributes), "position").alias("first")
     return variants.groupBy("product_id").agg(first).select("product_id", "first.*")
