@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailmart.functions.rates import (
@@ -17,14 +17,15 @@ from trailmart.functions.rates import (
 from trailmart.functions.text import hash_bucket
 from trailmart.operators.facts import event_counts, journey_pattern, step_rates, type_flags
 from trailmart.schemas import EVENT_TYPES, TOTAL, UNKNOWN
+from trailmart.sources.files import stored
 
 PRICE_QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
 
 def as_rows(one_row: DataFrame, columns: list[str], key: str, value: str) -> DataFrame:
     """Turn the columns of a one-row report into rows ``(key, value)``."""
-    cells = (F.struct(F.lit(name).alias(key), F.col(name).alias(value)) for name in columns)
-    return one_row.select(F.inline(F.array(*cells)))
+    cells = ", ".join(f"struct('{name}' as {key}, {name} as {value})" for name in columns)
+    return one_row.selectExpr(f"inline(array({cells}))")
 
 
 def missing_values(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -117,17 +118,19 @@ def top_values(df: DataFrame, column: str, k: int = 15) -> DataFrame:
 MAGNITUDE = "cast(signum(v) * floor(log2(abs(cast(v as double)) + 1) * 1024) as int)"
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...]) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...], weight: str = "1") -> DataFrame:
     """Exact quantiles of a whole-number column, interpolated linearly between ranks.
 
+    A row counts ``weight`` times.
+
     A first pass counts rows per magnitude bucket; their number is bounded, so the
     running totals over them fit one task. They tell which buckets hold the wanted
     ranks, and only values of those few buckets are counted one by one in a second
     pass. No task ever sees all values, and repeated values travel as one row.
     """
-    values = df.filter(f"{column} is not null").selectExpr(f"cast({column} as bigint) as v")
-    values = values.selectExpr("v", f"{MAGNITUDE} as bucket")
-    buckets = values.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    values = df.filter(f"{column} is not null").selectExpr(f"cast({column} as bigint) as v", f"{weight} as w")
+    values = values.selectExpr("v", "w", f"{MAGNITUDE} as bucket")
+    buckets = values.groupBy("bucket").agg(F.sum("w").alias("n"))
     running = "sum(n) over (order by bucket)"
     placed = buckets.selectExpr(
         "bucket", f"{running} - n as before", f"{running} as upto", "sum(n) over () as total"
@@ -146,7 +149,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...]
     points = (
         values.join(F.broadcast(needed), "bucket")
         .groupBy("bucket", "before", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("w").alias("n"))
     )
     inside = "sum(n) over (partition by bucket order by v)"
     located = points.selectExpr(
@@ -162,26 +165,21 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...]
     )
 
 
-def cents(amount: Column) -> Column:
-    return (amount * 100).cast("bigint")
-
-
 def price_summary(events: DataFrame) -> DataFrame:
     """Count, mean, standard deviation, extremes and quantiles of the price."""
-    price = F.col("price")
     stats = {
-        "count": F.count(price).cast("double"),
-        "mean": (F.sum(price).cast("double") / F.count(price)),
-        "std": F.stddev_samp(price.cast("double")),
-        "min": F.min(price).cast("double"),
-        "max": F.max(price).cast("double"),
+        "count": "cast(count(price) as double)",
+        "mean": "cast(sum(price) as double) / nullif(count(price), 0)",
+        "std": "stddev_samp(cast(price as double))",
+        "min": "cast(min(price) as double)",
+        "max": "cast(max(price) as double)",
     }
-    one = events.agg(*(F.round(value, 4).alias(name) for name, value in stats.items()))
-    points = exact_quantiles(events.select(cents(price).alias("cents")), "cents", PRICE_QUANTILES)
-    name = F.concat((F.col("probability") * 100).cast("int").cast("string"), F.lit("%"))
-    return as_rows(one, list(stats), "statistic", "value").unionByName(
-        points.select(name.alias("statistic"), F.round(F.col("value") / 100, 4).cast("double").alias("value"))
+    one = events.agg(*(F.expr(f"round({text}, 4) as {name}") for name, text in stats.items()))
+    priced = events.selectExpr("cast(price * 100 as bigint) as cents")
+    points = exact_quantiles(priced, "cents", PRICE_QUANTILES).selectExpr(
+        "concat(cast(probability * 100 as int), '%') as statistic", "cast(round(value / 100, 4) as double) as value"
     )
+    return as_rows(one, list(stats), "statistic", "value").unionByName(points)
 
 
 # Metrics of the purchase summary, in order.
@@ -215,36 +213,32 @@ def purchase_summary(events: DataFrame) -> DataFrame:
 def histogram(events: DataFrame, bins: int = 50, up_to: float | None = None) -> DataFrame:
     """Equal-width bins between the smallest and largest price; the last bin is closed.
 
-    ``up_to`` keeps prices up to that quantile. Bounds are scalar subqueries, and bin
+    ``up_to`` keeps prices up to that quantile. The events are read once and reduced
+    to one stored row per price; the cut, the bounds and the bins come from those. Bin
     numbers are whole-number arithmetic on cents, so no price sits on the wrong side
     of an edge. Empty bins are present with a count of zero.
     """
-    prices = events.filter(F.col("price").isNotNull()).select(cents(F.col("price")).alias("c"))
+    priced = events.filter("price is not null").selectExpr("cast(price * 100 as bigint) as c")
+    points = stored(priced.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "prices")
     if up_to is not None:
-        prices = prices.filter(F.col("c") <= exact_quantiles(prices, "c", (up_to,)).select("value").scalar())
-    bounds = prices.agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+        cut = exact_quantiles(points, "c", (up_to,), weight="n").select("value").scalar()
+        points = points.filter(F.col("c") <= cut)
+    bounds = points.agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    limits = bounds.select("lo").scalar().alias("lo"), bounds.select("hi").scalar().alias("hi")
+    within = f"least((c - lo) * {bins} div nullif(hi - lo, 0) + 1, {bins})"
     counted = (
-        prices.select("c", lo.alias("lo"), hi.alias("hi"))
-        .select(
-            "lo",
-            "hi",
-            F.when(F.col("lo") == F.col("hi"), bins // 2 + 1)
-            .otherwise(F.least(F.expr(f"cast((c - lo) * {bins} div nullif(hi - lo, 0) + 1 as int)"), F.lit(bins)))
-            .alias("bin"),
-        )
-        .groupBy("bin", "lo", "hi")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    every_bin = events.sparkSession.range(1, bins + 1).select(
-        F.col("id").cast("int").alias("bin"), lo.alias("lo"), hi.alias("hi")
+        points.select("c", "n", *limits)
+        .selectExpr("n", f"cast(if(lo = hi, {bins // 2 + 1}, {within}) as int) as bin")
+        .groupBy("bin")
+        .agg(F.sum("n").alias("n"))
     )
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    return every_bin.join(counted.select("bin", "n"), "bin", "left").select(
+    edges = events.sparkSession.range(1, bins + 1).select(F.expr("cast(id as int) as bin"), *limits)
+    width = f"(hi - lo) / {bins}D"
+    return edges.join(counted, "bin", "left").selectExpr(
         "bin",
-        F.round((F.col("lo") + width * (F.col("bin") - 1)) / 100, 4).alias("bin_start"),
-        F.round((F.col("lo") + width * F.col("bin")) / 100, 4).alias("bin_end"),
-        F.coalesce("n", F.lit(0).cast("bigint")).alias("price_count"),
+        f"round((lo + {width} * (bin - 1)) / 100, 4) as bin_start",
+        f"round((lo + {width} * bin) / 100, 4) as bin_end",
+        "coalesce(n, 0) as price_count",
     )
 
 

@@ -15,7 +15,7 @@ from trailmart.schemas import LANDING_COLUMNS
 from trailmart.session import shared_dir
 from trailmart.sources import events, products
 from trailmart.sources.extracts import export_csv
-from trailmart.sources.files import append_table, replace_partitions, replace_table
+from trailmart.sources.files import append_table, replace_partitions, replace_table, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +162,15 @@ def partition_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(marts.daily_revenue(again))
 
 
+def session_summary_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary reads the session rows several times, so they are stored once first."""
+
+    def report(rows: DataFrame) -> DataFrame:
+        return profiling.session_summary_with_medians(stored(profiling.session_profile(rows), "sessions"))
+
+    return over_typed(report)(spark, sf_dir)
+
+
 def without(*names: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.drop(*names)
 
@@ -241,9 +250,7 @@ QUERIES: dict[str, Query] = {
     "event_funnel_rates": over_typed(profiling.event_funnel_rates),
     "session_profile": over_typed(profiling.session_profile),
     "session_summary": over_typed(lambda df: profiling.session_summary(profiling.session_profile(df))),
-    "session_summary_medians": over_typed(
-        lambda df: profiling.session_summary_with_medians(profiling.session_profile(df))
-    ),
+    "session_summary_medians": session_summary_medians,
     "session_funnel_rates": over_typed(lambda df: profiling.session_funnel_rates(profiling.session_profile(df))),
     "session_hash_sample": over_typed(lambda df: profiling.session_sample(df).drop("load_order")),
     "random_sample": over_typed(lambda df: profiling.random_sample(df).drop("load_order")),

@@ -20,12 +20,13 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.options(**CSV_OPTIONS).csv(find_csv(spark, path)[0]).columns
 
 
-def scan_csv(spark: SparkSession, path: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All CSV files under ``path`` as text columns plus ``source_file`` and ``load_order``.
 
     No value is converted or inferred here. Every file must carry the header of the
     first one. ``load_order`` follows file order within a file; it costs no shuffle
-    and has gaps.
+    and has gaps. Line breaks inside quotes need ``multi_line``, which reads a file as
+    a whole; without it large files are split.
     """
     configure(spark)
     header = csv_header(spark, path)
@@ -33,8 +34,8 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     if missing:
         raise ValueError(f"missing expected columns: {missing}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS, enforceSchema="false", pathGlobFilter="*.csv")
-    rows = reader.csv(path)
+    options = {**CSV_OPTIONS, "enforceSchema": "false", "pathGlobFilter": "*.csv", "multiLine": multi_line}
+    rows = spark.read.schema(schema).options(**options).csv(path)
     return rows.select(
         *LANDING_COLUMNS,
         F.col("_metadata.file_name").alias("source_file"),

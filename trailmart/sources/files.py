@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trailmart.session import shared_dir
+
 
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system behind ``path`` together with the parsed path."""
@@ -53,6 +55,11 @@ def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: worked out once, whoever reads it how often."""
+    return replace_table(df, shared_dir(df.sparkSession, label))
+
+
 def write_table(
     df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = (), rebalance: bool = True
 ) -> None:
