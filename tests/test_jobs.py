@@ -1,0 +1,61 @@
+"""Files in, extracts out, through the command line."""
+
+from __future__ import annotations
+
+import pytest
+
+from test_sources import HEADER
+from trailmart.__main__ import main
+from trailmart.plans.models import Warehouse
+
+LINES = [
+    "2019-10-01 00:00:00 UTC,view,1,7,toys.cars,acme,9.99,5,s1",
+    "2019-10-01 00:01:00 UTC,cart,1,7,toys.cars,acme,9.99,5,s1",
+    "2019-10-01 00:02:30 UTC,purchase,1,7,toys.cars,acme,9.99,5,s1",
+    "2019-10-03 00:02:30 UTC,view,2,8,,,1.50,6,s2",
+]
+
+
+@pytest.fixture
+def folders(tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "oct.csv").write_text("\n".join([HEADER, *LINES]) + "\n")
+    return str(tmp_path / "in"), str(tmp_path / "wh"), str(tmp_path / "out")
+
+
+def test_full_reload(spark, folders):
+    csv, root, out = folders
+    main(["--warehouse", root, "reload", csv, out])
+    growth = spark.read.options(header="true").csv(f"{out}/mart_growth_daily").orderBy("event_date").collect()
+    assert [r.event_date for r in growth] == ["2019-10-01", "2019-10-03"]
+    assert growth[0].total_revenue == "9.99" and growth[0].day_of_week_name == "Tuesday  "
+    session = Warehouse(spark, root).read("fact_sessions").filter("user_session = 's1'").first()
+    assert session.session_duration_minutes == 2.5
+
+
+def test_reload_stops_at_a_bad_file(spark, folders, tmp_path):
+    csv, root, out = folders
+    main(["--warehouse", root, "reload", csv, out])
+    (tmp_path / "in" / "nov.csv").write_text("\n".join([HEADER, LINES[0].replace("view", "look")]) + "\n")
+    with pytest.raises(ValueError, match="event_type"):
+        main(["--warehouse", root, "reload", csv, out])
+    assert Warehouse(spark, root).read("raw_events").count() == 4
+
+
+def test_single_steps(spark, folders, capsys):
+    csv, root, out = folders
+    main(["--warehouse", root, "validate", csv])
+    main(["--warehouse", root, "load", csv, "--permissive"])
+    main(["--warehouse", root, "load-products", csv])
+    main(["--warehouse", root, "build", "dim_product"])
+    main(["--warehouse", root, "check"])
+    text = capsys.readouterr().out
+    assert "events: 4" in text and "products: 2" in text and "built: dim_product" in text
+    assert "unknown_brands" in text
+    assert Warehouse(spark, root).read("rejected_events").count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        main(["--warehouse", root, "test"])
+    main(["--warehouse", root, "build"])
+    main(["--warehouse", root, "test"])
+    main(["--warehouse", root, "export", out])
+    assert spark.read.options(header="true").csv(f"{out}/mart_experiment_results").count() >= 1

@@ -102,17 +102,17 @@ class Warehouse:
             return model.build(*(self.read(source) for source in model.inputs))
         return self.spark.read.parquet(self.path(name))
 
+    def build_one(self, name: str) -> DataFrame:
+        """One model from the inputs as they are stored; a view has nothing to write."""
+        model = MODELS[name]
+        if model.is_view:
+            return self.read(name)
+        rows = model.build(*(self.read(source) for source in model.inputs))
+        return replace_table(rows, self.path(name), model.partition_by)
+
     def build(self, *names: str) -> dict[str, DataFrame]:
         """Build the named models (all if none is named) after everything they need."""
-        built = {}
-        for name in with_inputs(names or MODELS):
-            model = MODELS[name]
-            if model.is_view:
-                built[name] = self.read(name)
-                continue
-            inputs = (built.get(source) or self.read(source) for source in model.inputs)
-            built[name] = replace_table(model.build(*inputs), self.path(name), model.partition_by)
-        return built
+        return {name: self.build_one(name) for name in with_inputs(names or MODELS)}
 
     def test(self) -> DataFrame:
         """Results of all declared tests on the stored tables."""
