@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from trailmart.operators import experiment, facts
 from trailmart.plans import testbed
 from trailmart.plans.catalog import QUERIES
 from trailmart.plans.models import MODELS, Warehouse, derive
 from trailmart.session import shared_dir
+from trailmart.sources.files import replace_table
 
 
 def plan(df) -> str:
@@ -18,7 +20,7 @@ def plan(df) -> str:
 
 
 def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
+    df.collect()
     return plan(df)
 
 
@@ -109,3 +111,54 @@ def test_hot_keys_do_not_change_results(spark, warehouse, no_broadcast, name):
     one = derive(name, {"raw_events": raw.coalesce(1), "product_dim": products})
     many = derive(name, {"raw_events": raw.repartition(13), "product_dim": products})
     assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+
+
+@pytest.fixture
+def tiny_skew_limits(spark):
+    limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {key: spark.conf.get(key) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in old.items():
+        spark.conf.set(key, value)
+
+
+def test_hot_product_is_split_when_products_are_not_broadcast(spark, warehouse, no_broadcast, tiny_skew_limits):
+    sold = warehouse.read("fact_conversions").withColumn("product_id", F.expr("if(conversion_id % 3 = 0, 7, product_id)"))
+    stored = replace_table(sold.repartition(6), shared_dir(spark, "hot"))
+    assert "skew=true" in final_plan(MODELS["mart_revenue_attribution"].build(stored, warehouse.read("dim_product")))
+
+
+def test_scratch_folder_follows_the_session():
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default):
+                return "hdfs:///shared/" if key == "spark.checkpoint.dir" else default
+
+    first, second = shared_dir(Session, "x"), shared_dir(Session, "x")
+    assert first.startswith("hdfs:///shared/x-") and first != second
+
+
+def test_no_scratch_folder_on_a_cluster_without_setting():
+    class Session:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default):
+                return default
+
+        class sparkContext:  # noqa: N801
+            master = "yarn"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session, "x")

@@ -14,7 +14,7 @@ from trailmart.plans.models import MODELS, SOURCES, Warehouse, derive, sources_o
 from trailmart.schemas import LANDING_COLUMNS
 from trailmart.session import shared_dir
 from trailmart.sources import events, products
-from trailmart.sources.extracts import export_csv
+from trailmart.sources.extracts import export_csv, export_table
 from trailmart.sources.files import append_table, replace_partitions, replace_table, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,8 +129,9 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mart_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The growth mart as it reads back from its CSV extract."""
     folder = shared_dir(spark, "extract")
-    growth = comparable(derived("mart_growth_daily", spark, sf_dir))
-    export_csv(growth, folder, single_file=True)
+    path = shared_dir(spark, "growth")
+    growth = replace_table(comparable(derived("mart_growth_daily", spark, sf_dir)), path)
+    export_table(spark, path, folder)
     return spark.read.schema(growth.schema).options(header="true", escape='"').csv(folder)
 
 

@@ -11,7 +11,7 @@ from trailmart.sources import events, products
 
 def validate(warehouse: Warehouse, csv_path: str) -> None:
     """Check the input files as they are written; raises on the first failing stage."""
-    quality.validate_file(events.scan_csv(warehouse.spark, csv_path), csv_path)
+    quality.validate_file(events.scan_csv(warehouse.spark, csv_path))
 
 
 def load_events(warehouse: Warehouse, csv_path: str, permissive: bool = False) -> int:
@@ -22,7 +22,8 @@ def load_events(warehouse: Warehouse, csv_path: str, permissive: bool = False) -
     landing = events.scan_csv(warehouse.spark, csv_path)
     if permissive:
         warehouse.load("rejected_events", events.rejected(landing))
-        stored = warehouse.load("raw_events", events.load_permissive(landing))
+        # Types are free text here, so they are no folder names.
+        stored = warehouse.load("raw_events", events.load_permissive(landing), partition_by=())
     else:
         stored = warehouse.load("raw_events", events.load_strict(landing))
     return stored.count()

@@ -86,14 +86,16 @@ class Warehouse:
         schema = MODELS[name].schema if name in MODELS else "raw"
         return f"{self.root}/{schema}/{name}"
 
-    def load(self, name: str, rows: DataFrame) -> DataFrame:
+    def load(self, name: str, rows: DataFrame, partition_by: tuple[str, ...] | None = None) -> DataFrame:
         """Store a source table; the written rows keep their surrogate keys from here on.
 
         Raw events get a directory per event type, without a shuffle: a consumer of one
         type, such as conversions, then reads that type's files only, because partition
         pruning also works through the staging view's clean-up of the type.
         """
-        return replace_table(rows, self.path(name), SOURCE_PARTITIONS.get(name, ()), rebalance=False)
+        if partition_by is None:
+            partition_by = SOURCE_PARTITIONS.get(name, ())
+        return replace_table(rows, self.path(name), partition_by, rebalance=False)
 
     def read(self, name: str) -> DataFrame:
         """A stored table, or a view over the stored tables."""

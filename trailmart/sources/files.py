@@ -21,7 +21,8 @@ def find_csv(spark: SparkSession, path: str) -> list[str]:
     fs, parsed = file_system(spark, path)
     directory = fs.exists(parsed) and fs.getFileStatus(parsed).isDirectory()
     pattern = parsed.suffix("/*.csv") if directory else parsed
-    found = sorted(str(status.getPath()) for status in fs.globStatus(pattern) or [])
+    paths = (str(status.getPath()) for status in fs.globStatus(pattern) or [])
+    found = sorted(path for path in paths if path.endswith(".csv"))
     if not found:
         raise FileNotFoundError(f"no CSV file found in {path}")
     return found
