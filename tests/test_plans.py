@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from trailmart.operators import experiment, facts
 from trailmart.plans import testbed
-from trailmart.plans.catalog import QUERIES
 from trailmart.plans.models import MODELS, Warehouse, derive
 from trailmart.session import shared_dir
 from trailmart.sources.files import replace_table
@@ -130,7 +129,8 @@ def tiny_skew_limits(spark):
 
 
 def test_hot_product_is_split_when_products_are_not_broadcast(spark, warehouse, no_broadcast, tiny_skew_limits):
-    sold = warehouse.read("fact_conversions").withColumn("product_id", F.expr("if(conversion_id % 3 = 0, 7, product_id)"))
+    hot = F.expr("if(conversion_id % 3 = 0, 7, product_id)")
+    sold = warehouse.read("fact_conversions").withColumn("product_id", hot)
     stored = replace_table(sold.repartition(6), shared_dir(spark, "hot"))
     assert "skew=true" in final_plan(MODELS["mart_revenue_attribution"].build(stored, warehouse.read("dim_product")))
 

@@ -15,9 +15,15 @@ from trailmart.schemas import CATEGORY, LANDING_COLUMNS, MONEY, SOURCE_SYSTEM
 from trailmart.session import configure
 
 
+# Columns used here; a given schema spares a job that reads file footers.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_type string, p_brand string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _shaped(events: DataFrame) -> DataFrame:

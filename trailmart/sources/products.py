@@ -25,9 +25,8 @@ def product_master(landing: DataFrame, order: str = "load_order") -> DataFrame:
         *texts,
         f"{order} as position",
     )
-    variants = (
-        rows.filter("product_id is not null").groupBy("product_id", *attributes).agg(F.min("position").alias("position"))
-    )
+    known = rows.filter("product_id is not null")
+    variants = known.groupBy("product_id", *attributes).agg(F.min("position").alias("position"))
     first = F.min_by(F.struct(*attributes), "position").alias("first")
     return variants.groupBy("product_id").agg(first).select("product_id", "first.*")
 
