@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from trailmart.schemas import EVENT_TYPES, MONEY
-
-REQUIRED = ("event_time", "event_type", "product_id", "user_id")
+from trailmart.schemas import EVENT_TYPES, MONEY, REQUIRED
 
 
 def stg_events(raw_events: DataFrame) -> DataFrame:

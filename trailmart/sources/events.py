@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trailmart.functions.text import empty_to_null, normalised
-from trailmart.schemas import CATEGORY, EVENT_TYPES, LANDING_COLUMNS, MONEY
+from trailmart.schemas import CATEGORY, EVENT_TYPES, LANDING_COLUMNS, MONEY, REQUIRED
 from trailmart.session import configure
 from trailmart.sources.files import find_csv
 
-REQUIRED = ("event_time", "event_type", "product_id", "user_id")
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
 
 
@@ -46,9 +45,8 @@ def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 def strict(name: str, target: str) -> Column:
     """Cast that fails the job on text the target type cannot hold, whatever the ANSI setting."""
     text = empty_to_null(name)
-    value = f"try_cast({text} as {target})"
     failure = f"raise_error(concat('{name} is not a {target}: ', {name}))"
-    return F.expr(f"if({text} is not null and {value} is null, {failure}, {value})")
+    return F.expr(f"coalesce(try_cast({text} as {target}), if({text} is null, null, {failure})) as {name}")
 
 
 def load_strict(landing: DataFrame) -> DataFrame:
@@ -58,20 +56,19 @@ def load_strict(landing: DataFrame) -> DataFrame:
     """
     present = " and ".join(f"{empty_to_null(name)} is not null" for name in REQUIRED)
     usable = landing.filter(f"{present} and {normalised('event_type')} in {EVENT_TYPES}")
-    price = strict("price", MONEY)
-    checked = F.when(price < 0, F.raise_error(F.lit("price must not be negative"))).otherwise(price)
-    return usable.select(
+    cast = usable.select(
         F.col("load_order").alias("event_id"),
-        strict("event_time", "timestamp").alias("event_time"),
+        strict("event_time", "timestamp"),
         F.expr(f"{normalised('event_type')} as event_type"),
-        strict("product_id", "bigint").alias("product_id"),
-        strict("category_id", CATEGORY).alias("category_id"),
-        checked.alias("price"),
-        strict("user_id", "bigint").alias("user_id"),
+        strict("product_id", "bigint"),
+        strict("category_id", CATEGORY),
+        strict("price", MONEY),
+        strict("user_id", "bigint"),
         F.expr(f"{empty_to_null('user_session')} as user_session"),
         "source_file",
         F.current_timestamp().alias("loaded_at"),
     )
+    return cast.withColumn("price", F.expr("if(price < 0, raise_error('price must not be negative'), price)"))
 
 
 def typed(landing: DataFrame) -> DataFrame:
