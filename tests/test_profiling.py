@@ -19,7 +19,7 @@ def quantiles(spark, values):
     return {float(r.probability): float(r.value) for r in rows}
 
 
-@pytest.mark.parametrize("case", ["uniform", "skewed", "repeated", "negative", "huge", "single", "pair"])
+@pytest.mark.parametrize("case", ["uniform", "skewed", "repeated", "negative", "durations", "huge", "single", "pair"])
 def test_exact_quantiles(spark, case):
     rng = np.random.default_rng(3)
     values = {
@@ -27,6 +27,7 @@ def test_exact_quantiles(spark, case):
         "skewed": np.floor(rng.lognormal(8, 3, 2000)),
         "repeated": np.r_[np.full(700, 5), rng.integers(0, 50, 301)],
         "negative": rng.integers(-5000, 5000, 999),
+        "durations": rng.integers(0, 3 * 10**9, 3000),
         "huge": rng.integers(10**12, 10**12 + 50, 500),
         "single": np.array([42]),
         "pair": np.array([1, 4]),
@@ -36,6 +37,16 @@ def test_exact_quantiles(spark, case):
         assert found[p] == pytest.approx(np.quantile(values, p), abs=1e-5), p
 
 
+def test_magnitude_keeps_order_and_width(spark):
+    edges = {0, 1, 65535, 65536, 65537, 2**40 - 1, 2**40, 2**62}
+    numbers = sorted({*edges, *(-n for n in edges), *range(-70_000, 70_000, 7), *range(10**9, 10**9 + 10**7, 4099)})
+    df = spark.createDataFrame([(n,) for n in numbers], "v bigint").selectExpr("v", f"{profiling.MAGNITUDE} as b")
+    buckets = [row.b for row in df.orderBy("v").collect()]
+    assert buckets == sorted(buckets)
+    widest = df.groupBy("b").agg(F.expr("(max(v) - min(v)) / greatest(abs(max(v)), 1D)").alias("w"))
+    assert widest.filter("w > 1 / 4096D").count() == 0
+
+
 def test_weighted_quantiles_equal_repeated_rows(spark):
     df = spark.createDataFrame([(1, 5), (7, 90), (30, 6)], "v bigint, n bigint")
     rows = profiling.exact_quantiles(df, "v", (0.5, 0.96), weight="n").collect()

@@ -101,8 +101,9 @@ def test_strict_load_rejects_everything_on_one_bad_value(spark, csv, tmp_path, b
             files.replace_table(events.load_strict(landing), target)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
-    # The table that was there before is still complete.
+    # The table that was there before is still complete, and nothing is left beside it.
     assert spark.read.parquet(target).count() == 1
+    assert [name for name in os.listdir(tmp_path) if "staged" in name] == []
 
 
 def test_permissive_load_and_rejects_cover_every_row(csv):

@@ -40,9 +40,13 @@ def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     """
     spark = df.sparkSession
     staged = f"{path}.staged-{uuid.uuid4().hex}"
-    write_table(df, staged, "errorifexists", partition_by, rebalance)
     fs, target = file_system(spark, path)
     _, fresh = file_system(spark, staged)
+    try:
+        write_table(df, staged, "errorifexists", partition_by, rebalance)
+    except Exception:
+        fs.delete(fresh, True)
+        raise
     _, retired = file_system(spark, f"{path}.retired-{uuid.uuid4().hex}")
     replaces = fs.exists(target)
     if replaces and not fs.rename(target, retired):
