@@ -57,5 +57,7 @@ def test_single_steps(spark, folders, capsys):
         main(["--warehouse", root, "test"])
     main(["--warehouse", root, "build"])
     main(["--warehouse", root, "test"])
+    main(["--warehouse", root, "sql", "select brand, sum(total_revenue) from mart_revenue_attribution group by brand"])
+    assert "acme" in capsys.readouterr().out
     main(["--warehouse", root, "export", out])
     assert spark.read.options(header="true").csv(f"{out}/mart_experiment_results").count() >= 1

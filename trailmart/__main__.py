@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     commands.add_parser("build").add_argument("models", nargs="*", help="models to build, all if none is named")
     commands.add_parser("test")
     commands.add_parser("check")
+    commands.add_parser("sql").add_argument("query", help="Spark SQL over the tables by name")
     commands.add_parser("export").add_argument("extracts", help="folder for the CSV extracts")
     given = parser.parse_args(argv)
 
@@ -47,6 +48,9 @@ def main(argv: list[str] | None = None) -> None:
         for title, report in jobs.post_load_reports(warehouse).items():
             print(title)
             report.show(truncate=False)
+    elif given.command == "sql":
+        warehouse.create_views()
+        warehouse.spark.sql(given.query).show(truncate=False)
     else:
         warehouse.export(given.extracts)
 

@@ -116,6 +116,11 @@ class Warehouse:
         """Build the named models (all if none is named) after everything they need."""
         return {name: self.build_one(name) for name in with_inputs(names or MODELS)}
 
+    def create_views(self) -> None:
+        """Make every stored table and view available to ``spark.sql`` under its name."""
+        for name in (*SOURCES, *MODELS):
+            self.read(name).createOrReplaceTempView(name)
+
     def test(self) -> DataFrame:
         """Results of all declared tests on the stored tables."""
         return check_tables({name: self.read(name) for name in (*SOURCES, *MODELS)})
