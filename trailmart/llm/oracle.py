@@ -56,3 +56,13 @@ select conv_id, count(*) as n_turns,
            + length('<|turn|>') + 1 + length('<|end|>') + 1)::bigint as formatted_chars
 from t group by conv_id
 """
+
+SQL["op10_warc"] = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages
+), r as (select *, payload_bytes >= 1000 and page_id <> max(page_id) over g as again, max(page_id) over g as first_page
+  from p window g as (partition by payload_digest))
+select page_id, payload_bytes, payload_digest, case when again then 'revisit' else 'response' end as record_type,
+       case when again then first_page end as refers_to
+from r
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmart.llm import chat, fuse, mixing, pieces, sharding, simhash
+from trailmart.llm import chat, fuse, mixing, pieces, sharding, simhash, warc
 from trailmart.llm.common import table
 from trailmart.llm.oracle import SQL  # noqa: F401
 
@@ -51,6 +51,17 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_chats(chat.format_chats(turns)))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return read.select(
+        "page_id",
+        F.coalesce(F.octet_length("payload").cast("long"), F.col("declared_bytes")).alias("payload_bytes"),
+        F.coalesce(F.sha1("payload"), F.col("declared_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_simhash": op3_simhash,
@@ -58,4 +69,5 @@ QUERIES = {
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
     "op9_chat_format": op9_chat_format,
+    "op10_warc": op10_warc,
 }
