@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmart.llm import chat, fuse, mixing, pieces, sharding, simhash, warc
+from trailmart.llm import chat, fuse, mixing, pieces, sharding, simhash, substrings, warc
 from trailmart.llm.common import table
 from trailmart.llm.oracle import SQL  # noqa: F401
 
@@ -28,6 +28,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuse.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_simhash": op3_simhash,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_sharding": op7_sharding,
     "op8_mixing": op8_mixing,
