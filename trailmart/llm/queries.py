@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmart.llm import chat, fuse, mixing, pieces, sharding, simhash, substrings, warc
+from trailmart.llm import chat, curves, fuse, mixing, pieces, sharding, simhash, substrings, warc
 from trailmart.llm.common import table
 from trailmart.llm.oracle import SQL  # noqa: F401
 
@@ -23,6 +23,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.documents_as_ids(docs, model_path()))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curves.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return marked.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -68,6 +72,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_nearest": op2_nearest,
     "op3_simhash": op3_simhash,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
