@@ -68,6 +68,6 @@ def one_row_each(docs: DataFrame, tie: Column, chosen: DataFrame) -> DataFrame:
         return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), value.cast("string"))
 
     wanted = chosen.select(key(F.col("tie")).alias("_key"))
-    keyed = docs.withColumn("_key", key(tie)).join(wanted, "_key", "left_semi")
+    keyed = docs.withColumn("_key", key(tie)).join(wanted.hint("merge"), "_key", "left_semi")
     number = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
     return keyed.withColumn("_number", number).where("_number = 1").select(*docs.columns)

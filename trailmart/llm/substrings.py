@@ -278,14 +278,14 @@ def repeated_stretches(texts: DataFrame) -> DataFrame:
         .groupBy("uid")
         .agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     )
-    candidates = once_in_a_row(texts.join(ranges, "uid").select("uid", "digest", "text", "ranges"))
+    candidates = once_in_a_row(texts.join(ranges.hint("merge"), "uid").select("uid", "digest", "text", "ranges"))
     marked, marked_path = saved(candidates.withColumn("id", F.monotonically_increasing_id()), "substring-texts")
     discard(spark, found_path)
 
     windows = window_table(marked.select("id", "text", "ranges"))
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
     starts = windows.join(twice, ["h1", "h2"]).groupBy("id").agg(F.collect_list("start").alias("starts"))
-    left, _ = saved(without_repeats(marked.join(starts, "id")), "substring-left")
+    left, _ = saved(without_repeats(marked.join(starts.hint("merge"), "id")), "substring-left")
     discard(spark, marked_path)
     return left
 

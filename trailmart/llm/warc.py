@@ -253,7 +253,7 @@ def archive_pages(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataF
     )
     leaders, leaders_path = saved(leaders, "warc-leaders")
     other = F.col("row") != F.col("first")
-    rows = numbered.join(leaders, "digest", "left").select(
+    rows = numbered.join(leaders.hint("merge"), "digest", "left").select(
         "row", "page_id", "url", "payload", "digest",
         F.when(other, F.col("first")).alias("leader"), F.when(other, F.col("first_page")).alias("leader_page"),
     )
