@@ -181,7 +181,8 @@ def exact_dedup(docs: DataFrame, is_new=None, bucket_rows: int = BUCKET_ROWS) ->
     texts = docs.select(F.col("doc_id").alias("id"), text.alias("bytes"), F.sha2(text, 256).alias("sum"))
     same = (texts["id"].eqNullSafe(sides["id"])) & (texts["sum"] == sides["digest"])
     checked = (
-        texts.join(sides, same)
+        # The same join at every size: texts are not to be dealt out only once sides are many.
+        texts.join(sides.hint("merge"), same)
         .groupBy("digest")
         .agg((F.min("bytes") == F.max("bytes")).alias("equal"))
     )
