@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmart.llm import chat, curves, fuse, mixing, pieces, sharding, simhash, substrings, warc
+from trailmart.llm import chat, curves, fuse, mixing, pieces, sharding, simhash, substrings, toxicity, warc
 from trailmart.llm.common import table
 from trailmart.llm.oracle import SQL  # noqa: F401
 
@@ -32,6 +32,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(table(spark, sf_dir, "documents"))
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_nearest": op2_nearest,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_sharding": op7_sharding,
