@@ -67,7 +67,7 @@ def one_row_each(docs: DataFrame, tie: Column, chosen: DataFrame) -> DataFrame:
     def key(value) -> Column:
         return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), value.cast("string"))
 
-    wanted = chosen.select(key(F.col("tie")).alias("_key"))
-    keyed = docs.withColumn("_key", key(tie)).join(wanted.hint("merge"), "_key", "left_semi")
-    number = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
-    return keyed.withColumn("_number", number).where("_number = 1").select(*docs.columns)
+    wanted = chosen.select(key(F.col("tie")).alias("__key"))
+    keyed = docs.withColumn("__key", key(tie)).join(wanted.hint("merge"), "__key", "left_semi")
+    number = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    return keyed.withColumn("__number", number).where("__number = 1").select(*docs.columns)

@@ -109,7 +109,7 @@ def distinct_points(vectors: DataFrame, step: int, keep: int) -> tuple[DataFrame
     usable, _ = saved(clean.where(F.size("vec") == (width["n"] if width else 0)), "ann-vectors")
     classes = usable.groupBy("vec").agg(F.min("id").alias("cls"), F.bool_or(F.col("id") % step == 0).alias("asked"))
     number = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
-    first = usable.withColumn("n", number).where(F.col("n") <= keep)
+    first = usable.distinct().withColumn("n", number).where(F.col("n") <= keep)
     ids = first.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     points, _ = saved(classes.join(ids, "vec"), "ann-points")
     return usable, points

@@ -118,9 +118,9 @@ def write_shards(docs: DataFrame, path: str, key: str = "doc_id", limit: int = S
 
     Rows are numbered in a stored copy first, so that rows of equal keys keep their page.
     """
-    numbered, numbered_path = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "shard-input")
-    assigned, _ = saved(assign_shards(numbered, key, limit=limit, row=F.col("_row")), "shard-assignment")
-    joined = numbered.join(assigned.select(F.col("row").alias("_row"), "shard"), "_row").drop("_row")
+    numbered, numbered_path = saved(docs.withColumn("__row", F.monotonically_increasing_id()), "shard-input")
+    assigned, _ = saved(assign_shards(numbered, key, limit=limit, row=F.col("__row")), "shard-assignment")
+    joined = numbered.join(assigned.select(F.col("row").alias("__row"), "shard"), "__row").drop("__row")
     joined.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
     discard(docs.sparkSession, numbered_path)
     return assigned

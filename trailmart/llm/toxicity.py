@@ -264,9 +264,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Da
             columns = [np.zeros(len(texts)) for _ in CATEGORIES]
         return pa.StructArray.from_arrays([pa.array(c) for c in columns], list(CATEGORIES))
 
-    found = docs.withColumn("_p", probabilities(F.col("text")))
-    named = {f"p_{name}": F.col(f"_p.{name}") for name in CATEGORIES}
-    return found.withColumns(named).drop("_p").withColumn("rejected", F.col(f"p_{CATEGORIES[-1]}") > THRESHOLD)
+    found = docs.withColumn("__p", probabilities(F.col("text")))
+    named = {f"p_{name}": F.col(f"__p.{name}") for name in CATEGORIES}
+    return found.withColumns(named).drop("__p").withColumn("rejected", F.col(f"p_{CATEGORIES[-1]}") > THRESHOLD)
 
 
 def not_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
