@@ -1,24 +1,24 @@
 """Substring deduplication by recompression.
 
 Every word has a name, the same wherever it occurs. A run round names isolated double
-words; two pair rounds name neighbouring symbols whose hash bits say left and right. A
-name is a hash of the names it stands for, so all Spark tasks give equal material equal
-names without a common dictionary, and whether two symbols merge depends on them (a run:
-on its neighbours) alone. Equal stretches of text therefore have equal symbols inside; at
-each end at most 2 + 2 + 4 words may be named otherwise, and no symbol is longer than 8
-words.
-
-A window of 35 words so has 19 words in its middle that are named alike wherever the window
-occurs, and at least one whole symbol there. The longest group of up to four neighbouring
-symbols in the middle, ties by name, is the anchor of the window: equal windows have equal
-anchors. Anchors that occur once rule their windows out. The windows of the others are
-verified by 128-bit names over all their words. A hash collision of anchors only costs time.
+words; a pair round names neighbouring symbols whose hash bits say left and right. A name
+is a hash of the names it stands for, so all Spark tasks give equal material equal names
+without a common dictionary, and whether two symbols merge depends on them (a run: on its
+neighbours) alone. Equal stretches of text therefore have equal symbols inside; at each end
+at most 2 + 2 words may be named otherwise, and no symbol is longer than 4 words. Three
+more rounds name every pair of neighbours, pair of pairs and so on: 2, 4 and 8 symbols.
+
+A window of 35 words so has 27 words in its middle that are named alike wherever the window
+occurs, and at least five whole symbols there. The least name of eight symbols in the middle
+(of four, where there are not eight) is the anchor of the window: equal windows have equal
+anchors, and neighbouring windows mostly share theirs. Anchors that occur once rule their windows out. The
+windows of the others are verified by 128-bit names over all their words. A hash collision
+of anchors only costs time.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +31,7 @@ from trailmart.llm.common import discard, saved
 
 #: Fixed by the proof above: a window of this many words, of which the middle is named alike.
 WINDOW = 35
-EDGE = 8
-PAIR_ROUNDS = 2
+EDGE = 4
 #: Words worked on at a time, and distinct words remembered.
 CHUNK_WORDS = 400_000
 CACHE_WORDS = 300_000
@@ -48,25 +47,41 @@ def mix(a: np.ndarray, b: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
+class Codes(dict):
+    """Numbers words in order of appearance and lists those it has just met."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.fresh.append(word)
+        self[word] = number = len(self)
+        return number
+
+
 class WordNames:
     """Two independent 64-bit names of each word, from one 128-bit hash."""
 
     def __init__(self):
-        self.codes = defaultdict()
-        self.codes.default_factory = self.codes.__len__
-        self.lanes = np.zeros((0, 2), U)
+        self.codes, self.lanes = Codes(), np.zeros((1 << 12, 2), U)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         from xxhash import xxh3_128_digest
 
-        if len(self.codes) > CACHE_WORDS:
-            self.codes.clear()
-            self.lanes = np.zeros((0, 2), U)
-        index = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        fresh = list(self.codes)[len(self.lanes) :] if len(self.codes) > len(self.lanes) else []
-        if fresh:
-            raw = np.frombuffer(b"".join(map(xxh3_128_digest, fresh)), ">u8").astype(U).reshape(-1, 2)
-            self.lanes = np.concatenate([self.lanes, raw])
+        codes = self.codes
+        if len(codes) > CACHE_WORDS:
+            codes.clear()
+        known = len(codes)
+        index = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+        if codes.fresh:
+            if len(codes) > len(self.lanes):
+                grown = np.zeros((max(len(codes), 2 * len(self.lanes)), 2), U)
+                grown[:known] = self.lanes[:known]
+                self.lanes = grown
+            raw = np.frombuffer(b"".join(map(xxh3_128_digest, codes.fresh)), ">u8")
+            self.lanes[known : len(codes)] = raw.reshape(-1, 2)
+            codes.fresh.clear()
         return self.lanes[index]
 
 
@@ -80,17 +95,15 @@ def merge(names, lengths, owner, at, new_names):
 
 
 def recompress(names: np.ndarray, owner: np.ndarray):
-    """Names, lengths in words and owners of the symbols after the run and pair rounds."""
+    """Names, lengths in words and owners of the symbols after the run and the pair round."""
     lengths = np.ones(len(names), np.int64)
     same = np.zeros(len(names) + 1, bool)
     same[1:-1] = (names[1:] == names[:-1]) & (owner[1:] == owner[:-1])
     at = np.flatnonzero(same[1:-1] & ~same[:-2] & ~same[2:]) if len(names) > 1 else np.zeros(0, np.int64)
     names, lengths, owner = merge(names.copy(), lengths, owner, at, mix(names[at], names[at], 1))
-    for turn in range(PAIR_ROUNDS):
-        right = (mix(names, names, 2 + turn) >> U(63)).astype(bool)
-        at = np.flatnonzero(~right[:-1] & right[1:] & (owner[:-1] == owner[1:]))
-        names, lengths, owner = merge(names, lengths, owner, at, mix(names[at], names[at + 1], 10 + turn))
-    return names, lengths, owner
+    right = (mix(names, names, 2) >> U(63)).astype(bool)
+    at = np.flatnonzero(~right[:-1] & right[1:] & (owner[:-1] == owner[1:]))
+    return merge(names, lengths, owner, at, mix(names[at], names[at + 1], 3))
 
 
 def least_in_ranges(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -123,22 +136,21 @@ def anchors(names: np.ndarray, sizes: np.ndarray):
     symbol_at = np.repeat(np.arange(len(symbols)), lengths)
     low, high = symbol_at[start + EDGE - 1] + 1, symbol_at[start + WINDOW - EDGE] - 1
 
-    twos = mix(symbols[:-1], symbols[1:], 20)
-    two_words = lengths[:-1] + lengths[1:]
-    fours = mix(twos[:-2], twos[2:], 21)
-    four_words = two_words[:-2] + two_words[2:]
-    group = np.where(high - low >= 3, 4, np.where(high > low, 2, 1))
+    rounds = [(1, symbols)]
+    for step in (1, 2, 4):
+        own = rounds[-1][1]
+        rounds.append((2 * step, mix(own[:-step], own[step:], 20 + step)))
+    group = 1 << np.minimum(np.log2(high - low + 1).astype(np.int64), 3)
     place, name = np.empty(len(start), np.int64), np.empty(len(start), U)
-    for size, own, words in ((4, fours, four_words), (2, twos, two_words), (1, symbols, lengths)):
+    for size, own in rounds:
         mine = group == size
         if not mine.any():
             continue
-        priority = (U(63) - words.astype(U)) << U(58) | own >> U(6)
         rank = np.empty(len(own), np.int64)
-        order = np.argsort(priority, kind="stable")
+        order = np.argsort(own, kind="stable")
         rank[order] = np.arange(len(own))
         found = order[least_in_ranges(rank, low[mine], high[mine] - size + 1)]
-        place[mine] = found * 8 + size
+        place[mine] = found * 16 + size
         name[mine] = mix(own[found], own[found], 30 + size)
     text = np.repeat(np.arange(len(sizes)), number)
     first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (text[1:] != text[:-1])]))
@@ -192,23 +204,39 @@ def anchor_table(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(emit, "name long, uid long, first int, last int")
 
 
+def spans(ranges: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last starts of all ranges, and where those of each row begin."""
+    flat = ranges.flatten()
+    sizes = np.diff(ranges.offsets.to_numpy())
+    first, last = (flat.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+    return first, last, np.concatenate([[0], np.cumsum(sizes)])
+
+
 def window_table(marked: DataFrame) -> DataFrame:
     """h1, h2, id, start of every window in the ``ranges`` of ``marked`` texts."""
 
     def emit(batches):
         known = WordNames()
         for batch in batches:
-            ids, ranges = batch.column("id").to_pylist(), batch.column("ranges").to_pylist()
-            for number, text in enumerate(batch.column("text").to_pylist()):
-                words = (text or "").encode().split()
-                if len(words) < WINDOW:
+            ids = batch.column("id").to_numpy()
+            first, last, offsets = spans(batch.column("ranges"))
+            for begin, words in chunks(batch.column("text").to_pylist()):
+                lanes = known.of([w for one in words for w in one])
+                sizes = np.array([len(w) for w in words])
+                ends = np.cumsum(sizes)
+                if ends[-1] < WINDOW:
                     continue
-                wanted = np.zeros(len(words) - WINDOW + 1, bool)
-                for r in ranges[number]:
-                    wanted[r["first"] : r["last"] + 1] = True
-                start = np.flatnonzero(wanted)
-                one, two = window_names(known.of(words))
-                arrays = [signed(one[start]), signed(two[start]), pa.array(np.full(len(start), ids[number])), pa.array(start.astype(np.int32))]
+                change = np.zeros(ends[-1] + 1, np.int64)
+                for k, end in enumerate(ends):
+                    own = slice(offsets[begin + k], offsets[begin + k + 1])
+                    np.add.at(change, end - sizes[k] + first[own], 1)
+                    np.add.at(change, end - sizes[k] + last[own] + 1, -1)
+                text = np.repeat(np.arange(len(sizes)), sizes)
+                start = np.flatnonzero(np.cumsum(change[:-1]) > 0)
+                start = start[start + WINDOW <= ends[text[start]]]
+                one, two = window_names(lanes)
+                at = (start - (ends - sizes)[text[start]]).astype(np.int32)
+                arrays = [signed(one[start]), signed(two[start]), pa.array(ids[begin + text[start]]), pa.array(at)]
                 yield pa.RecordBatch.from_arrays(arrays, ["h1", "h2", "id", "start"])
 
     return marked.mapInArrow(emit, "h1 long, h2 long, id long, start int")
@@ -268,8 +296,9 @@ def repeated_stretches(texts: DataFrame) -> DataFrame:
     """
     spark = texts.sparkSession
     found, found_path = saved(anchor_table(texts.select("uid", "text")), "substring-anchors")
-    spans = [f(c).alias(f"{f.__name__}_{c}") for c in ("uid", "first") for f in (F.min, F.max)]
-    again = found.groupBy("name").agg(*spans).where("min_uid <> max_uid or min_first <> max_first").select("name")
+    where = F.xxhash64("uid", "first")
+    places = found.select("name", where.alias("place")).groupBy("name")
+    again = places.agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low <> high").select("name")
     # Copies give the same ranges; distinct first, so that a list is no longer than its text.
     ranges = (
         found.join(again, "name")
