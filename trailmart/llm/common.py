@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import string
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ BATCH_CONF = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
 }
 
+#: Seconds the cleaner gets to notice what a garbage collection has freed.
+PAUSE = 0.5
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings that results and memory depend on."""
@@ -54,8 +58,11 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         fs, parsed = file_system(spark, path)
         fs.delete(parsed, True)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    # The first collection lets go of plans, the next one of the shuffles they held.
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(PAUSE)
 
 
 def one_row_each(docs: DataFrame, tie: Column, chosen: DataFrame) -> DataFrame:

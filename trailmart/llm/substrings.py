@@ -307,9 +307,11 @@ def repeated_stretches(texts: DataFrame) -> DataFrame:
         .groupBy("uid")
         .agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     )
+    ranges, ranges_path = saved(ranges, "substring-ranges")
+    discard(spark, found_path)
     candidates = once_in_a_row(texts.join(ranges.hint("merge"), "uid").select("uid", "digest", "text", "ranges"))
     marked, marked_path = saved(candidates.withColumn("id", F.monotonically_increasing_id()), "substring-texts")
-    discard(spark, found_path)
+    discard(spark, ranges_path)
 
     windows = window_table(marked.select("id", "text", "ranges"))
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
