@@ -96,7 +96,7 @@ def test_pieces_on_random_texts():
     samples = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(1500)]
     samples += ["a" * k for k in range(40)] + [" " * k for k in range(70)] + ["▁" * k + "\n" * (k % 3) for k in range(40)]
     samples += ["".join(library.id_to_piece(rnd.randrange(259, 32000)) for _ in range(12)) for _ in range(500)]
-    encoded = pieces.encode_batch(own, samples, {})
+    encoded = pieces.encode_batch(pieces.WordIds(own), samples)
     assert [x.tolist() for x in encoded] == library.encode(samples, add_eos=True)
     assert [own.decode(x) for x in encoded] == [library.decode(x.tolist()) for x in encoded]
     for _ in range(2000):

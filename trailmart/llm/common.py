@@ -78,3 +78,16 @@ def one_row_each(docs: DataFrame, tie: Column, chosen: DataFrame) -> DataFrame:
     keyed = docs.withColumn("__key", key(tie)).join(wanted.hint("merge"), "__key", "left_semi")
     number = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
     return keyed.withColumn("__number", number).where("__number = 1").select(*docs.columns)
+
+
+class Codes(dict):
+    """Numbers words in order of appearance and lists those it has just met."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list = []
+
+    def __missing__(self, word) -> int:
+        self.fresh.append(word)
+        self[word] = number = len(self)
+        return number

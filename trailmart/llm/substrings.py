@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmart.llm.common import discard, saved
+from trailmart.llm.common import Codes, discard, saved
 
 #: Fixed by the proof above: a window of this many words, of which the middle is named alike.
 WINDOW = 35
@@ -47,19 +47,6 @@ def mix(a: np.ndarray, b: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-class Codes(dict):
-    """Numbers words in order of appearance and lists those it has just met."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        self.fresh.append(word)
-        self[word] = number = len(self)
-        return number
-
-
 class WordNames:
     """Two independent 64-bit names of each word, from one 128-bit hash."""
 
