@@ -53,7 +53,7 @@ def test_single_steps(spark, folders, capsys):
     assert "events: 4" in text and "products: 2" in text and "built: dim_product" in text
     assert "unknown_brands" in text
     assert Warehouse(spark, root).read("rejected_events").count() == 0
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(Exception, match="no table has been published"):
         main(["--warehouse", root, "test"])
     main(["--warehouse", root, "build"])
     main(["--warehouse", root, "test"])
@@ -61,3 +61,42 @@ def test_single_steps(spark, folders, capsys):
     assert "acme" in capsys.readouterr().out
     main(["--warehouse", root, "export", out])
     assert spark.read.options(header="true").csv(f"{out}/mart_experiment_results").count() >= 1
+
+
+def test_a_failing_model_stops_before_its_dependents(spark, folders, monkeypatch):
+    from trailmart.operators import facts
+    from trailmart.plans import models
+
+    csv, root, out = folders
+    main(["--warehouse", root, "reload", csv, out])
+    warehouse = Warehouse(spark, root)
+    before = {name: warehouse.read(name).inputFiles() for name in ("fact_sessions", "dim_user")}
+    broken = models.Model(
+        ("stg_events",), lambda staged: facts.fact_sessions(staged).selectExpr("* except (user_id)", "cast(null as bigint) as user_id"), "analytics"
+    )
+    monkeypatch.setitem(models.MODELS, "fact_sessions", broken)
+    with pytest.raises(ValueError, match="fact_sessions.user_id not_null"):
+        warehouse.build(tested=True)
+    assert {name: warehouse.read(name).inputFiles() for name in before} == before
+
+
+def test_reload_parses_the_files_once(spark, folders, monkeypatch):
+    from trailmart.sources import events
+
+    csv, root, out = folders
+    calls = []
+    scan = events.scan_csv
+    monkeypatch.setattr(events, "scan_csv", lambda *given: calls.append(given) or scan(*given))
+    main(["--warehouse", root, "reload", csv, out])
+    assert len(calls) == 1
+    plan = Warehouse(spark, root).read("landing")._jdf.queryExecution().toString()
+    assert "parquet" in plan and "csv" not in plan.lower().replace(csv.lower(), "")
+
+
+def test_multi_line_files_reload(spark, folders, tmp_path):
+    csv, root, out = folders
+    (tmp_path / "in" / "nov.csv").write_text("\n".join([HEADER, LINES[0].replace("acme", '"two\nlines"')]) + "\n")
+    with pytest.raises(ValueError, match="well_formed"):
+        main(["--warehouse", root, "reload", csv, out])
+    main(["--warehouse", root, "reload", "--multi-line", csv, out])
+    assert Warehouse(spark, root).read("raw_events").count() == 5

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trailmart.operators import experiment, facts
 from trailmart.plans import testbed
+from trailmart.plans.catalog import QUERIES
 from trailmart.plans.models import MODELS, Warehouse, derive
 from trailmart.session import shared_dir
 from trailmart.sources.files import replace_table
@@ -162,3 +163,20 @@ def test_no_scratch_folder_on_a_cluster_without_setting():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session, "x")
+
+
+@pytest.mark.parametrize("name", ["cardinality", "metadata_quality"])
+def test_distinct_counts_expand_no_rows(spark, sf_dir, name):
+    text = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in text
+
+
+def test_price_summary_reads_the_events_once(spark, sf_dir):
+    text = QUERIES["price_summary"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in text and "prices-" in text
+
+
+def test_first_step_of_the_product_master_is_a_hash_aggregate(spark, sf_dir):
+    text = QUERIES["product_master"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min(load_order" in text
+    assert [line for line in text.splitlines() if "partial_min(load_order" in line][0].lstrip(" +-:*(0123456789)").startswith("HashAggregate")

@@ -12,6 +12,7 @@ from trailmart.operators import quality
 from trailmart.sources import events, extracts, files, products
 
 HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
+COLUMNS = HEADER.split(",")
 GOOD = "2019-10-01 00:00:00 UTC,view,1,2053013555631882655,electronics.phone,acme,9.99,5,s1"
 
 
@@ -80,6 +81,62 @@ def test_strict_load(csv):
     assert rows[1].price is None and rows[1].user_session is None
 
 
+SHORT = ",".join(GOOD.split(",")[:6])
+LONG = GOOD + ",7,8"
+TORN = GOOD.replace("acme", '"two\nlines"')
+
+
+@pytest.mark.parametrize("broken", [SHORT, LONG, TORN])
+def test_broken_lines_are_kept_whole_and_stop_the_strict_load(csv, broken):
+    landing = csv(GOOD, broken)
+    assert sorted(r.malformed for r in landing.filter("malformed is not null").collect()) == sorted(broken.split("\n"))
+    assert events.load_permissive(landing).count() == 1
+    assert {r.reason for r in events.rejected(landing).collect()} == {"malformed"}
+    with pytest.raises(PySparkException, match="malformed line"):
+        events.load_strict(landing).collect()
+    with pytest.raises(ValueError, match="line well_formed"):
+        quality.validate_file(landing, COLUMNS)
+
+
+def test_torn_lines_load_with_multi_line(spark, csv, tmp_path):
+    csv(GOOD, TORN)
+    landing = events.scan_csv(spark, str(tmp_path), multi_line=True)
+    assert events.load_strict(landing).count() == 2
+
+
+def test_ids_with_a_fraction_of_zero(csv):
+    landing = csv(GOOD.replace(",1,", ",1.0,").replace(",5,", ",5.00,"), GOOD.replace(",1,", ",1.5,"))
+    assert [(r.product_id, r.user_id) for r in events.load_permissive(landing).collect()] == [(1, 5)]
+    assert [r.product_id for r in products.product_master(landing).collect()] == [1]
+    assert [r.reason for r in events.rejected(landing).collect()] == ["product_id"]
+
+
+@pytest.mark.parametrize("time", ["12:30", "2019", "2019-10"])
+def test_part_of_a_time_is_no_time(csv, time):
+    landing = csv(GOOD.replace("2019-10-01 00:00:00 UTC", time))
+    assert events.load_permissive(landing).count() == 0
+    with pytest.raises(PySparkException, match="event_time"):
+        events.load_strict(landing).collect()
+
+
+@pytest.mark.parametrize("split", ["4k", "128m"])
+def test_first_product_row_does_not_depend_on_file_sizes(spark, csv, tmp_path, split):
+    csv(*[GOOD.replace("acme", "first")] * 20, name="2019-10.csv")
+    csv(*[GOOD.replace("acme", "second")] * 4000, name="2019-11.csv")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        rows = products.product_master(events.scan_csv(spark, str(tmp_path))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.brand for r in rows] == ["first"]
+
+
+def test_header_report(spark):
+    report = quality.validate_header(spark, [*COLUMNS[1:], "note"])
+    assert {(r.rule, r.column_name) for r in report.collect() if r.failures} == {("required_column", "event_time")}
+    assert [r.column_name for r in report.filter("rule = 'extra_column'").collect()] == ["note"]
+
+
 @pytest.mark.parametrize(
     "bad",
     [
@@ -102,8 +159,8 @@ def test_strict_load_rejects_everything_on_one_bad_value(spark, csv, tmp_path, b
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     # The table that was there before is still complete, and nothing is left beside it.
-    assert spark.read.parquet(target).count() == 1
-    assert [name for name in os.listdir(tmp_path) if "staged" in name] == []
+    assert files.read_table(spark, target).count() == 1
+    assert len([name for name in os.listdir(target) if name.startswith("version-")]) == 1
 
 
 def test_permissive_load_and_rejects_cover_every_row(csv):
@@ -141,37 +198,52 @@ def test_replace_append_and_partition_reload(spark, tmp_path):
     rows = spark.range(10).select("id", (F.col("id") % 3).alias("day"))
     files.replace_table(rows, path, ("day",))
     files.replace_table(rows, path, ("day",))
-    assert spark.read.parquet(path).count() == 10
+    assert files.read_table(spark, path).count() == 10
     files.append_table(rows.filter("day = 0"), path, ("day",))
-    assert spark.read.parquet(path).count() == 14
+    assert files.read_table(spark, path).count() == 14
     files.replace_partitions(rows.filter("day = 0"), path, ("day",))
-    assert spark.read.parquet(path).count() == 10
-    leftovers = [name for name in os.listdir(tmp_path) if "staged" in name or "retired" in name]
-    assert leftovers == []
+    assert files.read_table(spark, path).count() == 10
 
 
-def test_extract_is_one_file_while_small(spark, tmp_path):
-    table, out = str(tmp_path / "mart"), str(tmp_path / "out")
+def test_a_version_is_read_only_once_it_is_published(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        files.read_table(spark, path)
+    old = files.replace_table(spark.range(3), path)
+    _, version = files.stage_table(spark.range(5), path)
+    # A job lost between write and switch leaves the old version in place.
+    assert files.read_table(spark, path).count() == 3
+    files.publish(spark, path, version)
+    assert files.read_table(spark, path).count() == 5
+    # Readers that began with the version before can finish, older versions go.
+    assert old.count() == 3
+    for n in (7, 8):
+        files.replace_table(spark.range(n), path)
+    assert files.read_table(spark, path).count() == 8
+    assert len([name for name in os.listdir(path) if name.startswith("version-")]) == 2
+    assert sorted(name for name in os.listdir(path) if "CURRENT" in name and not name.startswith(".")) == ["_CURRENT"]
+
+
+@pytest.mark.parametrize(("one_file", "parts"), [(True, 1), (False, 2)])
+def test_extract_is_one_file_on_request(spark, tmp_path, one_file, parts):
+    out = str(tmp_path / "out")
     names = ["January  ", 'a "quoted", name']
-    files.replace_table(spark.createDataFrame([(n,) for n in names], "name string").repartition(2), table)
-    extracts.export_table(spark, table, out)
-    parts = [name for name in os.listdir(out) if name.endswith(".csv")]
-    assert len(parts) == 1
+    mart = spark.createDataFrame([(n,) for n in names], "name string").repartition(2)
+    extracts.export_csv(mart, out, single_file=one_file)
+    assert len([name for name in os.listdir(out) if name.endswith(".csv")]) == parts
     back = spark.read.options(header="true", escape='"').csv(out)
     assert sorted(r.name for r in back.collect()) == sorted(names)
-    extracts.export_table(spark, table, out, limit=0)
-    assert len([name for name in os.listdir(out) if name.endswith(".csv")]) == 2
 
 
 def test_validation_gate(spark, csv):
     good = csv(GOOD)
-    quality.validate_file(good)
+    quality.validate_file(good, COLUMNS)
     # Upper case passes the load but not the check of the file as written.
     with pytest.raises(ValueError, match="event_type accepted_values: 1"):
-        quality.validate_file(csv(GOOD, GOOD.replace("view", "VIEW")))
+        quality.validate_file(csv(GOOD, GOOD.replace("view", "VIEW")), COLUMNS)
     with pytest.raises(ValueError, match="price not_null: 1"):
-        quality.validate_file(csv(GOOD, GOOD.replace("9.99", "")))
+        quality.validate_file(csv(GOOD, GOOD.replace("9.99", "")), COLUMNS)
     with pytest.raises(ValueError, match="brand required_column"):
-        quality.validate_file(good.drop("brand"))
+        quality.validate_file(good, [name for name in COLUMNS if name != "brand"])
     invalid = quality.invalid_event_types(csv(GOOD.replace("view", "VIEW"), GOOD)).collect()
     assert [(r.event_type, r.event_count) for r in invalid] == [("VIEW", 1)]

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from trailmart.operators import quality
 from trailmart.plans import jobs
 from trailmart.plans.models import Warehouse
+from trailmart.sources.events import csv_header
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,7 +20,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--warehouse", required=True, help="root folder of the tables")
     commands = parser.add_subparsers(dest="command", required=True)
     for name in ("validate", "load", "load-products", "reload"):
-        commands.add_parser(name).add_argument("csv", help="folder, file or glob of event CSV files")
+        command = commands.add_parser(name)
+        command.add_argument("csv", help="folder, file or glob of event CSV files")
+        command.add_argument("--multi-line", action="store_true", help="fields may hold line breaks")
     commands.choices["load"].add_argument("--permissive", action="store_true")
     commands.choices["reload"].add_argument("extracts", help="folder for the CSV extracts")
     commands.add_parser("build").add_argument("models", nargs="*", help="models to build, all if none is named")
@@ -30,16 +33,18 @@ def main(argv: list[str] | None = None) -> None:
     given = parser.parse_args(argv)
 
     warehouse = Warehouse(SparkSession.builder.appName("trailmart").getOrCreate(), given.warehouse)
-    if given.command == "validate":
-        jobs.validate(warehouse, given.csv)
-    elif given.command == "load":
-        print("events:", jobs.load_events(warehouse, given.csv, given.permissive))
-    elif given.command == "load-products":
-        print("products:", jobs.load_products(warehouse, given.csv))
-    elif given.command == "reload":
-        jobs.reload(warehouse, given.csv, given.extracts)
+    if given.command == "reload":
+        jobs.reload(warehouse, given.csv, given.extracts, given.multi_line)
+    elif given.command in ("validate", "load", "load-products"):
+        landing = jobs.land(warehouse, given.csv, given.multi_line)
+        if given.command == "validate":
+            jobs.validate(landing, csv_header(warehouse.spark, given.csv))
+        elif given.command == "load":
+            print("events:", jobs.load_events(warehouse, landing, given.permissive))
+        else:
+            print("products:", jobs.load_products(warehouse, landing))
     elif given.command == "build":
-        print("built:", ", ".join(warehouse.build(*given.models)))
+        print("built:", ", ".join(warehouse.build(*given.models, tested=True)))
     elif given.command == "test":
         results = warehouse.test()
         results.show(200, truncate=False)

@@ -5,7 +5,7 @@ The rules are SQL expressions over a column name.
 
 from __future__ import annotations
 
-from trailmart.schemas import UNKNOWN
+from trailmart.schemas import CATEGORY, UNKNOWN
 
 
 def normalised(name: str) -> str:
@@ -26,3 +26,23 @@ def hash_bucket(key: str, buckets: int = 100) -> str:
     The same key gets the same bucket on every run, engine and partitioning.
     """
     return f"cast(cast(conv(substring(md5(cast({key} as string)), 1, 8), 16, 10) as bigint) % {buckets} as int)"
+
+
+def time_or_null(name: str) -> str:
+    """A timestamp from text that starts with a full date; anything less is NULL.
+
+    A bare cast would read a time alone as today's and a year as its first of January.
+    """
+    return f"if({name} rlike '^ *[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}', try_cast({name} as timestamp), null)"
+
+
+def whole_or_null(name: str) -> str:
+    """A whole number from text; a fraction of zeros, as in 5.0, does no harm, any other does."""
+    whole = f"try_cast(substring_index({name}, '.', 1) as bigint)"
+    return f"coalesce(try_cast({name} as bigint), if({name} rlike '^ *[+-]?[0-9]+[.]0+ *$', {whole}, null))"
+
+
+def category_or_null(name: str) -> str:
+    """A category id from text, under the rule of ``whole_or_null``."""
+    whole = f"try_cast(substring_index({name}, '.', 1) as {CATEGORY})"
+    return f"if({name} rlike '^ *[+-]?[0-9]+([.]0+)? *$', {whole}, null)"

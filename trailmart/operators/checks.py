@@ -40,3 +40,10 @@ def unknown_products(products: DataFrame) -> DataFrame:
         F.expr(f"count_if(category_code = '{UNKNOWN}') as unknown_categories"),
         F.expr(f"count_if(brand = '{UNKNOWN}') as unknown_brands"),
     )
+
+
+def sample_check(sample: DataFrame, source: DataFrame) -> DataFrame:
+    """Rows of a stored sample, and how many of them the source does not have that often."""
+    foreign = sample.exceptAll(source).agg(F.count(F.lit(1)).alias("not_in_source"))
+    rows = row_count(sample, "sample_rows")
+    return rows.select("sample_rows", foreign.scalar().alias("not_in_source"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from trailmart.functions.rates import (
     ratio,
     sum_micros,
 )
-from trailmart.functions.text import hash_bucket
+from trailmart.functions.text import hash_bucket, time_or_null
 from trailmart.operators.facts import event_counts, journey_pattern, step_rates, type_flags
 from trailmart.schemas import EVENT_TYPES, TOTAL, UNKNOWN
 from trailmart.sources.files import stored
@@ -39,20 +41,22 @@ def missing_values(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return shares.orderBy(F.desc("missing_count"), "field")
 
 
+def distinct_values(df: DataFrame, columns: dict[str, str], key: str, value: str) -> DataFrame:
+    """Rows ``(key, value)``: distinct values of each column, counted in a scan of that column.
+
+    Several distinct counts in one aggregate would expand every row once per column.
+    """
+    counts = (
+        df.select(column).agg(F.count_distinct(column).alias(value)).select(F.lit(name).alias(key), value)
+        for name, column in columns.items()
+    )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def metadata_quality(df: DataFrame, columns: tuple[str, ...] = ("category_code", "brand")) -> DataFrame:
     """Missing values plus the number of distinct values of descriptive columns."""
-    report = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *(F.expr(f"count_if({name} is null) as {name}_missing") for name in columns),
-        *(F.countDistinct(name).alias(f"{name}_values") for name in columns),
-    )
-    cells = ", ".join(
-        f"struct('{name}' as field, {name}_missing as missing_count, {name}_values as unique_non_null_values)"
-        for name in columns
-    )
-    return report.selectExpr("total", f"inline(array({cells}))").select(
-        "field", "missing_count", pct("missing_count", "total").alias("missing_pct"), "unique_non_null_values"
-    )
+    found = distinct_values(df, {name: name for name in columns}, "field", "unique_non_null_values")
+    return missing_values(df.select(*columns), columns).join(found, "field")
 
 
 def value_counts(df: DataFrame, column: str, count: str, share: str) -> DataFrame:
@@ -68,7 +72,7 @@ def value_counts(df: DataFrame, column: str, count: str, share: str) -> DataFram
 
 def time_profile(landing_text: DataFrame) -> DataFrame:
     """Timestamps that do not parse, and the range of those that do."""
-    parsed = F.col("event_time").try_cast("timestamp")
+    parsed = F.expr(time_or_null("event_time"))
     return landing_text.agg(
         F.count_if(parsed.isNull()).alias("invalid_timestamps"),
         F.min(parsed).alias("min_event_time"),
@@ -102,8 +106,9 @@ CARDINALITIES = {
 
 def cardinality(events: DataFrame, approximate: bool = False) -> DataFrame:
     """Distinct values of six columns; ``approximate`` trades exactness for a single pass."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    row = events.agg(*(count(F.col(column)).alias(name) for name, column in CARDINALITIES.items()))
+    if not approximate:
+        return distinct_values(events, CARDINALITIES, "metric", "value")
+    row = events.agg(*(F.approx_count_distinct(column).alias(name) for name, column in CARDINALITIES.items()))
     return as_rows(row, list(CARDINALITIES), "metric", "value")
 
 
@@ -114,43 +119,43 @@ def top_values(df: DataFrame, column: str, k: int = 15) -> DataFrame:
     return counts.orderBy(F.desc("event_count"), column).limit(k)
 
 
-# Order-preserving bucket of a whole number: its four leading hexadecimal digits and how
-# many follow. A bucket spans at most 1/4096 of its values; there are fewer than a million
-# of each sign. Whole-number arithmetic, so every executor agrees on the bucket.
-FOLLOWING = "greatest(length(hex(abs(v))) - 4, 0)"
-MAGNITUDE = f"cast(signum(v) as int) * cast(65536 * {FOLLOWING} + shiftright(abs(v), 4 * {FOLLOWING}) as int)"
+# Sixteen hexadecimal digits of a whole number in ascending order, negative numbers first.
+ORDERED_HEX = "lpad(hex(v ^ shiftleft(1L, 63)), 16, '0')"
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...], weight: str = "1") -> DataFrame:
     """Exact quantiles of a whole-number column, interpolated linearly between ranks.
 
-    A row counts ``weight`` times. A first pass counts rows per magnitude bucket; their
-    number is bounded, so the running totals over them fit one task. They tell which
-    buckets hold the wanted ranks, and only values of those few buckets are counted one
-    by one in a second pass. No task ever sees all values, and repeated values travel as
-    one row: around half an hour a bucket has at most 65,536 different microseconds.
+    A row counts ``weight`` times. Values are reduced to one row each, then looked at four
+    digits at a time: rows are counted per beginning, running totals tell which beginnings
+    hold the wanted ranks, and only those are looked at more closely. A beginning has at
+    most 65,536 continuations, so no task sees more, wherever the values lie.
     """
     values = df.filter(f"{column} is not null").selectExpr(f"cast({column} as bigint) as v", f"{weight} as w")
-    values = values.selectExpr("v", "w", f"{MAGNITUDE} as bucket")
-    buckets = values.groupBy("bucket").agg(F.sum("w").alias("n"))
-    running = "sum(n) over (order by bucket)"
-    placed = buckets.selectExpr("bucket", f"{running} - n as before", f"{running} as upto", "sum(n) over () as total")
+    points = values.groupBy("v").agg(F.sum("w").alias("n")).selectExpr("v", "n", f"{ORDERED_HEX} as digits")
     # The wanted position is p * (total - 1); values are needed at its floor and its ceiling.
     wanted = ", ".join(f"cast({p} as decimal(8,6))" for p in probabilities)
     ranks = (
-        placed.selectExpr("*", f"explode(array({wanted})) as p")
-        .selectExpr("*", "p * cast(total - 1 as decimal(20,0)) as position")
+        points.agg(F.sum("n").alias("total"))
+        .filter("total > 0")
+        .selectExpr("total", f"explode(array({wanted})) as p")
+        .selectExpr("p", "p * cast(total - 1 as decimal(20,0)) as position")
         .selectExpr("*", "explode(array_distinct(array(floor(position), ceil(position)))) as rank")
-        .filter("rank >= before and rank < upto")
-        .select("bucket", "before", "p", "position", "rank")
+        .selectExpr("p", "position", "cast(rank as bigint) as rank", "'' as beginning", "cast(0 as bigint) as before")
     )
-    # At most two ranks per probability, so both broadcasts are a handful of rows.
-    needed = ranks.select("bucket", "before").distinct()
-    points = values.join(F.broadcast(needed), "bucket").groupBy("bucket", "before", "v").agg(F.sum("w").alias("n"))
-    inside = "sum(n) over (partition by bucket order by v)"
-    located = points.selectExpr("bucket", "v", f"before + {inside} - n as from_rank", f"before + {inside} as to_rank")
-    hit = located.join(F.broadcast(ranks), "bucket").filter("rank >= from_rank and rank < to_rank")
-    ends = hit.groupBy("p", "position").agg(
+    for length in (4, 8, 12, 16):
+        # At most two ranks per probability, so both broadcasts are a handful of rows.
+        open_ = ranks.select("beginning", "before").distinct()
+        beginnings = f"left(digits, {length - 4}) as beginning", f"left(digits, {length}) as longer"
+        near = points.selectExpr("v", "n", *beginnings)
+        counts = near.join(F.broadcast(open_), "beginning").groupBy("beginning", "before", "longer")
+        counts = counts.agg(F.sum("n").alias("n"), F.min("v").alias("v"))
+        upto = "before + sum(n) over (partition by beginning order by longer)"
+        placed = counts.selectExpr("beginning", "longer", "v", f"{upto} - n as from_rank", f"{upto} as to_rank")
+        wanted_here = F.broadcast(ranks.select("p", "position", "rank", "beginning"))
+        hit = placed.join(wanted_here, "beginning").filter("rank >= from_rank and rank < to_rank")
+        ranks = hit.selectExpr("p", "position", "rank", "longer as beginning", "from_rank as before", "v")
+    ends = ranks.groupBy("p", "position").agg(
         F.expr("cast(min(v) as decimal(20,0)) as low"), F.expr("cast(max(v) as decimal(20,0)) as high")
     )
     return ends.selectExpr(
@@ -159,21 +164,34 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...]
     )
 
 
+def price_points(events: DataFrame) -> DataFrame:
+    """One stored row per price in cents with its number of events: the events are read once."""
+    priced = events.filter("price is not null").selectExpr("cast(price * 100 as bigint) as c")
+    return stored(priced.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "prices")
+
+
 def price_summary(events: DataFrame) -> DataFrame:
     """Count, mean, standard deviation, extremes and quantiles of the price."""
+    points = price_points(events)
+    sums = points.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("k"),
+        F.expr("sum(cast(c * n as decimal(38,0))) as s"),
+        F.expr("sum(cast(c as decimal(19,0)) * c * n) as q"),
+        F.min("c").alias("low"),
+        F.max("c").alias("high"),
+    )
     stats = {
-        "count": "cast(count(price) as double)",
-        "mean": "cast(sum(price) as double) / nullif(count(price), 0)",
-        "std": "stddev_samp(cast(price as double))",
-        "min": "cast(min(price) as double)",
-        "max": "cast(max(price) as double)",
+        "count": "cast(k as double)",
+        "mean": "cast(s as double) / 100 / nullif(k, 0)",
+        "std": "sqrt(cast(k * q - s * s as double) / nullif(k, 0) / nullif(k - 1, 0)) / 100",
+        "min": "cast(low as double) / 100",
+        "max": "cast(high as double) / 100",
     }
-    one = events.agg(*(F.expr(f"round({text}, 4) as {name}") for name, text in stats.items()))
-    priced = events.selectExpr("cast(price * 100 as bigint) as cents")
-    points = exact_quantiles(priced, "cents", PRICE_QUANTILES).selectExpr(
+    one = sums.selectExpr(*(f"round({text}, 4) as {name}" for name, text in stats.items()))
+    quantiles = exact_quantiles(points, "c", PRICE_QUANTILES, weight="n").selectExpr(
         "concat(cast(probability * 100 as int), '%') as statistic", "cast(round(value / 100, 4) as double) as value"
     )
-    return as_rows(one, list(stats), "statistic", "value").unionByName(points)
+    return as_rows(one, list(stats), "statistic", "value").unionByName(quantiles)
 
 
 # Metrics of the purchase summary, in order.
@@ -212,17 +230,20 @@ def histogram(events: DataFrame, bins: int = 50, up_to: float | None = None) ->
     numbers are whole-number arithmetic on cents, so no price sits on the wrong side
     of an edge. Empty bins are present with a count of zero.
     """
-    priced = events.filter("price is not null").selectExpr("cast(price * 100 as bigint) as c")
-    points = stored(priced.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "prices")
+    points = price_points(events)
     if up_to is not None:
-        cut = exact_quantiles(points, "c", (up_to,), weight="n").select("value").scalar()
+        # Stored: the one row is needed wherever the points are.
+        cut = stored(exact_quantiles(points, "c", (up_to,), weight="n").select("value"), "cut").scalar()
         points = points.filter(F.col("c") <= cut)
-    bounds = points.agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    # Where all prices are equal the bins span half a unit to either side.
+    bounds = points.agg(F.min("c").alias("lo"), F.max("c").alias("hi")).selectExpr(
+        "if(lo = hi, lo - 50, lo) as lo", "if(lo = hi, hi + 50, hi) as hi"
+    )
     limits = bounds.select("lo").scalar().alias("lo"), bounds.select("hi").scalar().alias("hi")
-    within = f"least((c - lo) * {bins} div nullif(hi - lo, 0) + 1, {bins})"
+    within = f"least((c - lo) * {bins} div (hi - lo) + 1, {bins})"
     counted = (
         points.select("c", "n", *limits)
-        .selectExpr("n", f"cast(if(lo = hi, {bins // 2 + 1}, {within}) as int) as bin")
+        .selectExpr("n", f"cast({within} as int) as bin")
         .groupBy("bin")
         .agg(F.sum("n").alias("n"))
     )

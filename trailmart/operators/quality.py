@@ -208,26 +208,33 @@ def extra_columns(header: list[str]) -> list[str]:
     return [name for name in header if name not in LANDING_COLUMNS]
 
 
-def validate_header(landing: DataFrame, source: str = "landing") -> DataFrame:
-    """One ``required_column`` row per expected column; decided from the header, no data is read."""
-    rows = [(source, "required_column", name, int(name not in landing.columns)) for name in LANDING_COLUMNS]
-    schema = "table_name string, rule string, column_name string, failures bigint"
-    return landing.sparkSession.createDataFrame(rows, schema)
+def validate_header(spark: SparkSession, header: list[str], source: str = "landing") -> DataFrame:
+    """A ``required_column`` row per expected column and an ``extra_column`` row per other one.
+
+    Decided from the header of the files, no data is read. A missing column is a failure,
+    an extra one is reported without being one.
+    """
+    rows = [(source, "required_column", name, int(name not in header)) for name in LANDING_COLUMNS]
+    rows += [(source, "extra_column", name, 0) for name in extra_columns(header)]
+    return spark.createDataFrame(rows, "table_name string, rule string, column_name string, failures bigint")
 
 
 def validate_landing(landing: DataFrame, source: str = "landing") -> DataFrame:
-    """Event types as written, before trimming and lower-casing, and empty required fields.
+    """Broken lines, event types as written, before clean-up, and empty required fields.
 
     Every row is checked, in one scan.
     """
-    rules = [("accepted_values", "event_type", f"{empty_to_null('event_type')} not in {EVENT_TYPES}")]
+    rules = [("well_formed", "line", "malformed is not null")]
+    rules += [("accepted_values", "event_type", f"{empty_to_null('event_type')} not in {EVENT_TYPES}")]
     rules += [("not_null", name, f"{empty_to_null(name)} is null") for name in VALIDATED_COLUMNS]
     return count_violations(landing, source, rules)
 
 
-def validate_file(landing: DataFrame, source: str = "landing") -> None:
+def validate_file(landing: DataFrame, header: list[str], source: str = "landing") -> None:
     """Header first, then contents; raises at the first stage that fails."""
-    gate(validate_header(landing, source))
+    gate(validate_header(landing.sparkSession, header, source))
+    for name in extra_columns(header):
+        print(f"{source}: unexpected column {name} is ignored")
     gate(validate_landing(landing, source))
 
 

@@ -14,13 +14,13 @@ from trailmart.plans.models import MODELS, SOURCES, Warehouse, derive, sources_o
 from trailmart.schemas import LANDING_COLUMNS
 from trailmart.session import shared_dir
 from trailmart.sources import events, products
-from trailmart.sources.extracts import export_csv, export_table
-from trailmart.sources.files import append_table, replace_partitions, replace_table, stored
+from trailmart.sources.extracts import export_csv
+from trailmart.sources.files import append_table, read_table, replace_partitions, replace_table, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Columns that name a load rather than describe an event.
-LOAD_COLUMNS = ("source_file", "loaded_at")
+LOAD_COLUMNS = ("source_file", "file_path", "loaded_at")
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -57,16 +57,13 @@ def over_raw(report: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: comparable(report(testbed.raw_events(spark, sf_dir)))
 
 
-def over_products(report: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: comparable(report(testbed.product_dim(spark, sf_dir)))
-
-
 def over_landing(report: Callable[[DataFrame], DataFrame]) -> Query:
     """A report over untyped rows, values that do not parse included."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = testbed.landing(spark, sf_dir, dirty=True).withColumnRenamed("event_id", "load_order")
-        return comparable(report(text.selectExpr("*", "'landing' as source_file")))
+        placed = "'landing' as source_file", "'landing' as file_path", "cast(null as string) as malformed"
+        return comparable(report(text.selectExpr("*", *placed)))
 
     return run
 
@@ -76,17 +73,94 @@ def over_typed(report: Callable[[DataFrame], DataFrame]) -> Query:
     return over_landing(lambda text: report(events.typed(text)))
 
 
+def csv_files(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
+    """A folder of CSV files with the derived rows; dirty ones hold broken lines too."""
+    folder = shared_dir(spark, "landing")
+    export_csv(testbed.landing(spark, sf_dir, dirty).select(*LANDING_COLUMNS), folder)
+    if dirty:
+        # Neither separators nor quotes mean anything to this writer: lines come out as they are.
+        plain = {"header": "true", "sep": "\u0001", "quote": "\u0000"}
+        testbed.broken_lines(spark, sf_dir).write.mode("append").options(**plain).csv(folder)
+    return folder
+
+
 def over_csv(report: Callable[[DataFrame], DataFrame], dirty: bool) -> Query:
     """A report over CSV files that were written from the derived rows."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = shared_dir(spark, "landing")
-        export_csv(testbed.landing(spark, sf_dir, dirty).select(*LANDING_COLUMNS), folder)
+        return comparable(report(events.scan_csv(spark, csv_files(spark, sf_dir, dirty))))
+
+    return run
+
+
+def over_loaded(report: Callable[[DataFrame], DataFrame]) -> Query:
+    """A report over the stored table of a strict load."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        landed = stored(events.scan_csv(spark, csv_files(spark, sf_dir, dirty=False)), "landed")
+        loaded = replace_table(events.load_strict(landed), shared_dir(spark, "loaded"), ("event_type",), rebalance=False)
+        return report(loaded)
+
+    return run
+
+
+def over_parts(report: Callable[[DataFrame], DataFrame]) -> Query:
+    """A report over three CSV files of unequal size, in order of the events."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = shared_dir(spark, "parts")
+        part = F.expr("case when event_id < 50 then 0 when event_id < 400 then 1 else 2 end")
+        rows = testbed.landing(spark, sf_dir, dirty=True).withColumn("part", part)
+        ordered = rows.repartitionByRange(3, "part").sortWithinPartitions("event_id")
+        export_csv(ordered.select(*LANDING_COLUMNS), folder)
         return comparable(report(events.scan_csv(spark, folder)))
 
     return run
 
 
+def validate_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All file checks; the files have a column nobody expects."""
+    folder = shared_dir(spark, "landing")
+    rows = testbed.landing(spark, sf_dir, dirty=True).select(*LANDING_COLUMNS, F.lit("x").alias("note"))
+    export_csv(rows, folder)
+    header = quality.validate_header(spark, events.csv_header(spark, folder))
+    return header.unionByName(quality.validate_landing(events.scan_csv(spark, folder)))
+
+
+def extract(name: str) -> Query:
+    """A mart as it reads back from its CSV extract."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = shared_dir(spark, "extract")
+        mart = replace_table(comparable(derived(name, spark, sf_dir)), shared_dir(spark, name))
+        export_csv(mart, folder, single_file=MODELS[name].one_file)
+        return spark.read.schema(mart.schema).options(header="true", escape='"').csv(folder)
+
+    return run
+
+
+def sample_of(source: str, columns: tuple[str, ...]) -> Query:
+    """Size of a stored sample and rows in it that the source does not have."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = sources(spark, sf_dir, (source,))[source].select(*columns)
+        return checks.sample_check(stored(checks.sample_rows(rows), "sample"), rows)
+
+    return run
+
+
+def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether a one per cent sample has about its size, and rows in it the source lacks.
+
+    Drawing rows independently stays within six standard deviations of the expected size.
+    """
+    rows = testbed.raw_events(spark, sf_dir).drop("loaded_at")
+    sample = stored(profiling.random_sample(rows), "sample")
+    size = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+    near = "abs(sample_rows - 0.01D * n) <= 6 * sqrt(0.01D * 0.99D * n)"
+    return checks.sample_check(sample, rows).withColumn("n", size).selectExpr(f"{near} as size_fits", "not_in_source")
+
+
 def per_user(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return derived("dim_user", spark, sf_dir), derived("fact_sessions", spark, sf_dir)
 
@@ -126,15 +200,6 @@ def dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filled_warehouse(spark, sf_dir).test()
 
 
-def mart_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The growth mart as it reads back from its CSV extract."""
-    folder = shared_dir(spark, "extract")
-    path = shared_dir(spark, "growth")
-    growth = replace_table(comparable(derived("mart_growth_daily", spark, sf_dir)), path)
-    export_table(spark, path, folder)
-    return spark.read.schema(growth.schema).options(header="true", escape='"').csv(folder)
-
-
 def table_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions after a truncate-and-reload, which must not double them, then counted."""
     path = shared_dir(spark, "reload")
@@ -148,18 +213,18 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events appended to a table that already holds the purchases."""
     path = shared_dir(spark, "append")
     staged = derived("stg_events", spark, sf_dir)
-    stored = replace_table(staged.filter("event_type = 'purchase'"), path)
+    kept = replace_table(staged.filter("event_type = 'purchase'"), path)
     append_table(staged.filter("event_type <> 'purchase'"), path)
-    return comparable(checks.event_type_counts(spark.read.schema(stored.schema).parquet(path)))
+    return comparable(checks.event_type_counts(read_table(spark, path, kept.schema)))
 
 
 def partition_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversions per day after the days with priced purchases were written again."""
     path = shared_dir(spark, "partitions")
     rows = derived("fact_conversions", spark, sf_dir)
-    stored = replace_table(rows, path, ("event_date",))
+    kept = replace_table(rows, path, ("event_date",))
     replace_partitions(rows.filter("is_missing_revenue = 0"), path, ("event_date",))
-    again = spark.read.schema(stored.schema).parquet(path)
+    again = read_table(spark, path, kept.schema)
     return comparable(marts.daily_revenue(again))
 
 
@@ -206,32 +271,31 @@ QUERIES: dict[str, Query] = {
     "load_strict": over_csv(lambda text: events.load_strict(text).drop("event_id"), dirty=False),
     "load_permissive": over_csv(lambda text: events.load_permissive(text).drop("event_id"), dirty=True),
     "load_rejected": over_csv(lambda text: events.rejected(text).drop("load_order"), dirty=True),
-    "load_row_count": over_csv(lambda text: checks.row_count(events.load_strict(text)), dirty=False),
-    "surrogate_keys": over_csv(
-        lambda text: events.load_strict(text).agg(
+    "load_row_count": over_loaded(checks.row_count),
+    "surrogate_keys": over_loaded(
+        lambda stored: stored.agg(
             F.count(F.lit(1)).alias("total_rows"), F.countDistinct("event_id").alias("distinct_keys")
-        ),
-        dirty=False,
+        )
     ),
-    "product_master": over_landing(products.product_master),
-    "product_sync": over_landing(lambda text: products.sync_products(products.product_master(text))),
+    "product_master": over_parts(products.product_master),
+    "product_sync": over_parts(lambda text: products.sync_products(products.product_master(text))),
     "table_reload": table_reload,
     "table_append": table_append,
     "partition_reload": partition_reload,
-    "mart_extract": mart_extract,
+    "mart_extract": extract("mart_growth_daily"),
+    "extract_attribution": extract("mart_revenue_attribution"),
+    "extract_experiment": extract("mart_experiment_results"),
     "warehouse_build": warehouse_build,
     # quality
     "dq_results": dq_results,
-    "validate_landing": over_csv(
-        lambda text: quality.validate_header(text).unionByName(quality.validate_landing(text)), dirty=True
-    ),
+    "validate_landing": validate_landing,
     "invalid_event_types": over_landing(quality.invalid_event_types),
     "raw_event_type_counts": over_raw(checks.event_type_counts),
     "raw_time_range": over_raw(checks.event_time_range),
     "raw_null_counts": over_raw(checks.null_counts),
-    "raw_sample_rows": over_raw(checks.sample_rows),
+    "raw_sample_rows": sample_of("raw_events", ("event_id", "event_time", "event_type", "product_id", "user_id")),
     "unknown_products": over("dim_product", checks.unknown_products),
-    "product_sample_rows": over_products(checks.sample_rows),
+    "product_sample_rows": sample_of("product_dim", ("product_id", "category_id", "category_code", "brand")),
     # profiling
     "missing_values": over_typed(lambda df: profiling.missing_values(df, LANDING_COLUMNS)),
     "metadata_quality": over_typed(profiling.metadata_quality),
@@ -254,5 +318,5 @@ QUERIES: dict[str, Query] = {
     "session_summary_medians": session_summary_medians,
     "session_funnel_rates": over_typed(lambda df: profiling.session_funnel_rates(profiling.session_profile(df))),
     "session_hash_sample": over_typed(lambda df: profiling.session_sample(df).drop("load_order")),
-    "random_sample": over_typed(lambda df: profiling.random_sample(df).drop("load_order")),
+    "random_sample": random_sample,
 }

@@ -9,29 +9,32 @@ from trailmart.plans.models import Warehouse
 from trailmart.sources import events, products
 
 
-def validate(warehouse: Warehouse, csv_path: str) -> None:
-    """Check the input files as they are written; raises on the first failing stage."""
-    quality.validate_file(events.scan_csv(warehouse.spark, csv_path))
+def land(warehouse: Warehouse, csv_path: str, multi_line: bool = False) -> DataFrame:
+    """Store the text of the files once; every later step reads it from there."""
+    return warehouse.load("landing", events.scan_csv(warehouse.spark, csv_path, multi_line))
 
 
-def load_events(warehouse: Warehouse, csv_path: str, permissive: bool = False) -> int:
-    """Replace the raw events with the contents of the files; returns the stored rows.
+def validate(landing: DataFrame, header: list[str]) -> None:
+    """Check the files as they are written; raises on the first failing stage."""
+    quality.validate_file(landing, header)
+
+
+def load_events(warehouse: Warehouse, landing: DataFrame, permissive: bool = False) -> int:
+    """Replace the raw events with the landed rows; returns the stored rows.
 
     The permissive load also keeps what it leaves out, as text with a reason.
     """
-    landing = events.scan_csv(warehouse.spark, csv_path)
     if permissive:
         warehouse.load("rejected_events", events.rejected(landing))
         # Types are free text here, so they are no folder names.
         stored = warehouse.load("raw_events", events.load_permissive(landing), partition_by=())
     else:
-        stored = warehouse.load("raw_events", events.load_strict(landing))
+        stored = warehouse.load("raw_events", events.load_strict(landing), tested=True)
     return stored.count()
 
 
-def load_products(warehouse: Warehouse, csv_path: str) -> int:
-    """Extract the product master from the same files and sync it into the warehouse."""
-    landing = events.scan_csv(warehouse.spark, csv_path)
+def load_products(warehouse: Warehouse, landing: DataFrame) -> int:
+    """Extract the product master from the landed rows and sync it into the warehouse."""
     master = warehouse.load("product_master", products.product_master(landing))
     return warehouse.load("product_dim", products.sync_products(master)).count()
 
@@ -50,11 +53,11 @@ def post_load_reports(warehouse: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def reload(warehouse: Warehouse, csv_path: str, extracts: str) -> None:
+def reload(warehouse: Warehouse, csv_path: str, extracts: str, multi_line: bool = False) -> None:
     """Everything in order; a failing check stops before anything later is published."""
-    validate(warehouse, csv_path)
-    load_events(warehouse, csv_path)
-    load_products(warehouse, csv_path)
-    warehouse.build()
-    quality.gate(warehouse.test())
+    landing = land(warehouse, csv_path, multi_line)
+    validate(landing, events.csv_header(warehouse.spark, csv_path))
+    load_events(warehouse, landing)
+    load_products(warehouse, landing)
+    warehouse.build(tested=True)
     warehouse.export(extracts)

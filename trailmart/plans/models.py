@@ -11,11 +11,12 @@ from trailmart.operators.dimensions import dim_date, dim_product, dim_user
 from trailmart.operators.experiment import mart_experiment_results
 from trailmart.operators.facts import fact_conversions, fact_funnel_steps, fact_sessions
 from trailmart.operators.marts import mart_growth_daily, mart_revenue_attribution
-from trailmart.operators.quality import check_tables
+from trailmart.operators.quality import check_table, check_tables, gate
 from trailmart.operators.staging import stg_events
+from trailmart.schemas import PRODUCT_DIM, RAW_EVENTS
 from trailmart.session import configure
-from trailmart.sources.extracts import export_table
-from trailmart.sources.files import replace_table
+from trailmart.sources.extracts import export_csv
+from trailmart.sources.files import discard_version, publish, read_table, stage_table
 
 
 @dataclass(frozen=True)
@@ -27,10 +28,13 @@ class Model:
     schema: str
     is_view: bool = False
     partition_by: tuple[str, ...] = ()
+    #: One row per day or per variant: small whatever the events, so its extract is one file.
+    one_file: bool = False
 
 
 SOURCES = ("raw_events", "product_dim")
 SOURCE_PARTITIONS = {"raw_events": ("event_type",)}
+SCHEMAS = {"raw_events": RAW_EVENTS, "product_dim": PRODUCT_DIM}
 MODELS = {
     "stg_events": Model(("raw_events",), stg_events, "staging", is_view=True),
     "fact_sessions": Model(("stg_events",), fact_sessions, "analytics"),
@@ -39,9 +43,9 @@ MODELS = {
     "dim_date": Model(("stg_events",), dim_date, "analytics"),
     "dim_product": Model(("product_dim",), dim_product, "analytics"),
     "dim_user": Model(("stg_events", "fact_sessions"), dim_user, "analytics"),
-    "mart_growth_daily": Model(("fact_funnel_steps", "fact_conversions", "dim_date"), mart_growth_daily, "marts"),
+    "mart_growth_daily": Model(("fact_funnel_steps", "fact_conversions", "dim_date"), mart_growth_daily, "marts", one_file=True),
     "mart_revenue_attribution": Model(("fact_conversions", "dim_product"), mart_revenue_attribution, "marts"),
-    "mart_experiment_results": Model(("dim_user", "fact_sessions"), mart_experiment_results, "marts"),
+    "mart_experiment_results": Model(("dim_user", "fact_sessions"), mart_experiment_results, "marts", one_file=True),
 }
 MARTS = tuple(name for name, model in MODELS.items() if model.schema == "marts")
 
@@ -86,7 +90,9 @@ class Warehouse:
         schema = MODELS[name].schema if name in MODELS else "raw"
         return f"{self.root}/{schema}/{name}"
 
-    def load(self, name: str, rows: DataFrame, partition_by: tuple[str, ...] | None = None) -> DataFrame:
+    def load(
+        self, name: str, rows: DataFrame, partition_by: tuple[str, ...] | None = None, tested: bool = False
+    ) -> DataFrame:
         """Store a source table; the written rows keep their surrogate keys from here on.
 
         Raw events get a directory per event type, without a shuffle: a consumer of one
@@ -95,26 +101,50 @@ class Warehouse:
         """
         if partition_by is None:
             partition_by = SOURCE_PARTITIONS.get(name, ())
-        return replace_table(rows, self.path(name), partition_by, rebalance=False)
+        return self.publish(name, rows, partition_by, rebalance=False, tested=tested)
+
+    def publish(
+        self, name: str, rows: DataFrame, partition_by: tuple[str, ...], rebalance: bool = True, tested: bool = False
+    ) -> DataFrame:
+        """Write a new version of a table and switch to it, after its tests if asked for.
+
+        A version that fails its tests is deleted; the one before stays in place.
+        """
+        written, version = stage_table(rows, self.path(name), partition_by, rebalance)
+        if tested:
+            try:
+                gate(check_table(written, name))
+            except Exception:
+                discard_version(self.spark, self.path(name), version)
+                raise
+        publish(self.spark, self.path(name), version)
+        return written
 
     def read(self, name: str) -> DataFrame:
         """A stored table, or a view over the stored tables."""
         if name in MODELS and MODELS[name].is_view:
             model = MODELS[name]
             return model.build(*(self.read(source) for source in model.inputs))
-        return self.spark.read.parquet(self.path(name))
+        return read_table(self.spark, self.path(name), SCHEMAS.get(name))
 
-    def build_one(self, name: str) -> DataFrame:
+    def build_one(self, name: str, tested: bool = False) -> DataFrame:
         """One model from the inputs as they are stored; a view has nothing to write."""
         model = MODELS[name]
         if model.is_view:
-            return self.read(name)
+            rows = self.read(name)
+            if tested:
+                gate(check_table(rows, name))
+            return rows
         rows = model.build(*(self.read(source) for source in model.inputs))
-        return replace_table(rows, self.path(name), model.partition_by)
+        return self.publish(name, rows, model.partition_by, tested=tested)
 
-    def build(self, *names: str) -> dict[str, DataFrame]:
-        """Build the named models (all if none is named) after everything they need."""
-        return {name: self.build_one(name) for name in with_inputs(names or MODELS)}
+    def build(self, *names: str, tested: bool = False) -> dict[str, DataFrame]:
+        """Build the named models (all if none is named) after everything they need.
+
+        With ``tested`` a model is published only if its declared tests pass; a failure
+        stops the models after it.
+        """
+        return {name: self.build_one(name, tested) for name in with_inputs(names or MODELS)}
 
     def create_views(self) -> None:
         """Make every stored table and view available to ``spark.sql`` under its name."""
@@ -128,4 +158,4 @@ class Warehouse:
     def export(self, folder: str) -> None:
         """CSV extracts of the marts."""
         for name in MARTS:
-            export_table(self.spark, self.path(name), f"{folder}/{name}")
+            export_csv(self.read(name), f"{folder}/{name}", single_file=MODELS[name].one_file)

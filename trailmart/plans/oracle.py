@@ -7,11 +7,14 @@ is exact: ``cast((2 * 100 * 100 * a + b) // (2 * b) as double) / 100``.
 
 from __future__ import annotations
 
-from trailmart.operators.profiling import PRICE_QUANTILES
-from trailmart.operators.quality import COLUMN_TESTS, ROW_CHECKS, VALIDATED_COLUMNS
+from trailmart.operators.quality import COLUMN_TESTS, ROW_CHECKS
 from trailmart.schemas import EVENT_TYPES, EXPERIMENT_NAME, LANDING_COLUMNS, SOURCE_SYSTEM
 
 MINUTE = 60_000_000
+# Fixed values, stated here once more so that a change on the other side shows.
+PRICE_QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
+VALIDATED_COLUMNS = ("event_time", "event_type", "product_id", "price", "user_id")
+DECLARED_TESTS = 102
 
 
 def hundredths(numerator: str, denominator: str) -> str:
@@ -84,8 +87,18 @@ stg_events as (
     and event_time is not null and product_id is not null and user_id is not null)"""
 )
 
+# What the three kinds of events in a session make of it.
+JOURNEYS = """
+journeys (viewed, carted, purchased, journey_pattern) as (values
+  (true, true, true, 'view_cart_purchase'), (true, true, false, 'view_cart_no_purchase'),
+  (true, false, true, 'view_purchase_no_cart'), (true, false, false, 'view_only'),
+  (false, true, true, 'cart_purchase_no_view'), (false, false, true, 'purchase_only'),
+  (false, true, false, 'other'), (false, false, false, 'other'))"""
+
 FACTS = (
     STAGED
+    + ","
+    + JOURNEYS
     + f""",
 session_rows as (
   select user_session, min(user_id) as user_id, min(event_time) as session_start, max(event_time) as session_end,
@@ -98,15 +111,9 @@ fact_sessions as (
     cast(view_events > 0 as integer) as has_view,
     cast(cart_events > 0 as integer) as has_cart,
     cast(purchase_events > 0 as integer) as has_purchase,
-    case (view_events > 0, cart_events > 0, purchase_events > 0)
-      when (true, true, true) then 'view_cart_purchase'
-      when (true, true, false) then 'view_cart_no_purchase'
-      when (true, false, true) then 'view_purchase_no_cart'
-      when (true, false, false) then 'view_only'
-      when (false, true, true) then 'cart_purchase_no_view'
-      when (false, false, true) then 'purchase_only'
-      else 'other' end as journey_pattern
-  from session_rows),
+    journey_pattern
+  from session_rows left join journeys j on j.viewed = (view_events > 0) and j.carted = (cart_events > 0)
+    and j.purchased = (purchase_events > 0)),
 fact_conversions as (
   select event_id as conversion_id, event_time, event_date, event_hour, event_day_of_week, event_month,
     user_id, user_session, product_id, category_id, price as revenue,
@@ -325,17 +332,25 @@ clean_text as (
     nullif(trim(user_session), '') as user_session
   from shaped left join part on p_partkey = product_id),
 landing as (
-  select event_id, case when event_id % 29 = 0 then 'not a time' else event_time end as event_time,
+  select event_id, case when event_id % 47 = 0 then '12:30' when event_id % 29 = 0 then 'not a time'
+      else event_time end as event_time,
     case when event_id % 41 <> 0 then event_type end as event_type,
-    case when event_id % 31 = 0 then 'x12' else product_id end as product_id, category_id, category_code, brand,
+    case when event_id % 53 = 0 then product_id || '.0' when event_id % 31 = 0 then 'x12'
+      else product_id end as product_id, category_id, category_code, brand,
     case when event_id % 37 = 0 then 'n/a' else price end as price,
     case when event_id % 43 <> 0 then user_id end as user_id, user_session
-  from clean_text)"""
+  from clean_text),
+broken as (
+  select '2019-10-01 00:00:00 UTC,view,' || event_id as malformed from events where event_id % 97 = 0
+  union all select '2019-10-01 00:00:00 UTC,view,7,7,toys,acme,1.00,5,s' || event_id || ',6,7,8'
+    from events where event_id % 101 = 0
+  union all select '2019-10-01 00:00:00 UTC,view,7,7,toys,"two ' || event_id from events where event_id % 103 = 0
+  union all select 'lines",1.00,5,s' || event_id from events where event_id % 103 = 0)"""
 )
 
 TYPED_COLUMNS = """
     try_cast(replace(event_time, ' UTC', '') as timestamp) as event_time, lower(trim(event_type)) as event_type,
-    try_cast(product_id as bigint) as product_id, try_cast(category_id as bigint) as category_id,
+    try_cast(replace(product_id, '.0', '') as bigint) as product_id, try_cast(category_id as bigint) as category_id,
     category_code, brand, try_cast(price as decimal(12, 2)) as price, try_cast(user_id as bigint) as user_id,
     user_session"""
 
@@ -359,17 +374,13 @@ profile_totals as (
   from profile_rows)"""
 )
 
-JOURNEY = """case has_view * 4 + has_cart * 2 + has_purchase
-      when 7 then 'view_cart_purchase' when 6 then 'view_cart_no_purchase' when 5 then 'view_purchase_no_cart'
-      when 4 then 'view_only' when 3 then 'cart_purchase_no_view' when 1 then 'purchase_only' else 'other' end"""
-
 LOADED = """event_time, event_type, product_id, category_id, cast(price as double) as price, user_id, user_session"""
 
 PRODUCTS = (
     LANDING
     + """,
 product_rows as (
-  select try_cast(product_id as bigint) as product_id, try_cast(category_id as bigint) as category_id,
+  select try_cast(replace(product_id, '.0', '') as bigint) as product_id, try_cast(category_id as bigint) as category_id,
     coalesce(category_code, 'unknown') as category_code, coalesce(brand, 'unknown') as brand, event_id
   from landing),
 product_master as (
@@ -398,9 +409,11 @@ def top(column: str) -> str:
 
 
 # Fifty equal-width bins over the whole cents ``c`` of ``kept``.
-BINS = """, bounds as (select min(c) as lo, max(c) as hi from kept),
+BINS = """, bounds as (
+  select min(c) - case when min(c) = max(c) then 50 else 0 end as lo,
+    max(c) + case when min(c) = max(c) then 50 else 0 end as hi from kept),
 binned as (
-  select case when lo = hi then 26 else least((c - lo) * 50 // nullif(hi - lo, 0) + 1, 50) end as bin, count(*) as n
+  select least((c - lo) * 50 // nullif(hi - lo, 0) + 1, 50) as bin, count(*) as n
   from kept cross join bounds group by 1)"""
 HISTOGRAM = """
 select cast(b.bin as integer) as bin, round((lo + (hi - lo) / 50.0::double * (b.bin - 1)) / 100, 4) as bin_start,
@@ -486,7 +499,10 @@ SQL: dict[str, str] = {
     "experiment_assignment": with_(EXPERIMENT, "select * from experiment_assignment"),
     "experiment_user_metrics": with_(EXPERIMENT, "select * from experiment_user_metrics"),
     "experiment_variant_summary": with_(EXPERIMENT, "select * from experiment_variant_summary"),
-    "csv_scan": with_(LANDING, "select * exclude (event_id) from landing"),
+    "csv_scan": with_(
+        LANDING,
+        "select * exclude (event_id), null as malformed from landing union all by name select * from broken",
+    ),
     "load_strict": with_(
         RAW,
         "select event_time, lower(trim(event_type)) as event_type, product_id, category_id, "
@@ -500,10 +516,11 @@ SQL: dict[str, str] = {
     ),
     "load_rejected": with_(
         TYPED,
-        "select l.* exclude (event_id), case when t.event_time is null then 'event_time' "
+        "select l.* exclude (event_id), null as malformed, case when t.event_time is null then 'event_time' "
         "when t.event_type is null then 'event_type' when t.product_id is null then 'product_id' "
         "else 'user_id' end as reason from landing l join typed t using (event_id) where t.event_time is null "
-        "or t.event_type is null or t.product_id is null or t.user_id is null",
+        "or t.event_type is null or t.product_id is null or t.user_id is null "
+        "union all by name select malformed, 'malformed' as reason from broken",
     ),
     "load_row_count": with_(STAGED, "select count(*) as total_rows from stg_events"),
     "surrogate_keys": with_(STAGED, "select count(*) as total_rows, count(*) as distinct_keys from stg_events"),
@@ -512,6 +529,11 @@ SQL: dict[str, str] = {
     "table_reload": with_(FACTS, CONVERSIONS),
     "table_append": with_(STAGED, "select event_type, count(*) as event_count from stg_events group by 1"),
     "mart_extract": with_(MARTS, "select * from mart_growth_daily"),
+    "extract_attribution": with_(MARTS, "select * from mart_revenue_attribution"),
+    "extract_experiment": with_(EXPERIMENT, "select * from mart_experiment_results"),
+    "raw_sample_rows": "select least(count(*), 5) as sample_rows, 0::bigint as not_in_source from events",
+    "product_sample_rows": "select least(count(*), 5) as sample_rows, 0::bigint as not_in_source from part",
+    "random_sample": "select true as size_fits, 0::bigint as not_in_source",
     "warehouse_build": with_(
         EXPERIMENT,
         " union all ".join(
@@ -528,7 +550,8 @@ SQL: dict[str, str] = {
             for name in VALIDATED_COLUMNS
         )
         + " union all "
-        + " union all ".join(f"select 'landing', 'required_column', '{name}', 0" for name in LANDING_COLUMNS),
+        + " union all ".join(f"select 'landing', 'required_column', '{name}', 0" for name in LANDING_COLUMNS)
+        + " union all select 'landing', 'extra_column', 'note', 0 union all select 'landing', 'well_formed', 'line', 0",
     ),
     "invalid_event_types": with_(
         LANDING,
@@ -657,9 +680,10 @@ SQL: dict[str, str] = {
         ),
     ),
     "session_profile": with_(
-        TYPED,
-        f"select * exclude (micros), micros / {MINUTE}.0::double as session_duration_minutes, "
-        f"{JOURNEY} as journey_pattern from profile_rows",
+        TYPED + "," + JOURNEYS,
+        "select p.* exclude (micros), journey_pattern, "
+        f"micros / {MINUTE}.0::double as session_duration_minutes from profile_rows p left join journeys j "
+        "on j.viewed = (has_view = 1) and j.carted = (has_cart = 1) and j.purchased = (has_purchase = 1)",
     ),
     "session_summary": with_(
         TYPED,

@@ -70,21 +70,30 @@ PRODUCT_TEXTS = (
     "if(p_partkey % 5 = 0, null, p_brand) as brand",
 )
 
-# Every n-th value of a column that does not parse or is missing.
-SPOILED = {
-    "event_time": (29, "'not a time'"),
-    "product_id": (31, "'x12'"),
-    "price": (37, "'n/a'"),
-    "event_type": (41, "null"),
-    "user_id": (43, "''"),
-}
+# Every n-th value of a column that does not parse, is missing, or is written unusually.
+SPOILED = (
+    ("event_time", 29, "'not a time'"),
+    ("event_time", 47, "'12:30'"),
+    ("product_id", 31, "'x12'"),
+    ("product_id", 53, "concat(product_id, '.0')"),
+    ("price", 37, "'n/a'"),
+    ("event_type", 41, "null"),
+    ("user_id", 43, "''"),
+)
+# Lines no loader may take apart: too few fields, too many, and one torn by a line break.
+BROKEN_LINES = (
+    (97, "array(concat('2019-10-01 00:00:00 UTC,view,', event_id))"),
+    (101, "array(concat('2019-10-01 00:00:00 UTC,view,7,7,toys,acme,1.00,5,s', event_id, ',6,7,8'))"),
+    (103, """array(concat('2019-10-01 00:00:00 UTC,view,7,7,toys,"two ', event_id),
+        concat('lines",1.00,5,s', event_id))"""),
+)
 
 
 def landing(spark: SparkSession, sf_dir: str, dirty: bool) -> DataFrame:
     """Event rows as they would stand in a CSV: nine text columns after ``event_id``.
 
     A product's brand changes over time, so keeping the first one matters. ``dirty``
-    adds values that do not parse and missing types.
+    adds values that do not parse, missing types and ids with a fraction of zero.
     """
     texts = table(spark, sf_dir, "part").selectExpr("p_partkey as product_id", *PRODUCT_TEXTS)
     rows = _shaped(table(spark, sf_dir, "events")).join(texts, "product_id", "left")
@@ -100,6 +109,13 @@ def landing(spark: SparkSession, sf_dir: str, dirty: bool) -> DataFrame:
         "user_session": "nullif(trim(user_session), '')",
     }
     if dirty:
-        for name, (n, bad) in SPOILED.items():
+        for name, n, bad in SPOILED:
             text[name] = f"if(event_id % {n} = 0, {bad}, {text[name]})"
     return rows.selectExpr("event_id", *(f"{text[name]} as {name}" for name in LANDING_COLUMNS))
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as text, in one column named like the header they stand under."""
+    lines = ", ".join(f"if(event_id % {n} = 0, {parts}, array())" for n, parts in BROKEN_LINES)
+    rows = table(spark, sf_dir, "events").selectExpr(f"explode(concat({lines})) as line")
+    return rows.withColumnRenamed("line", ",".join(LANDING_COLUMNS))

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmart.functions.text import empty_to_null, normalised
+from trailmart.functions.text import category_or_null, empty_to_null, normalised, time_or_null, whole_or_null
 from trailmart.schemas import CATEGORY, EVENT_TYPES, LANDING_COLUMNS, MONEY, REQUIRED
 from trailmart.session import configure
 from trailmart.sources.files import find_csv
 
 CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
+BROKEN = "_broken_line"
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -20,24 +21,30 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All CSV files under ``path`` as text columns plus ``source_file`` and ``load_order``.
+    """All CSV files under ``path`` as text columns, where they stand, and broken lines.
 
     No value is converted or inferred here. Every file must carry the header of the
-    first one. ``load_order`` follows file order within a file; it costs no shuffle
-    and has gaps. Line breaks inside quotes need ``multi_line``, which reads a file as
-    a whole; without it large files are split.
+    first one. A line with another number of fields than the header is kept whole in
+    ``malformed`` and has no other values. ``load_order`` follows file order within a
+    file; it costs no shuffle and has gaps. Line breaks inside quotes need
+    ``multi_line``, which reads a file as a whole; without it large files are split and
+    the parts of such a line are malformed.
     """
     configure(spark)
     header = csv_header(spark, path)
     missing = [name for name in LANDING_COLUMNS if name not in header]
     if missing:
         raise ValueError(f"missing expected columns: {missing}")
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    options = {**CSV_OPTIONS, "enforceSchema": "false", "pathGlobFilter": "*.csv", "multiLine": multi_line}
-    rows = spark.read.schema(schema).options(**options).csv(path)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, BROKEN)])
+    # Pruned columns would hide wrong numbers of fields.
+    strictness = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, "columnPruning": "false"}
+    layout = {"enforceSchema": "false", "pathGlobFilter": "*.csv", "multiLine": multi_line}
+    rows = spark.read.schema(schema).options(**CSV_OPTIONS, **strictness, **layout).csv(path)
     return rows.select(
-        *LANDING_COLUMNS,
+        *(F.expr(f"if({BROKEN} is null, {name}, null) as {name}") for name in LANDING_COLUMNS),
+        F.col(BROKEN).alias("malformed"),
         F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_path").alias("file_path"),
         F.monotonically_increasing_id().alias("load_order"),
     )
 
@@ -45,17 +52,19 @@ def scan_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 def strict(name: str, target: str) -> Column:
     """Cast that fails the job on text the target type cannot hold, whatever the ANSI setting."""
     text = empty_to_null(name)
+    value = time_or_null(text) if target == "timestamp" else f"try_cast({text} as {target})"
     failure = f"raise_error(concat('{name} is not a {target}: ', {name}))"
-    return F.expr(f"coalesce(try_cast({text} as {target}), if({text} is null, null, {failure})) as {name}")
+    return F.expr(f"coalesce({value}, if({text} is null, null, {failure})) as {name}")
 
 
 def load_strict(landing: DataFrame) -> DataFrame:
-    """Typed raw events, or an error: one bad value or negative price rejects the whole load.
+    """Typed raw events, or an error: one bad value, line or negative price rejects the whole load.
 
     Rows without a required value or with a type outside the funnel are left out.
     """
     present = " and ".join(f"{empty_to_null(name)} is not null" for name in REQUIRED)
-    usable = landing.filter(f"{present} and {normalised('event_type')} in {EVENT_TYPES}")
+    wanted = f"{present} and {normalised('event_type')} in {EVENT_TYPES}"
+    usable = landing.filter(f"if(malformed is null, {wanted}, raise_error(concat('malformed line: ', malformed)))")
     cast = usable.select(
         F.col("load_order").alias("event_id"),
         strict("event_time", "timestamp"),
@@ -74,13 +83,13 @@ def load_strict(landing: DataFrame) -> DataFrame:
 def typed(landing: DataFrame) -> DataFrame:
     """Every landing row with blanks and values that do not parse turned into NULL."""
     return landing.selectExpr(
-        "try_cast(event_time as timestamp) as event_time",
+        f"{time_or_null('event_time')} as event_time",
         f"{normalised('event_type')} as event_type",
-        "try_cast(product_id as bigint) as product_id",
-        f"try_cast(category_id as {CATEGORY}) as category_id",
+        f"{whole_or_null('product_id')} as product_id",
+        f"{category_or_null('category_id')} as category_id",
         *(f"{empty_to_null(name)} as {name}" for name in ("category_code", "brand")),
         f"try_cast(price as {MONEY}) as price",
-        "try_cast(user_id as bigint) as user_id",
+        f"{whole_or_null('user_id')} as user_id",
         f"{empty_to_null('user_session')} as user_session",
         "source_file",
         "load_order",
@@ -109,8 +118,9 @@ def load_permissive(landing: DataFrame) -> DataFrame:
 
 def rejected(landing: DataFrame) -> DataFrame:
     """Text of the rows the permissive load leaves out, with the first column at fault."""
-    reason = """case when try_cast(event_time as timestamp) is null then 'event_time'
-        when event_type is null then 'event_type'
-        when try_cast(product_id as bigint) is null then 'product_id'
-        when try_cast(user_id as bigint) is null then 'user_id' end as reason"""
+    reason = f"""case when malformed is not null then 'malformed'
+        when {time_or_null("event_time")} is null then 'event_time'
+        when {empty_to_null("event_type")} is null then 'event_type'
+        when {whole_or_null("product_id")} is null then 'product_id'
+        when {whole_or_null("user_id")} is null then 'user_id' end as reason"""
     return landing.selectExpr("*", reason).filter("reason is not null")

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-from trailmart.sources.files import size_in_bytes
-
-SINGLE_FILE_LIMIT = 64 * 1024 * 1024
+from pyspark.sql import DataFrame
 
 
 def export_csv(mart: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write with header; quotes doubled and blanks kept as they are."""
+    """Write with header; quotes doubled and blanks kept as they are.
+
+    One file per task, unless the caller knows the mart to be small and asks for one file.
+    """
     rows = mart.coalesce(1) if single_file else mart
     rows.write.mode("overwrite").options(
         header="true",
@@ -19,8 +18,3 @@ def export_csv(mart: DataFrame, path: str, single_file: bool = False) -> None:
         ignoreTrailingWhiteSpace="false",
         timestampFormat="yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
     ).csv(path)
-
-
-def export_table(spark: SparkSession, table_path: str, path: str, limit: int = SINGLE_FILE_LIMIT) -> None:
-    """Extract of a written mart: one file while the table is small, else one per task."""
-    export_csv(spark.read.parquet(table_path), path, single_file=size_in_bytes(spark, table_path) <= limit)
