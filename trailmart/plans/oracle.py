@@ -14,7 +14,6 @@ MINUTE = 60_000_000
 # Fixed values, stated here once more so that a change on the other side shows.
 PRICE_QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 VALIDATED_COLUMNS = ("event_time", "event_type", "product_id", "price", "user_id")
-DECLARED_TESTS = 102
 
 
 def hundredths(numerator: str, denominator: str) -> str:
@@ -162,32 +161,32 @@ by_user_events as (
   select user_id, min(event_time) as first_seen_at, max(event_time) as last_seen_at,
     min(event_date) as first_seen_date, max(event_date) as last_seen_date, count(*) as total_events,
     count(distinct user_session) as total_sessions, count(distinct product_id) as total_products_interacted,
-    {counted("total_")}
+    {counted("total_")},
+    sum(price) filter (where event_type = 'purchase') as spent,
+    count(price) filter (where event_type = 'purchase') as priced
   from stg_events group by user_id),
+in_sessions as (
+  select min(user_id) over s as owner, row_number() over (partition by user_session order by event_id) = 1 as opens,
+    epoch_us(max(event_time) over s) - epoch_us(min(event_time) over s) as micros, count(*) over s as size,
+    cast(bool_or(event_type = 'view') over s as integer) as viewed,
+    cast(bool_or(event_type = 'cart') over s as integer) as carted,
+    cast(bool_or(event_type = 'purchase') over s as integer) as purchased
+  from stg_events where user_session is not null window s as (partition by user_session)),
 by_user_sessions as (
-  select user_id, count(*) as n, sum(micros) as micros, sum(events_in_session) as events,
-    max(has_view) as viewed, max(has_cart) as carted, max(has_purchase) as purchased,
-    sum(has_cart) as cart_sessions, sum(has_purchase) as purchase_sessions
-  from fact_sessions group by user_id),
-by_user_revenue as (
-  select user_id, count(*) as n, sum(revenue) as total, count(revenue) as priced
-  from fact_conversions group by user_id),
+  select owner as user_id, count(*) as n, sum(micros) as micros, sum(size) as events, max(viewed) as viewed,
+    max(carted) as carted, max(purchased) as purchased, sum(carted) as cart_sessions, sum(purchased) as purchase_sessions
+  from in_sessions where opens group by owner),
 dim_user as (
-  select e.*, cast(coalesce(s.n, 0) as bigint) as session_count,
+  select e.* exclude (spent, priced), cast(coalesce(s.n, 0) as bigint) as session_count,
     coalesce({rate("s.micros", f"s.n * {MINUTE}")}, 0) as avg_session_duration_minutes,
     coalesce({rate("s.events", "s.n")}, 0) as avg_events_per_session,
     coalesce(viewed, 0) as has_ever_viewed, coalesce(carted, 0) as has_ever_carted,
-    coalesce(purchased, 0) as has_ever_purchased,
-    cast(coalesce(r.n, 0) as bigint) as conversion_count,
-    coalesce(cast(r.total as double), 0) as total_revenue,
-    coalesce({per_cent_of_money(cents("r.total"), "r.priced")}, 0) as avg_purchase_value,
-    case when coalesce(r.n, 0) > 0 then 'purchaser'
-         when coalesce(carted, 0) = 1 then 'carted_not_purchased'
-         when coalesce(viewed, 0) = 1 then 'viewer_only'
-         else 'other' end as user_segment
-  from by_user_events e
-  left join by_user_sessions s using (user_id)
-  left join by_user_revenue r using (user_id))"""
+    coalesce(purchased, 0) as has_ever_purchased, total_purchase_events as conversion_count,
+    coalesce(cast(spent as double), 0) as total_revenue,
+    coalesce({per_cent_of_money(cents("spent"), "priced")}, 0) as avg_purchase_value,
+    ['other', 'viewer_only', 'carted_not_purchased', 'purchaser'][greatest(
+      case when total_purchase_events > 0 then 4 end, 3 * carted, 2 * viewed, 1)] as user_segment
+  from by_user_events e left join by_user_sessions s using (user_id))"""
 )
 
 GROWTH_COLUMNS = """
@@ -265,13 +264,10 @@ experiment_user_metrics as (
     coalesce({rate("s.events", "s.n")}, 0) as avg_events_per_session,
     cast(coalesce(cart_sessions, 0) as bigint) as sessions_with_cart,
     cast(coalesce(purchase_sessions, 0) as bigint) as sessions_with_purchase,
-    cast(coalesce(r.n, 0) as bigint) as purchase_events,
-    coalesce(cast(r.total as double), 0) as total_revenue,
-    coalesce({per_cent_of_money(cents("r.total"), "r.priced")}, 0) as avg_purchase_value,
-    cast(coalesce(r.n, 0) > 0 as integer) as is_purchaser
-  from experiment_assignment a
-  left join by_user_sessions s using (user_id)
-  left join by_user_revenue r using (user_id)),
+    total_purchase_events as purchase_events, coalesce(cast(spent as double), 0) as total_revenue,
+    coalesce({per_cent_of_money(cents("spent"), "priced")}, 0) as avg_purchase_value,
+    cast(total_purchase_events > 0 as integer) as is_purchaser
+  from experiment_assignment a join by_user_events using (user_id) left join by_user_sessions s using (user_id)),
 variant_totals as (
   select experiment_name, experiment_variant, count(distinct user_id) as users,
     cast(sum(total_sessions) as bigint) as sessions,
@@ -296,10 +292,11 @@ experiment_variant_summary as (
     purchasers, purchase_events, cast(revenue_cents as double) / 100 as total_revenue,
     {", ".join(f"cast({name} as double) / 100 as {name}" for name in (*RATE_METRICS, *MONEY_METRICS, *MEANS))}
   from variant_metrics),
-control_metrics as (
-  select experiment_name,
-    {", ".join(f"{name} as c_{name}" for name in (*RATE_METRICS, *MONEY_METRICS))}
-  from variant_metrics where experiment_variant = 'control'),
+beside_control as (
+  select *, {", ".join(
+    f"max({name}) filter (where experiment_variant = 'control') over (partition by experiment_name) as c_{name}"
+    for name in (*RATE_METRICS, *MONEY_METRICS))}
+  from variant_metrics),
 lifts as (
   select experiment_name, experiment_variant,
     {lift("user_conversion_rate")} as user_conversion_lift_pct,
@@ -308,13 +305,11 @@ lifts as (
     {lift("avg_purchase_value")} as avg_purchase_value_lift_pct,
     {lift("session_cart_rate")} as session_cart_rate_lift_pct,
     {lift("session_purchase_rate")} as session_purchase_rate_lift_pct,
-    case when experiment_variant = 'control' then 'baseline'
-         when user_conversion_rate > c_user_conversion_rate and revenue_per_user > c_revenue_per_user
-           then 'positive_lift'
-         when user_conversion_rate < c_user_conversion_rate and revenue_per_user < c_revenue_per_user
-           then 'negative_lift'
-         else 'mixed_result' end as experiment_result_status
-  from variant_metrics left join control_metrics using (experiment_name)),
+    case when experiment_variant = 'control' then 'baseline' else
+      case sign(user_conversion_rate - c_user_conversion_rate) + sign(revenue_per_user - c_revenue_per_user)
+        when 2 then 'positive_lift' when -2 then 'negative_lift' else 'mixed_result' end
+    end as experiment_result_status
+  from beside_control),
 mart_experiment_results as (
   select * from experiment_variant_summary join lifts using (experiment_name, experiment_variant))"""
 )
