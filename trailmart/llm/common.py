@@ -42,14 +42,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def saved(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def saved(df: DataFrame, label: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """``df`` written as Parquet to the shared folder and read back, with its path.
 
     Cuts the lineage: a lost executor costs the tasks that ran on it, not the job.
     """
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -242,7 +242,7 @@ def archive_pages(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataF
         F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"),
         F.sha1(payload).alias("digest"), F.monotonically_increasing_id().alias("row"),
     )
-    numbered, numbered_path = saved(base, "warc-pages")
+    numbered, numbered_path = saved(base, "warc-pages", "zstd")
     order = F.coalesce("page_id", F.lit(LEAST_ID))
     leaders = (
         numbered.where(F.octet_length("payload") >= revisit_bytes)
