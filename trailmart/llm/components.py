@@ -12,11 +12,17 @@ def signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first())
 
 
-def large_star(edges: DataFrame) -> DataFrame:
-    """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
+def large_star(edges: DataFrame) -> tuple[DataFrame, str]:
+    """Link every larger neighbour of a node to the smallest of the node and its neighbours.
+
+    The smallest neighbours are stored first (their path is returned too): the join then
+    has two plain sides, and AQE splits a node that has a large part of all edges.
+    """
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-    return both.join(least, both["u"] == least["c"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least, path = saved(least, "components-least")
+    joined = both.where("v > u").join(least, F.col("u") == F.col("c"))
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")), path
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -37,9 +43,10 @@ def components(edges: DataFrame) -> DataFrame:
     current, path = saved(edges.where("u <> v").select(high, low).distinct(), "components")
     before = signature(current)
     while before[0]:
-        following, next_path = saved(small_star(large_star(current)).distinct(), "components")
+        larger, least_path = large_star(current)
+        following, next_path = saved(small_star(larger).distinct(), "components")
         after = signature(following)
-        discard(spark, path)
+        discard(spark, path, least_path)
         current, path = following, next_path
         if after == before:
             break
