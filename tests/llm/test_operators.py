@@ -317,7 +317,7 @@ def test_equal_windows_have_equal_anchors():
     seen = {}
     covered = 0
     rows = substrings.anchors(names, np.array([len(w) for w in listed]))
-    for name, text, first, last in zip(*(x.tolist() for x in rows), strict=True):
+    for name, text, first, last, _ in zip(*(x.tolist() for x in rows), strict=True):
         for start in range(first, last + 1):
             covered += 1
             assert seen.setdefault(tuple(listed[text][start : start + 35]), name) == name

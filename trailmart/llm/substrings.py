@@ -108,9 +108,10 @@ def least_in_ranges(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np
 
 
 def anchors(names: np.ndarray, sizes: np.ndarray):
-    """Runs of windows with a common anchor: (name, text number, first and last start).
+    """Runs of windows with anchors of one name: (name, text number, first, last start, several).
 
-    ``names`` are those of the words of all texts one after the other.
+    ``several`` tells that a run has more than one such anchor, as in text that repeats
+    itself at once. ``names`` are those of the words of all texts one after the other.
     """
     owner = np.repeat(np.arange(len(sizes)), sizes)
     begin = np.cumsum(sizes) - sizes
@@ -118,7 +119,7 @@ def anchors(names: np.ndarray, sizes: np.ndarray):
     start = np.arange(number.sum()) + np.repeat(begin - (np.cumsum(number) - number), number)
     empty = np.zeros(0, np.int64)
     if not len(start):
-        return np.zeros(0, U), empty, empty, empty
+        return np.zeros(0, U), empty, empty, empty, empty.astype(bool)
     symbols, lengths, symbol_owner = recompress(names, owner)
     symbol_at = np.repeat(np.arange(len(symbols)), lengths)
     low, high = symbol_at[start + EDGE - 1] + 1, symbol_at[start + WINDOW - EDGE] - 1
@@ -140,9 +141,10 @@ def anchors(names: np.ndarray, sizes: np.ndarray):
         place[mine] = found * 16 + size
         name[mine] = mix(own[found], own[found], 30 + size)
     text = np.repeat(np.arange(len(sizes)), number)
-    first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (text[1:] != text[:-1])]))
+    first = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (text[1:] != text[:-1])]))
     last = np.append(first[1:], len(start)) - 1
-    return name[first], text[first], (start - begin[text])[first], (start - begin[text])[last]
+    at = start - begin[text]
+    return name[first], text[first], at[first], at[last], place[first] != place[last]
 
 
 def window_names(lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,7 +177,7 @@ def signed(values: np.ndarray) -> pa.Array:
 
 
 def anchor_table(texts: DataFrame) -> DataFrame:
-    """name, uid, first, last of every anchor of ``texts`` (uid, text)."""
+    """name, uid, first, last, several of every run of anchors of ``texts`` (uid, text)."""
 
     def emit(batches):
         known = WordNames()
@@ -184,11 +186,12 @@ def anchor_table(texts: DataFrame) -> DataFrame:
             for first_text, words in chunks(batch.column("text").to_pylist()):
                 sizes = np.array([len(w) for w in words], np.int64)
                 names = known.of([w for one in words for w in one])[:, 0]
-                name, text, first, last = anchors(names, sizes)
-                arrays = [signed(name), pa.array(ids[first_text + text]), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(arrays, ["name", "uid", "first", "last"])
+                name, text, first, last, several = anchors(names, sizes)
+                spans = pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))
+                arrays = [signed(name), pa.array(ids[first_text + text]), *spans, pa.array(several)]
+                yield pa.RecordBatch.from_arrays(arrays, ["name", "uid", "first", "last", "several"])
 
-    return texts.mapInArrow(emit, "name long, uid long, first int, last int")
+    return texts.mapInArrow(emit, "name long, uid long, first int, last int, several boolean")
 
 
 def spans(ranges: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -284,18 +287,21 @@ def repeated_stretches(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     found, found_path = saved(anchor_table(texts.select("uid", "text")), "substring-anchors")
     where = F.xxhash64("uid", "first")
-    places = found.select("name", where.alias("place")).groupBy("name")
-    again = places.agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low <> high").select("name")
+    places = found.select("name", "several", where.alias("place")).groupBy("name")
+    bounds = F.min("place").alias("low"), F.max("place").alias("high"), F.bool_or("several").alias("several")
+    again = places.agg(*bounds).where("low <> high or several").select("name")
+    # Stored, so that the join has two plain sides and AQE can split a name many texts have.
+    again, again_path = saved(again, "substring-names")
     # Copies give the same ranges; distinct first, so that a list is no longer than its text.
     ranges = (
-        found.join(again, "name")
+        found.join(again.hint("merge"), "name")
         .select("uid", "first", "last")
         .distinct()
         .groupBy("uid")
         .agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     )
     ranges, ranges_path = saved(ranges, "substring-ranges")
-    discard(spark, found_path)
+    discard(spark, found_path, again_path)
     candidates = once_in_a_row(texts.join(ranges.hint("merge"), "uid").select("uid", "digest", "text", "ranges"))
     marked, marked_path = saved(candidates.withColumn("id", F.monotonically_increasing_id()), "substring-texts")
     discard(spark, ranges_path)
