@@ -26,6 +26,7 @@ HEADLINE = (
     "daily_activity",
     "cardinality",
     "price_summary",
+    "price_histogram_p99",
     "session_summary_medians",
 )
 
