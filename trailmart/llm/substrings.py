@@ -308,9 +308,11 @@ def repeated_stretches(texts: DataFrame) -> DataFrame:
 
     windows = window_table(marked.select("id", "text", "ranges"))
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    starts = windows.join(twice, ["h1", "h2"]).groupBy("id").agg(F.collect_list("start").alias("starts"))
+    # Stored for the same reason as the names above.
+    twice, twice_path = saved(twice, "substring-windows")
+    starts = windows.join(twice.hint("merge"), ["h1", "h2"]).groupBy("id").agg(F.collect_list("start").alias("starts"))
     left, _ = saved(without_repeats(marked.join(starts.hint("merge"), "id")), "substring-left")
-    discard(spark, marked_path)
+    discard(spark, marked_path, twice_path)
     return left
 
 
