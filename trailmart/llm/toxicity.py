@@ -200,7 +200,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFr
     )
     merged = merged.withColumn("draw", F.xxhash64(F.lit(SEED), "doc_id"))
     drawn = merged.orderBy("draw", "doc_id").limit(fit_rows)
-    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    joined = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # One row per label, however often its doc_id repeats; combined map-side.
+    one = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text")))
+    texts = joined.groupBy("doc_id", "draw", *CATEGORIES).agg(one.alias("text"))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def slots(column: pa.Array) -> pa.Array:
