@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from trailmart.llm import fuse, mixing, pieces, shingles, toxicity  # noqa: E402
+from trailmart.llm import fuse, mixing, pieces, simhash, toxicity  # noqa: E402
 from trailmart.llm.common import prepare, saved, table  # noqa: E402
 from trailmart.llm.queries import model_path  # noqa: E402
 
@@ -27,9 +27,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a five-word shingle similarity of 0.8 or more the row with the smallest doc_id stays."""
+    """Of texts linked by fingerprints of four-word shingles at most 4 bits apart the row with the smallest doc_id stays."""
     prepare(spark)
-    return shingles.one_of_each_group(docs)
+    return simhash.one_of_each_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,11 +53,16 @@ def saved(df: DataFrame, label: str, compression: str = "snappy") -> tuple[DataF
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def discard(spark: SparkSession, *paths: str) -> None:
-    """Delete finished intermediate tables and let Spark drop shuffles nobody refers to."""
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Delete finished intermediate tables."""
     for path in paths:
         fs, parsed = file_system(spark, path)
         fs.delete(parsed, True)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete finished intermediate tables and let Spark drop shuffles nobody refers to."""
+    delete(spark, *paths)
     # The first collection lets go of plans, the next one of the shuffles they held.
     for _ in range(2):
         gc.collect()

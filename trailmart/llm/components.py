@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailmart.llm.common import discard, saved
+from trailmart.llm.common import delete, saved
 
 
 def signature(edges: DataFrame) -> tuple:
@@ -46,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
         larger, least_path = large_star(current)
         following, next_path = saved(small_star(larger).distinct(), "components")
         after = signature(following)
-        discard(spark, path, least_path)
+        delete(spark, path, least_path)
         current, path = following, next_path
         if after == before:
             break

@@ -5,17 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmart.llm import chat, curves, fuse, mixing, pieces, sharding, simhash, substrings, toxicity, warc
+from trailmart.llm import (
+    alignment,
+    chat,
+    curves,
+    fuse,
+    lexical,
+    minhash,
+    mixing,
+    pieces,
+    sharding,
+    simhash,
+    substrings,
+    toxicity,
+    warc,
+)
 from trailmart.llm.common import table
 from trailmart.llm.oracle import SQL  # noqa: F401
 
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
-def model_path() -> str:
+def model_path(name: str = PIECE_MODEL) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(PIECE_MODEL)
+    return public_tokenizers.path(name)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +90,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return marked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.cross_tokenizer(table(spark, sf_dir, "documents"), model_path(BYTE_MODEL), model_path())
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_nearest": op2_nearest,
@@ -86,4 +114,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_chat_format": op9_chat_format,
     "op10_warc": op10_warc,
+    "op11_minhash": op11_minhash,
+    "op12_lexical": op12_lexical,
+    "op13_alignment": op13_alignment,
 }
