@@ -18,8 +18,8 @@ from trailmart.functions.rates import (
 )
 from trailmart.functions.text import hash_bucket, time_or_null
 from trailmart.operators.facts import event_counts, journey_pattern, step_rates, type_flags
+from trailmart.operators.quantiles import point_quantiles, value_points
 from trailmart.schemas import EVENT_TYPES, TOTAL, UNKNOWN
-from trailmart.sources.files import stored
 
 PRICE_QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
 
@@ -105,7 +105,10 @@ CARDINALITIES = {
 
 
 def cardinality(events: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct values of six columns; ``approximate`` trades exactness for a single pass."""
+    """Distinct values of six columns; ``approximate`` trades exactness for a single pass.
+
+    Estimates that merge over days are in ``sketches``.
+    """
     if not approximate:
         return distinct_values(events, CARDINALITIES, "metric", "value")
     row = events.agg(*(F.approx_count_distinct(column).alias(name) for name, column in CARDINALITIES.items()))
@@ -119,61 +122,18 @@ def top_values(df: DataFrame, column: str, k: int = 15) -> DataFrame:
     return counts.orderBy(F.desc("event_count"), column).limit(k)
 
 
-# Sixteen hexadecimal digits of a whole number in ascending order, negative numbers first.
-ORDERED_HEX = "lpad(hex(v ^ shiftleft(1L, 63)), 16, '0')"
-
-
-def exact_quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...], weight: str = "1") -> DataFrame:
-    """Exact quantiles of a whole-number column, interpolated linearly between ranks.
-
-    A row counts ``weight`` times. Values are reduced to one row each, then looked at four
-    digits at a time: rows are counted per beginning, running totals tell which beginnings
-    hold the wanted ranks, and only those are looked at more closely. A beginning has at
-    most 65,536 continuations, so no task sees more, wherever the values lie.
-    """
-    values = df.filter(f"{column} is not null").selectExpr(f"cast({column} as bigint) as v", f"{weight} as w")
-    points = values.groupBy("v").agg(F.sum("w").alias("n")).selectExpr("v", "n", f"{ORDERED_HEX} as digits")
-    # The wanted position is p * (total - 1); values are needed at its floor and its ceiling.
-    wanted = ", ".join(f"cast({p} as decimal(8,6))" for p in probabilities)
-    ranks = (
-        points.agg(F.sum("n").alias("total"))
-        .filter("total > 0")
-        .selectExpr("total", f"explode(array({wanted})) as p")
-        .selectExpr("p", "p * cast(total - 1 as decimal(20,0)) as position")
-        .selectExpr("*", "explode(array_distinct(array(floor(position), ceil(position)))) as rank")
-        .selectExpr("p", "position", "cast(rank as bigint) as rank", "'' as beginning", "cast(0 as bigint) as before")
-    )
-    for length in (4, 8, 12, 16):
-        # At most two ranks per probability, so both broadcasts are a handful of rows.
-        open_ = ranks.select("beginning", "before").distinct()
-        beginnings = f"left(digits, {length - 4}) as beginning", f"left(digits, {length}) as longer"
-        near = points.selectExpr("v", "n", *beginnings)
-        counts = near.join(F.broadcast(open_), "beginning").groupBy("beginning", "before", "longer")
-        counts = counts.agg(F.sum("n").alias("n"), F.min("v").alias("v"))
-        upto = "before + sum(n) over (partition by beginning order by longer)"
-        placed = counts.selectExpr("beginning", "longer", "v", f"{upto} - n as from_rank", f"{upto} as to_rank")
-        wanted_here = F.broadcast(ranks.select("p", "position", "rank", "beginning"))
-        hit = placed.join(wanted_here, "beginning").filter("rank >= from_rank and rank < to_rank")
-        ranks = hit.selectExpr("p", "position", "rank", "longer as beginning", "from_rank as before", "v")
-    ends = ranks.groupBy("p", "position").agg(
-        F.expr("cast(min(v) as decimal(20,0)) as low"), F.expr("cast(max(v) as decimal(20,0)) as high")
-    )
-    return ends.selectExpr(
-        "p as probability",
-        "cast(low + cast(position - floor(position) as decimal(7,6)) * (high - low) as decimal(28,6)) as value",
-    )
-
-
 def price_points(events: DataFrame) -> DataFrame:
     """One stored row per price in cents with its number of events: the events are read once."""
-    priced = events.filter("price is not null").selectExpr("cast(price * 100 as bigint) as c")
-    return stored(priced.groupBy("c").agg(F.count(F.lit(1)).alias("n")), "prices")
+    return value_points(events, {"c": "price * 100"}, label="prices")
 
 
 def price_summary(events: DataFrame) -> DataFrame:
     """Count, mean, standard deviation, extremes and quantiles of the price."""
     points = price_points(events)
-    sums = points.agg(
+    quantiles = point_quantiles(points, {"c": PRICE_QUANTILES}).selectExpr(
+        "concat(cast(probability * 100 as int), '%') as statistic", "cast(round(value / 100, 4) as double) as value"
+    )
+    sums = points.withColumnRenamed("v", "c").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("k"),
         F.expr("sum(cast(c * n as decimal(38,0))) as s"),
         F.expr("sum(cast(c as decimal(19,0)) * c * n) as q"),
@@ -188,9 +148,6 @@ def price_summary(events: DataFrame) -> DataFrame:
         "max": "cast(high as double) / 100",
     }
     one = sums.selectExpr(*(f"round({text}, 4) as {name}" for name, text in stats.items()))
-    quantiles = exact_quantiles(points, "c", PRICE_QUANTILES, weight="n").selectExpr(
-        "concat(cast(probability * 100 as int), '%') as statistic", "cast(round(value / 100, 4) as double) as value"
-    )
     return as_rows(one, list(stats), "statistic", "value").unionByName(quantiles)
 
 
@@ -230,11 +187,10 @@ def histogram(events: DataFrame, bins: int = 50, up_to: float | None = None) ->
     numbers are whole-number arithmetic on cents, so no price sits on the wrong side
     of an edge. Empty bins are present with a count of zero.
     """
-    points = price_points(events)
+    points = price_points(events).selectExpr("name", "v", "n", "v as c")
     if up_to is not None:
-        # Stored: the one row is needed wherever the points are.
-        cut = stored(exact_quantiles(points, "c", (up_to,), weight="n").select("value"), "cut").scalar()
-        points = points.filter(F.col("c") <= cut)
+        cut = point_quantiles(points, {"c": (up_to,)}).first()
+        points = points.filter(F.col("c") <= F.lit(cut.value)) if cut else points
     # Where all prices are equal the bins span half a unit to either side.
     bounds = points.agg(F.min("c").alias("lo"), F.max("c").alias("hi")).selectExpr(
         "if(lo = hi, lo - 50, lo) as lo", "if(lo = hi, hi + 50, hi) as hi"
@@ -328,17 +284,17 @@ def session_summary_with_medians(sessions: DataFrame) -> DataFrame:
     """The session summary plus mean duration and exact medians of events and duration."""
     names = [*SESSION_METRICS, "avg_session_duration_minutes"]
     one = session_totals(sessions).select(*(F.col(name).cast(TOTAL).alias(name) for name in names))
-    spans = sessions.selectExpr("events_in_session", f"{micros('session_start', 'session_end')} as span")
-    medians = (
-        ("median_events_per_session", "events_in_session", 1),
-        ("median_session_duration_minutes", "span", MICROS_PER_MINUTE),
+    medians = {
+        "median_events_per_session": ("events_in_session", 1),
+        "median_session_duration_minutes": (micros("session_start", "session_end"), MICROS_PER_MINUTE),
+    }
+    points = value_points(sessions, {name: column for name, (column, _) in medians.items()}, label="sessions-points")
+    middle = point_quantiles(points, {name: (0.5,) for name in medians})
+    unit = "case name " + " ".join(f"when '{name}' then {unit}" for name, (_, unit) in medians.items()) + " end"
+    rounded = F.expr(f"round(value / cast({unit} as decimal(10,0)), 2)").cast(TOTAL)
+    return as_rows(one, names, "metric", "value").unionByName(
+        middle.select(F.col("name").alias("metric"), rounded.alias("value"))
     )
-    report = as_rows(one, names, "metric", "value")
-    for name, column, unit in medians:
-        middle = exact_quantiles(spans, column, (0.5,))
-        rounded = F.round(F.col("value") / F.lit(unit).cast("decimal(10,0)"), 2).cast(TOTAL)
-        report = report.unionByName(middle.select(F.lit(name).alias("metric"), rounded.alias("value")))
-    return report
 
 
 def session_funnel_rates(sessions: DataFrame) -> DataFrame:
