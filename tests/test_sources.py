@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from trailmart.operators import quality
-from trailmart.sources import events, extracts, files, products
+from trailmart.sources import events, extracts, products, tables
 
 HEADER = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
 COLUMNS = HEADER.split(",")
@@ -150,17 +150,17 @@ def test_header_report(spark):
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_strict_load_rejects_everything_on_one_bad_value(spark, csv, tmp_path, bad, ansi):
     target = str(tmp_path / "raw")
-    files.replace_table(events.load_strict(csv(GOOD)), target)
+    tables.replace_table(events.load_strict(csv(GOOD)), target)
     landing = csv(GOOD, GOOD, bad)
     spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
         with pytest.raises(PySparkException):
-            files.replace_table(events.load_strict(landing), target)
+            tables.replace_table(events.load_strict(landing), target)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", "true")
     # The table that was there before is still complete, and nothing is left beside it.
-    assert files.read_table(spark, target).count() == 1
-    assert len([name for name in os.listdir(target) if name.startswith("version-")]) == 1
+    assert tables.read_table(spark, target).count() == 1
+    assert len([name for name in os.listdir(target) if name.startswith("__load=")]) == 1
 
 
 def test_permissive_load_and_rejects_cover_every_row(csv):
@@ -193,37 +193,6 @@ def test_product_master_keeps_the_first_row_in_file_order(csv):
     assert {r.source_system for r in synced} == {"mysql_product_master"}
 
 
-def test_replace_append_and_partition_reload(spark, tmp_path):
-    path = str(tmp_path / "t")
-    rows = spark.range(10).select("id", (F.col("id") % 3).alias("day"))
-    files.replace_table(rows, path, ("day",))
-    files.replace_table(rows, path, ("day",))
-    assert files.read_table(spark, path).count() == 10
-    files.append_table(rows.filter("day = 0"), path, ("day",))
-    assert files.read_table(spark, path).count() == 14
-    files.replace_partitions(rows.filter("day = 0"), path, ("day",))
-    assert files.read_table(spark, path).count() == 10
-
-
-def test_a_version_is_read_only_once_it_is_published(spark, tmp_path):
-    path = str(tmp_path / "t")
-    with pytest.raises(FileNotFoundError):
-        files.read_table(spark, path)
-    old = files.replace_table(spark.range(3), path)
-    _, version = files.stage_table(spark.range(5), path)
-    # A job lost between write and switch leaves the old version in place.
-    assert files.read_table(spark, path).count() == 3
-    files.publish(spark, path, version)
-    assert files.read_table(spark, path).count() == 5
-    # Readers that began with the version before can finish, older versions go.
-    assert old.count() == 3
-    for n in (7, 8):
-        files.replace_table(spark.range(n), path)
-    assert files.read_table(spark, path).count() == 8
-    assert len([name for name in os.listdir(path) if name.startswith("version-")]) == 2
-    assert sorted(name for name in os.listdir(path) if "CURRENT" in name and not name.startswith(".")) == ["_CURRENT"]
-
-
 @pytest.mark.parametrize(("one_file", "parts"), [(True, 1), (False, 2)])
 def test_extract_is_one_file_on_request(spark, tmp_path, one_file, parts):
     out = str(tmp_path / "out")

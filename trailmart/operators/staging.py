@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from trailmart.schemas import EVENT_TYPES, MONEY, REQUIRED
 
@@ -32,3 +35,14 @@ def stg_events(raw_events: DataFrame) -> DataFrame:
         "source_file",
         "loaded_at",
     )
+
+
+def of_days(raw_events: DataFrame, first: datetime.date, last: datetime.date) -> DataFrame:
+    """Staged events of the days ``first`` to ``last``.
+
+    The bounds are on the stored time itself, so files and row groups of other days are skipped.
+    """
+    start = datetime.datetime.combine(first, datetime.time(), datetime.timezone.utc)
+    end = datetime.datetime.combine(last + datetime.timedelta(days=1), datetime.time(), datetime.timezone.utc)
+    within = (F.col("event_time") >= F.lit(start)) & (F.col("event_time") < F.lit(end))
+    return stg_events(raw_events.filter(within))

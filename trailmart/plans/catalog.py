@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trailmart.operators import checks, experiment, marts, profiling, quality
-from trailmart.plans import testbed
+from trailmart.operators import bitmaps, checks, experiment, marts, profiling, quality, sketches, staging
+from trailmart.plans import jobs, testbed
 from trailmart.plans.models import MODELS, SOURCES, Warehouse, derive, sources_of
 from trailmart.schemas import LANDING_COLUMNS
 from trailmart.session import shared_dir
 from trailmart.sources import events, products
 from trailmart.sources.extracts import export_csv
-from trailmart.sources.files import append_table, read_table, replace_partitions, replace_table, stored
+from trailmart.sources.files import find_csv, sizes_of, stored
+from trailmart.sources.tables import append_table, read_table, replace_partitions, replace_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Columns that name a load rather than describe an event.
-LOAD_COLUMNS = ("source_file", "file_path", "loaded_at")
+LOAD_COLUMNS = ("source_file", "file_path", "file_start", "loaded_at")
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def over_landing(report: Callable[[DataFrame], DataFrame]) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         text = testbed.landing(spark, sf_dir, dirty=True).withColumnRenamed("event_id", "load_order")
-        placed = "'landing' as source_file", "'landing' as file_path", "cast(null as string) as malformed"
+        placed = "'landing' as source_file", "'landing' as file_path", "0L as file_start", "cast(null as string) as malformed"
         return comparable(report(text.selectExpr("*", *placed)))
 
     return run
@@ -73,6 +75,22 @@ def over_typed(report: Callable[[DataFrame], DataFrame]) -> Query:
     return over_landing(lambda text: report(events.typed(text)))
 
 
+_written: dict[tuple, str] = {}
+
+
+def written_once(make: Callable[[SparkSession, str, bool], str]) -> Callable[[SparkSession, str, bool], str]:
+    """Files derived from the given tables are inputs: one Spark application writes them once."""
+
+    def folder(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
+        key = (make.__name__, spark.sparkContext.applicationId, sf_dir, dirty)
+        if key not in _written:
+            _written[key] = make(spark, sf_dir, dirty)
+        return _written[key]
+
+    return folder
+
+
+@written_once
 def csv_files(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
     """A folder of CSV files with the derived rows; dirty ones hold broken lines too."""
     folder = shared_dir(spark, "landing")
@@ -84,6 +102,25 @@ def csv_files(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
     return folder
 
 
+@written_once
+def csv_parts(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
+    """Three CSV files of unequal size, in order of the events."""
+    folder = shared_dir(spark, "parts")
+    part = F.expr("case when event_id < 50 then 0 when event_id < 400 then 1 else 2 end")
+    rows = testbed.landing(spark, sf_dir, dirty).withColumn("part", part)
+    ordered = rows.repartitionByRange(3, "part").sortWithinPartitions("event_id")
+    export_csv(ordered.select(*LANDING_COLUMNS), folder)
+    return folder
+
+
+@written_once
+def csv_torn(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
+    """One CSV file whose brands hold line breaks, quotes and separators."""
+    folder = shared_dir(spark, "torn")
+    export_csv(testbed.landing(spark, sf_dir, dirty, torn=True).select(*LANDING_COLUMNS), folder, single_file=True)
+    return folder
+
+
 def over_csv(report: Callable[[DataFrame], DataFrame], dirty: bool) -> Query:
     """A report over CSV files that were written from the derived rows."""
 
@@ -104,18 +141,44 @@ def over_loaded(report: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
-def over_parts(report: Callable[[DataFrame], DataFrame]) -> Query:
+def over_parts(report: Callable[[DataFrame], DataFrame], dirty: bool = True) -> Query:
     """A report over three CSV files of unequal size, in order of the events."""
-
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = shared_dir(spark, "parts")
-        part = F.expr("case when event_id < 50 then 0 when event_id < 400 then 1 else 2 end")
-        rows = testbed.landing(spark, sf_dir, dirty=True).withColumn("part", part)
-        ordered = rows.repartitionByRange(3, "part").sortWithinPartitions("event_id")
-        export_csv(ordered.select(*LANDING_COLUMNS), folder)
-        return comparable(report(events.scan_csv(spark, folder)))
-
-    return run
+    return lambda spark, sf_dir: comparable(report(events.scan_csv(spark, csv_parts(spark, sf_dir, dirty))))
+
+
+def quoted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one file with torn lines, read by many tasks."""
+    folder = csv_torn(spark, sf_dir, False)
+    size, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(size, "256k")
+    try:
+        read = stored(events.scan_csv(spark, folder, multi_line=True), "torn")
+    finally:
+        spark.conf.set(size, before)
+    return comparable(read.drop("load_order"))
+
+
+def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events after one file was loaded and the whole folder appended twice."""
+    folder, warehouse = csv_parts(spark, sf_dir, False), Warehouse(spark, shared_dir(spark, "appended"))
+    first = find_csv(spark, folder)[:1]
+    landing = jobs.land(warehouse, folder, files=first)
+    jobs.load_events(warehouse, landing, files=sizes_of(spark, first))
+    jobs.load_products(warehouse, landing, sizes_of(spark, first))
+    for _ in range(2):
+        jobs.append(warehouse, folder)
+    return comparable(warehouse.read("raw_events"))
+
+
+def append_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product master after one file was loaded and the whole folder appended."""
+    folder, warehouse = csv_parts(spark, sf_dir, False), Warehouse(spark, shared_dir(spark, "appended"))
+    first = find_csv(spark, folder)[:1]
+    landing = jobs.land(warehouse, folder, files=first)
+    jobs.load_events(warehouse, landing, files=sizes_of(spark, first))
+    jobs.load_products(warehouse, landing, sizes_of(spark, first))
+    jobs.append(warehouse, folder)
+    return comparable(warehouse.read("product_dim"))
 
 
 def validate_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,6 +300,40 @@ def session_summary_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return over_typed(report)(spark, sf_dir)
 
 
+def distinct_by(period: Callable[[], Column], name: str) -> Query:
+    """Distinct users and sessions per period from daily bitmaps that are stored first."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        daily = bitmaps.stored_bitmaps(derived("stg_events", spark, sf_dir))
+        return bitmaps.distinct_per_period(daily, period(), name)
+
+    return run
+
+
+def sketched_cardinality(events_: DataFrame) -> DataFrame:
+    """Whether estimates of each month, from stored sketches of its days, are within two per cent of the counts."""
+    month = F.trunc("event_date", "month").alias("event_month")
+    estimated = sketches.estimates(stored(sketches.daily_sketches(events_), "sketches"), month)
+    kept = profiling.CARDINALITIES
+    exact = events_.groupBy(F.trunc(F.to_date("event_time"), "month").alias("month")).agg(
+        *(F.countDistinct(column).alias(name) for name, column in kept.items())
+    )
+    cells = ", ".join(f"struct('{name}' as name, {name} as exact)" for name in kept)
+    counted = exact.selectExpr("month", f"inline(array({cells}))")
+    same = F.col("event_month").eqNullSafe(F.col("month")) & (F.col("metric") == F.col("name"))
+    near = "abs(value - exact) <= 0.02D * exact as within_two_per_cent"
+    return estimated.join(counted, same).selectExpr("event_month", "metric", "exact as value", near)
+
+
+def clustered_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per type of the first three days, read from raw events in order of time."""
+    warehouse = Warehouse(spark, shared_dir(spark, "clustered"))
+    warehouse.load("raw_events", testbed.raw_events(spark, sf_dir))
+    raw = warehouse.cluster()
+    first = raw.agg(F.min(F.to_date("event_time")).alias("d")).first().d
+    return checks.event_type_counts(staging.of_days(raw, first, first + datetime.timedelta(days=2)))
+
+
 def without(*names: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.drop(*names)
 
@@ -259,6 +356,9 @@ QUERIES: dict[str, Query] = {
     "top_category_brand": over("mart_revenue_attribution", marts.top_category_brands),
     "top_attribution_rows": over("mart_revenue_attribution", marts.top_attribution_rows),
     "attribution_row_count": over("mart_revenue_attribution", checks.row_count),
+    "distinct_by_day": distinct_by(lambda: F.col("event_date"), "event_date"),
+    "distinct_by_month": distinct_by(lambda: F.trunc("event_date", "month"), "event_month"),
+    "clustered_days": clustered_days,
     "daily_revenue": over("fact_conversions", marts.daily_revenue),
     "journey_distribution": over("fact_sessions", journeys),
     "user_segments": over("dim_user", segments),
@@ -277,6 +377,10 @@ QUERIES: dict[str, Query] = {
             F.count(F.lit(1)).alias("total_rows"), F.countDistinct("event_id").alias("distinct_keys")
         )
     ),
+    "load_dense_keys": over_parts(lambda text: events.load_strict(text, first_id=1), dirty=False),
+    "append_load": append_load,
+    "append_products": append_products,
+    "quoted_scan": quoted_scan,
     "product_master": over_parts(products.product_master),
     "product_sync": over_parts(lambda text: products.sync_products(products.product_master(text))),
     "table_reload": table_reload,
@@ -305,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "time_profile": over_landing(profiling.time_profile),
     "daily_activity": over_typed(profiling.daily_activity),
     "cardinality": over_typed(profiling.cardinality),
+    "cardinality_sketched": over_typed(sketched_cardinality),
     "top_categories": over_typed(lambda df: profiling.top_values(df, "category_code")),
     "top_brands": over_typed(lambda df: profiling.top_values(df, "brand")),
     "price_summary": over_typed(profiling.price_summary),

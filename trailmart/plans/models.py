@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from trailmart.operators.dimensions import dim_date, dim_product, dim_user
@@ -16,7 +18,7 @@ from trailmart.operators.staging import stg_events
 from trailmart.schemas import PRODUCT_DIM, RAW_EVENTS
 from trailmart.session import configure
 from trailmart.sources.extracts import export_csv
-from trailmart.sources.files import discard_version, publish, read_table, stage_table
+from trailmart.sources.tables import Manifest, Staged, current, discard_staged, publish, read_table, stage_table
 
 
 @dataclass(frozen=True)
@@ -34,6 +36,9 @@ class Model:
 
 SOURCES = ("raw_events", "product_dim")
 SOURCE_PARTITIONS = {"raw_events": ("event_type",)}
+CLUSTERED_BY = {"raw_events": ("event_time", "event_id")}
+#: Models built at a time.
+PARALLEL = 4
 SCHEMAS = {"raw_events": RAW_EVENTS, "product_dim": PRODUCT_DIM}
 MODELS = {
     "stg_events": Model(("raw_events",), stg_events, "staging", is_view=True),
@@ -75,6 +80,10 @@ def derive(name: str, sources: dict[str, DataFrame]) -> DataFrame:
     return frames[name]
 
 
+#: The ledger of a version from the rows written for it.
+Ledger = Callable[[DataFrame], dict]
+
+
 class Warehouse:
     """Models under one root folder, each table rebuilt completely and swapped in.
 
@@ -91,7 +100,12 @@ class Warehouse:
         return f"{self.root}/{schema}/{name}"
 
     def load(
-        self, name: str, rows: DataFrame, partition_by: tuple[str, ...] | None = None, tested: bool = False
+        self,
+        name: str,
+        rows: DataFrame,
+        partition_by: tuple[str, ...] | None = None,
+        tested: bool = False,
+        ledger: Ledger | None = None,
     ) -> DataFrame:
         """Store a source table; the written rows keep their surrogate keys from here on.
 
@@ -101,23 +115,57 @@ class Warehouse:
         """
         if partition_by is None:
             partition_by = SOURCE_PARTITIONS.get(name, ())
-        return self.publish(name, rows, partition_by, rebalance=False, tested=tested)
+        return self.publish(name, rows, partition_by, rebalance=False, tested=tested, ledger=ledger)
+
+    def append(
+        self,
+        name: str,
+        rows: DataFrame,
+        ledger: Ledger,
+        base: int,
+        partition_by: tuple[str, ...] | None = None,
+        tested: bool = False,
+    ) -> DataFrame:
+        """Add rows to a source table, with the ledger that says what they were loaded from.
+
+        Rows and ledger are published together, and only if version ``base``, whose ledger
+        decided what to load, is still current: a load that is repeated or meets another one
+        adds nothing twice.
+        """
+        if partition_by is None:
+            partition_by = SOURCE_PARTITIONS.get(name, ())
+        return self.publish(name, rows, partition_by, rebalance=False, tested=tested, ledger=ledger, base=base)
+
+    def version(self, name: str) -> Manifest:
+        """The published version of a table with its ledger; number 0 for a table not there yet."""
+        return current(self.spark, self.path(name)) or Manifest(0)
 
     def publish(
-        self, name: str, rows: DataFrame, partition_by: tuple[str, ...], rebalance: bool = True, tested: bool = False
+        self,
+        name: str,
+        rows: DataFrame,
+        partition_by: tuple[str, ...],
+        rebalance: bool = True,
+        tested: bool = False,
+        ledger: Ledger | None = None,
+        base: int | None = None,
     ) -> DataFrame:
         """Write a new version of a table and switch to it, after its tests if asked for.
 
-        A version that fails its tests is deleted; the one before stays in place.
+        With ``base`` the rows are added to that version. Rows that fail their tests are
+        deleted; the version before stays in place.
         """
-        written, version = stage_table(rows, self.path(name), partition_by, rebalance)
-        if tested:
-            try:
+        written, staged = stage_table(rows, self.path(name), partition_by, rebalance)
+        entries = None
+        if base is not None:
+            staged, entries = Staged(staged.entry, base), lambda old: (*old, staged.entry)
+        try:
+            if tested:
                 gate(check_table(written, name))
-            except Exception:
-                discard_version(self.spark, self.path(name), version)
-                raise
-        publish(self.spark, self.path(name), version)
+            publish(self.spark, self.path(name), staged, entries, ledger(written) if ledger else {})
+        except Exception:
+            discard_staged(self.spark, self.path(name), staged)
+            raise
         return written
 
     def read(self, name: str) -> DataFrame:
@@ -138,13 +186,60 @@ class Warehouse:
         rows = model.build(*(self.read(source) for source in model.inputs))
         return self.publish(name, rows, model.partition_by, tested=tested)
 
-    def build(self, *names: str, tested: bool = False) -> dict[str, DataFrame]:
-        """Build the named models (all if none is named) after everything they need.
+    def build(self, *names: str, tested: bool = False, parallel: int = PARALLEL) -> dict[str, DataFrame]:
+        """Build the named models (all if none is named), each as soon as everything it needs is there.
+
+        At most ``parallel`` models are built at a time, each in a scheduler pool of its own, so
+        that with fair scheduling a short one does not wait for the tasks of a long one. With
+        ``tested`` a model is published only if its declared tests pass. After a failure the
+        models that need the failed one are left out, the others are still built, and
+        the first failure is raised.
+        """
+        wanted = with_inputs(names or MODELS)
+        waiting = {name: {item for item in MODELS[name].inputs if item in wanted} for name in wanted}
+        built: dict[str, DataFrame] = {}
+        failures: list[BaseException] = []
+
+        def one(name: str) -> DataFrame:
+            self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"build-{name}")
+            return self.build_one(name, tested)
+
+        with ThreadPoolExecutor(max_workers=parallel) as workers:
+            running: dict[Future, str] = {}
+            while waiting or running:
+                for name in [name for name, inputs in waiting.items() if inputs <= built.keys()]:
+                    running[workers.submit(inheritable_thread_target(self.spark)(one), name)] = name
+                    del waiting[name]
+                if not running:
+                    # What is left needs a model that has failed.
+                    break
+                for done in wait(running, return_when=FIRST_COMPLETED).done:
+                    name = running.pop(done)
+                    if error := done.exception():
+                        failures.append(error)
+                    else:
+                        built[name] = done.result()
+        if failures:
+            raise failures[0]
+        return {name: built[name] for name in wanted}
 
-        With ``tested`` a model is published only if its declared tests pass; a failure
-        stops the models after it.
+    def cluster(self, name: str = "raw_events") -> DataFrame:
+        """Rewrite a source table in order of time within its partitions, as a new version.
+
+        Rows are dealt by ranges of (type, time, id): a file holds a stretch of time, so files
+        and row groups of other days are skipped by their statistics, and a day with a large
+        part of all events is spread over many files. The ledger stays with the rows.
         """
-        return {name: self.build_one(name, tested) for name in with_inputs(names or MODELS)}
+        version = self.version(name)
+        by = [*SOURCE_PARTITIONS[name], *CLUSTERED_BY[name]]
+        ordered = self.read(name).repartitionByRange(*by).sortWithinPartitions(*by)
+        written, staged = stage_table(ordered, self.path(name), SOURCE_PARTITIONS[name], rebalance=False)
+        try:
+            publish(self.spark, self.path(name), Staged(staged.entry, version.number))
+        except Exception:
+            discard_staged(self.spark, self.path(name), staged)
+            raise
+        return written
 
     def create_views(self) -> None:
         """Make every stored table and view available to ``spark.sql`` under its name."""

@@ -184,8 +184,8 @@ dim_user as (
     coalesce(purchased, 0) as has_ever_purchased, total_purchase_events as conversion_count,
     coalesce(cast(spent as double), 0) as total_revenue,
     coalesce({per_cent_of_money(cents("spent"), "priced")}, 0) as avg_purchase_value,
-    ['other', 'viewer_only', 'carted_not_purchased', 'purchaser'][greatest(
-      case when total_purchase_events > 0 then 4 end, 3 * carted, 2 * viewed, 1)] as user_segment
+    case when total_purchase_events > 0 then 'purchaser' when carted = 1 then 'carted_not_purchased'
+      when viewed = 1 then 'viewer_only' else 'other' end as user_segment
   from by_user_events e left join by_user_sessions s using (user_id))"""
 )
 
@@ -369,6 +369,11 @@ profile_totals as (
   from profile_rows)"""
 )
 
+# Every loaded event with its number in the order of files and lines.
+DENSE = """select row_number() over (order by event_id) as event_id, event_time, lower(trim(event_type)) as event_type,
+  product_id, category_id, cast(price as double) as price, user_id, nullif(trim(user_session), '') as user_session
+from raw_events where lower(trim(event_type)) in ('view', 'cart', 'purchase')"""
+
 LOADED = """event_time, event_type, product_id, category_id, cast(price as double) as price, user_id, user_session"""
 
 PRODUCTS = (
@@ -392,6 +397,24 @@ def value_counts(table: str, column: str, count: str, share: str) -> str:
     )
 
 
+# Names of the distinct counts and the columns they count.
+CARDINALITIES = {
+    "unique_users": "user_id",
+    "unique_sessions": "user_session",
+    "unique_products": "product_id",
+    "unique_categories": "category_id",
+    "unique_category_codes": "category_code",
+    "unique_brands": "brand",
+}
+
+
+def distinct_by(column: str, name: str) -> str:
+    return (
+        f"select {column} as {name}, count(distinct user_id) as active_users, "
+        "count(distinct user_session) as sessions from stg_events group by 1"
+    )
+
+
 def as_rows(table: str, key: str, value: str, cells: dict[str, str]) -> str:
     return " union all ".join(f"select '{name}' as {key}, {text} as {value} from {table}" for name, text in cells.items())
 
@@ -487,6 +510,13 @@ SQL: dict[str, str] = {
         f"cast(total as double) as total_revenue, {per_cent_of_money(cents('total'), 'priced')} as avg_purchase_value "
         "from daily_revenue",
     ),
+    "distinct_by_day": with_(STAGED, distinct_by("event_date", "event_date")),
+    "distinct_by_month": with_(STAGED, distinct_by("event_month", "event_month")),
+    "clustered_days": with_(
+        STAGED,
+        "select event_type, count(*) as event_count from stg_events "
+        "where event_date <= (select min(cast(event_time as date)) + 2 from raw_events) group by 1",
+    ),
     "journey_distribution": with_(
         FACTS, value_counts("fact_sessions", "journey_pattern", "session_count", "session_pct")
     ),
@@ -504,6 +534,18 @@ SQL: dict[str, str] = {
         "cast(price as double) as price, user_id, nullif(trim(user_session), '') as user_session "
         "from raw_events where lower(trim(event_type)) in ('view', 'cart', 'purchase')",
     ),
+    "load_dense_keys": with_(RAW, DENSE),
+    "append_load": with_(RAW, DENSE),
+    "append_products": with_(
+        PRODUCTS.replace("from landing)", "from clean_text)"),
+        f"select *, '{SOURCE_SYSTEM}' as source_system from product_master",
+    ),
+    "quoted_scan": with_(
+        LANDING,
+        "select * exclude (event_id) replace (case when event_id % 7 = 0 then 'big, \"' || coalesce(brand, '') || '\"' "
+        "|| chr(10) || ',\"II\",' || chr(10) || chr(10) || ' x' else brand end as brand), null as malformed "
+        "from clean_text",
+    ),
     "load_permissive": with_(
         TYPED,
         f"select {LOADED} from typed where event_time is not null and event_type is not null "
@@ -603,14 +645,15 @@ SQL: dict[str, str] = {
             "typed",
             "metric",
             "value",
-            {
-                "unique_users": "count(distinct user_id)",
-                "unique_sessions": "count(distinct user_session)",
-                "unique_products": "count(distinct product_id)",
-                "unique_categories": "count(distinct category_id)",
-                "unique_category_codes": "count(distinct category_code)",
-                "unique_brands": "count(distinct brand)",
-            },
+            {metric: f"count(distinct {column})" for metric, column in CARDINALITIES.items()},
+        ),
+    ),
+    "cardinality_sketched": with_(
+        TYPED + ", months as (select cast(date_trunc('month', event_time) as date) as event_month, * from typed)",
+        " union all ".join(
+            f"select event_month, '{metric}' as metric, count(distinct {column}) as value, true as within_two_per_cent "
+            "from months group by 1"
+            for metric, column in CARDINALITIES.items()
         ),
     ),
     "top_categories": with_(TYPED, top("category_code")),

@@ -89,11 +89,16 @@ BROKEN_LINES = (
 )
 
 
-def landing(spark: SparkSession, sf_dir: str, dirty: bool) -> DataFrame:
+# A brand that only quotes hold together: line breaks, quotes and separators.
+TORN_BRAND = """concat('big, "', coalesce({brand}, ''), '"\n,"II",\n\n x')"""
+
+
+def landing(spark: SparkSession, sf_dir: str, dirty: bool, torn: bool = False) -> DataFrame:
     """Event rows as they would stand in a CSV: nine text columns after ``event_id``.
 
     A product's brand changes over time, so keeping the first one matters. ``dirty``
-    adds values that do not parse, missing types and ids with a fraction of zero.
+    adds values that do not parse, missing types and ids with a fraction of zero;
+    ``torn`` adds brands with line breaks.
     """
     texts = table(spark, sf_dir, "part").selectExpr("p_partkey as product_id", *PRODUCT_TEXTS)
     rows = _shaped(table(spark, sf_dir, "events")).join(texts, "product_id", "left")
@@ -108,6 +113,8 @@ def landing(spark: SparkSession, sf_dir: str, dirty: bool) -> DataFrame:
         "user_id": "cast(user_id as string)",
         "user_session": "nullif(trim(user_session), '')",
     }
+    if torn:
+        text["brand"] = f"if(event_id % 7 = 0, {TORN_BRAND.format(brand=text['brand'])}, {text['brand']})"
     if dirty:
         for name, n, bad in SPOILED:
             text[name] = f"if(event_id % {n} = 0, {bad}, {text[name]})"

@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import time
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from trailmart.session import shared_dir
 
-#: File in a table's folder that names its published version.
-POINTER = "_CURRENT"
-
 
 def file_system(spark: SparkSession, path: str):
     """The Hadoop file system behind ``path`` together with the parsed path."""
@@ -33,107 +29,39 @@ def find_csv(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
-def version_of(spark: SparkSession, path: str) -> str:
-    """The folder of the published version of the table at ``path``."""
-    fs, pointer = file_system(spark, f"{path}/{POINTER}")
-    if not fs.exists(pointer):
-        raise FileNotFoundError(f"no table has been published at {path}")
-    stream = fs.open(pointer)
-    try:
-        name = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-    finally:
-        stream.close()
-    return f"{path}/{name}"
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The published version; a given schema spares reading footers and guessing folder types."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(version_of(spark, path))
-
-
-def stage_table(
-    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), rebalance: bool = True
-) -> tuple[DataFrame, str]:
-    """Write ``df`` as a version of the table that nobody reads yet; the rows and the version."""
-    spark = df.sparkSession
-    version = f"version-{time.time_ns():020d}-{uuid.uuid4().hex}"
-    folder = f"{path}/{version}"
-    try:
-        write_table(df, folder, "errorifexists", partition_by, rebalance)
-    except Exception:
-        discard_version(spark, path, version)
-        raise
-    return spark.read.schema(df.schema).parquet(folder), version
-
-
-def discard_version(spark: SparkSession, path: str, version: str) -> None:
-    fs, folder = file_system(spark, f"{path}/{version}")
-    fs.delete(folder, True)
+def sizes_of(spark: SparkSession, paths: list[str]) -> dict[str, int]:
+    """Length in bytes of each file."""
+    found = {}
+    for path in paths:
+        fs, parsed = file_system(spark, path)
+        found[path] = int(fs.getFileStatus(parsed).getLen())
+    return found
 
 
-def publish(spark: SparkSession, path: str, version: str) -> None:
-    """Make a staged version the one that is read: a small pointer file is replaced.
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the shared folder: worked out once, whoever reads it how often.
 
-    Data is never moved. The version before stays for readers that have begun with it;
-    older ones are deleted.
-    """
-    fs, pointer = file_system(spark, f"{path}/{POINTER}")
-    before = version_of(spark, path).rsplit("/", 1)[1] if fs.exists(pointer) else None
-    _, fresh = file_system(spark, f"{path}/{POINTER}-{uuid.uuid4().hex}")
-    stream = fs.create(fresh, True)
-    stream.write(bytearray(version.encode()))
-    stream.close()
-    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
-    overwrite = spark.sparkContext._gateway.new_array(options, 1)
-    overwrite[0] = options.OVERWRITE
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        fs.getUri(), spark._jsc.hadoopConfiguration()
-    )
-    context.rename(fs.makeQualified(fresh), fs.makeQualified(pointer), overwrite)
-    for status in fs.listStatus(pointer.getParent()):
-        name = status.getPath().getName()
-        if name.startswith("version-") and name < version and name != before:
-            fs.delete(status.getPath(), True)
-
-
-def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), rebalance: bool = True) -> DataFrame:
-    """Write ``df`` as a new version of the table at ``path`` and publish it.
-
-    Readers see the old version until then and a failed job leaves it untouched.
+    It is deleted when the innermost ``scratch`` around the call ends.
     """
-    rows, version = stage_table(df, path, partition_by, rebalance)
-    publish(df.sparkSession, path, version)
-    return rows
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a table in the shared folder: worked out once, whoever reads it how often."""
     path = shared_dir(df.sparkSession, label)
-    write_table(df, path, "errorifexists")
+    if _scopes:
+        _scopes[-1].append(path)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_table(
-    df: DataFrame, path: str, mode: str, partition_by: tuple[str, ...] = (), rebalance: bool = True
-) -> None:
-    """One distributed parquet write.
+_scopes: list[list[str]] = []
 
-    A partitioned write is rebalanced first unless told otherwise: AQE then merges
-    small partition values and splits one that holds far more rows than the others
-    over several tasks and files.
-    """
-    rows = df.hint("rebalance", *partition_by) if partition_by and rebalance else df
-    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
-
-def append_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Add rows to the published version of a table in one distributed write."""
-    write_table(df, version_of(df.sparkSession, path), "append", partition_by)
-
-
-def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
-    """Overwrite, in the published version, only the partitions ``df`` has rows for."""
-    rows = df.hint("rebalance", *partition_by)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(version_of(df.sparkSession, path))
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what ``stored`` has written inside: results are to be consumed before."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            fs, parsed = file_system(spark, path)
+            fs.delete(parsed, True)
