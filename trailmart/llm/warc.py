@@ -16,7 +16,7 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,10 +76,21 @@ def record(row: int, page_id, url, payload: bytes, digest: str, leader, leader_p
     return head.encode() + block + END
 
 
+RECORD_COLUMNS = ("row", "page_id", "url", "payload", "digest", "leader", "leader_page")
+
+
+def manifest_rows(rows: list[tuple[str, int]]) -> pa.RecordBatch:
+    paths, records = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(records, pa.int64())], names=["path", "records"])
+
+
 def write_archives(rows: DataFrame, folder: str) -> DataFrame:
-    """Write (row, page_id, url, payload, digest, leader, leader_page) as gzip streams; a manifest."""
+    """Write (row, page_id, url, payload, digest, leader, leader_page) as gzip streams; a manifest.
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Rows come as Arrow, where an id beside nulls stays a whole number.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = opened(folder)
         fs.create_dir(base, recursive=True)
         stream = packer = None
@@ -88,16 +99,15 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
         def close():
             stream.write(packer.flush())
             stream.close()
-            return pd.DataFrame({"path": [f"{folder}/{name}"], "records": [count]})
+            return manifest_rows([(f"{folder}/{name}", count)])
 
         for batch in batches:
-            for r in batch.itertuples(index=False):
+            for r in batch.to_pylist():
                 if stream is None:
                     name, count, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     stream = fs.open_output_stream(f"{base}/{name}", compression=None)
                     packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-                optional = [None if pd.isna(x) else int(x) for x in (r.page_id, r.leader, r.leader_page)]
-                data = record(int(r.row), optional[0], r.url, bytes(r.payload), r.digest, *optional[1:])
+                data = record(*(r[column] for column in RECORD_COLUMNS))
                 stream.write(packer.compress(data))
                 count, size = count + 1, size + len(data)
                 if size >= FILE_BYTES:
@@ -106,7 +116,7 @@ def write_archives(rows: DataFrame, folder: str) -> DataFrame:
         if stream is not None:
             yield close()
 
-    return rows.mapInPandas(write, "path string, records long")
+    return rows.select(*RECORD_COLUMNS).mapInArrow(write, "path string, records long")
 
 
 def inflated(stream) -> Iterator[bytes]:
@@ -157,11 +167,11 @@ def records_of(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]
 def normalise(manifest: DataFrame, folder: str, files: int) -> DataFrame:
     """Rewrite each archive with one member per record and an index; the new manifest."""
 
-    def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, base = opened(folder)
         target.create_dir(base, recursive=True)
         for batch in batches:
-            for path in batch["path"]:
+            for path in batch.column("path").to_pylist():
                 source, location = opened(path)
                 name, offset, lines = f"{uuid.uuid4().hex}.warc.gz", 0, []
                 with source.open_input_stream(location, compression=None) as read, target.open_output_stream(f"{base}/{name}", compression=None) as out:
@@ -173,9 +183,9 @@ def normalise(manifest: DataFrame, folder: str, files: int) -> DataFrame:
                         offset += len(member)
                 with target.open_output_stream(f"{base}/{name}.idx", compression=None) as index:
                     index.write("".join(lines).encode())
-                yield pd.DataFrame({"path": [f"{folder}/{name}"], "records": [len(lines)]})
+                yield manifest_rows([(f"{folder}/{name}", len(lines))])
 
-    return manifest.repartition(max(1, files)).mapInPandas(rewrite, "path string, records long")
+    return manifest.repartition(max(1, files)).mapInArrow(rewrite, "path string, records long")
 
 
 READ_SCHEMA = (
@@ -191,11 +201,18 @@ def read_records(manifest: DataFrame, files: int) -> DataFrame:
     A payload that does not have the declared digest is an error.
     """
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [part.split()[0] for part in READ_SCHEMA.split(", ")]
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = [part.split() for part in READ_SCHEMA.split(", ")]
+        types = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
         rows = []
+
+        def batch_of(rows):
+            columns = zip(*rows, strict=True)
+            arrays = [pa.array(column, types[kind]) for column, (_, kind) in zip(columns, fields, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
+
         for batch in batches:
-            for path in batch["path"]:
+            for path in batch.column("path").to_pylist():
                 fs, location = opened(path)
                 with fs.open_input_stream(f"{location}.idx", compression=None) as stream:
                     index = stream.read().decode().splitlines()
@@ -206,10 +223,10 @@ def read_records(manifest: DataFrame, files: int) -> DataFrame:
                         data = zlib.decompress(archive.read(int(length)), 31)
                         rows.append(parsed(data, kind, identifier))
                         if len(rows) >= ROWS_OUT:
-                            yield pd.DataFrame(rows, columns=names, dtype=object)
+                            yield batch_of(rows)
                             rows = []
         if rows:
-            yield pd.DataFrame(rows, columns=names, dtype=object)
+            yield batch_of(rows)
 
     def parsed(data: bytes, kind: str, identifier: str) -> tuple:
         head, _, rest = data.partition(END)
@@ -225,7 +242,7 @@ def read_records(manifest: DataFrame, files: int) -> DataFrame:
         size = int(fields_of(http)["content-length"])
         return page_of(identifier), identifier, kind, refers, fields["warc-target-uri"], digest, size, payload if response else None
 
-    return manifest.repartition(max(1, files)).mapInPandas(read, READ_SCHEMA)
+    return manifest.repartition(max(1, files)).mapInArrow(read, READ_SCHEMA)
 
 
 def archive_pages(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
