@@ -12,13 +12,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailmart.llm.common import ascii_lower, discard, one_row_each, saved
 
 #: Digests of one snapshot bucket: what one task holds to build a filter.
 BUCKET_ROWS = 20_000
+#: Bits of the map of ids whose texts are compared.
+MAP_BITS = 1 << 23
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -118,7 +120,7 @@ def filters(snapshot: DataFrame) -> DataFrame:
 
 
 def screened(incoming: DataFrame, filter_table: DataFrame) -> DataFrame:
-    """Rows of ``incoming`` (bucket, key, ...) that the filter of their bucket lets pass.
+    """Rows of ``incoming`` (bucket, key, digest) that the filter of their bucket lets pass.
 
     Buckets without a filter hold nothing, so their rows cannot be duplicates.
     """
@@ -134,14 +136,11 @@ def screened(incoming: DataFrame, filter_table: DataFrame) -> DataFrame:
     return incoming.groupBy("bucket").cogroup(filter_table.groupBy("bucket")).applyInPandas(probe, schema)
 
 
-def merged(rows: DataFrame) -> DataFrame:
+def grouped(rows: DataFrame) -> DataFrame:
     """One row per digest: largest doc_id, the row that holds it, number of rows."""
-    order = F.coalesce("keep_id", F.lit(-(1 << 63)))
+    order = F.coalesce("doc_id", F.lit(-(1 << 63)))
     return rows.groupBy("digest").agg(
-        F.max("keep_id").alias("keep_id"),
-        F.max_by("keeper", order).alias("keeper"),
-        F.sum("rows").alias("rows"),
-        F.count("*").alias("parts"),
+        F.max("doc_id").alias("keep_id"), F.max_by("row", order).alias("keeper"), F.count("*").alias("rows")
     )
 
 
@@ -150,6 +149,23 @@ def bucketed(groups: DataFrame, buckets: int) -> DataFrame:
     return groups.select("*", key.alias("key"), F.pmod(F.xxhash64(key, F.lit(7)), F.lit(buckets)).alias("bucket"))
 
 
+def map_of(keys: DataFrame) -> DataFrame:
+    """One row: the marked places of 64-bit ``key`` values as an array of words, of 1 MB for any number of keys."""
+    place = F.pmod("key", F.lit(MAP_BITS)).alias("place")
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    words = keys.select(place).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = keys.sparkSession.range(MAP_BITS // 64).withColumnRenamed("id", "word").join(words, "word", "left")
+    ordered = "array_sort(collect_list(struct(word, coalesce(bits, 0L) as bits)))"
+    return every.agg(F.expr(f"transform({ordered}, x -> x.bits)").alias("words"))
+
+
+def is_marked(key: Column, words: Column) -> Column:
+    """Whether the map has the place of ``key``: always if it was put in, else seldom while keys are few."""
+    place = F.pmod(key, F.lit(MAP_BITS))
+    word = F.element_at(words, (F.shiftright(place, 6) + 1).cast("int"))
+    return F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def exact_dedup(docs: DataFrame, is_new=None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``.
 
@@ -157,41 +173,54 @@ def exact_dedup(docs: DataFrame, is_new=None, bucket_rows: int = BUCKET_ROWS) ->
     the row with the largest doc_id stays (null is smallest); of several rows with that id
     one stays. ``is_new`` says which rows came after the snapshot was taken; by default
     half of the rows, dealt by hash. Other columns of ``docs`` are not read.
+
+    Rows of the snapshot, and of the batch, are grouped by SHA-256 among themselves. A group
+    of the batch joins one of the snapshot only through filter, exact bucket and a comparison of
+    the bytes of one text of each; groups screened out stay by themselves. For the
+    comparison only rows move whose id a map of fixed size marks.
     """
     spark = docs.sparkSession
     is_new = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1 if is_new is None else is_new
     text = ascii_lower(F.coalesce("text", F.lit("")))
-    base = docs.select("doc_id", F.sha2(text, 256).alias("digest"), is_new.alias("is_new"))
+    own_id = F.col("doc_id").cast("long")
+    base = docs.select(own_id.alias("doc_id"), F.sha2(text, 256).alias("digest"), is_new.alias("is_new"))
     rows, _ = saved(base.withColumn("row", F.monotonically_increasing_id()), "dedup-digests")
     buckets = max(1, -(-rows.count() // bucket_rows))
 
-    single = rows.select(
-        "is_new", "digest", F.col("doc_id").alias("keep_id"), F.col("row").alias("keeper"), F.lit(1).alias("rows")
-    )
-    older, batch = (merged(single.where(part)) for part in (~F.col("is_new"), F.col("is_new")))
-    snapshot, snapshot_path = saved(bucketed(older, buckets), "dedup-snapshot")
+    snapshot, snapshot_path = saved(bucketed(grouped(rows.where(~F.col("is_new"))), buckets), "dedup-snapshot")
     filter_table, filter_path = saved(filters(snapshot.select("bucket", "key")), "dedup-filters")
-    incoming, incoming_path = saved(bucketed(batch, buckets), "dedup-batch")
+    batch, batch_path = saved(bucketed(grouped(rows.where("is_new")), buckets), "dedup-batch")
 
     # Positives against the exact bucket: equal digests first, then the texts themselves.
-    hits = screened(incoming.select("bucket", "key", "digest", F.col("keep_id").alias("new_id")), filter_table)
-    old_ids = snapshot.select("bucket", "digest", F.col("keep_id").alias("old_id"))
-    pairs, pairs_path = saved(hits.join(old_ids, ["bucket", "digest"]), "dedup-hits")
+    hits = screened(batch.select("bucket", "key", "digest"), filter_table).select("bucket", "digest")
+    older = snapshot.select("bucket", "digest", F.col("keep_id").alias("old_id"))
+    newer = batch.select("bucket", "digest", F.col("keep_id").alias("new_id"))
+    same_key = ["bucket", "digest"]
+    pairs, pairs_path = saved(hits.join(older, same_key).join(newer, same_key), "dedup-hits")
     sides = pairs.select("digest", F.explode(F.array("new_id", "old_id")).alias("id"))
-    texts = docs.select(F.col("doc_id").alias("id"), text.alias("bytes"), F.sha2(text, 256).alias("sum"))
+    wanted, wanted_path = saved(map_of(sides.select(F.xxhash64("id").alias("key"))), "dedup-wanted")
+    moving = docs.select(own_id.alias("doc_id"), "text").where(is_marked(F.xxhash64("doc_id"), wanted.scalar()))
+    texts = moving.select(F.col("doc_id").alias("id"), text.alias("bytes"), F.sha2(text, 256).alias("sum"))
     same = (texts["id"].eqNullSafe(sides["id"])) & (texts["sum"] == sides["digest"])
-    checked = (
-        # The same join at every size: texts are not to be dealt out only once sides are many.
-        texts.join(sides.hint("merge"), same)
-        .groupBy("digest")
-        .agg((F.min("bytes") == F.max("bytes")).alias("equal"))
+    # The same join at every size: texts are not to be dealt out only once sides are many.
+    compared = texts.join(sides.hint("merge"), same).groupBy("digest")
+    compared = compared.agg((F.min("bytes") == F.max("bytes")).alias("equal"))
+    clash = F.assert_true("equal", F.lit("two texts share a SHA-256 digest"))
+    verified, verified_path = saved(compared.where(clash.isNull()).select("digest"), "dedup-verified")
+
+    joining = batch.join(verified, "digest").select(
+        "digest", F.struct("keep_id", "keeper", "rows").alias("new")
     )
-
-    whole = merged(snapshot.unionByName(incoming).select("digest", "keep_id", "keeper", "rows"))
-    clash = F.assert_true((F.col("parts") == 1) | F.col("equal"), F.lit("two texts share a SHA-256 digest"))
-    whole = whole.join(checked, "digest", "left").where(clash.isNull())
-    groups, groups_path = saved(whole.select("digest", "keep_id", "keeper", "rows"), "dedup-groups")
-    discard(spark, snapshot_path, filter_path, incoming_path, pairs_path)
+    is_larger = F.coalesce(F.col("new.keep_id") > F.col("keep_id"), F.col("keep_id").isNull() & F.col("new").isNotNull())
+    extended = snapshot.join(joining, "digest", "left").select(
+        "digest",
+        F.when(is_larger, F.col("new.keep_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.when(is_larger, F.col("new.keeper")).otherwise(F.col("keeper")).alias("keeper"),
+        (F.col("rows") + F.coalesce("new.rows", F.lit(0))).alias("rows"),
+    )
+    alone = batch.join(verified, "digest", "left_anti").select("digest", "keep_id", "keeper", "rows")
+    groups, _ = saved(extended.unionByName(alone), "dedup-groups")
+    discard(spark, snapshot_path, filter_path, batch_path, pairs_path, wanted_path, verified_path)
     return rows.join(groups, "digest").select(
         "doc_id",
         "keep_id",

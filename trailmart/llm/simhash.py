@@ -164,6 +164,8 @@ def links_in_cells(rows: DataFrame, bits: int) -> DataFrame:
         for batch in batches:
             frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             keys = frame[["cell", "pair"]].to_numpy()
+            if not len(keys):
+                continue
             last = np.flatnonzero((keys != keys[-1]).any(axis=1))
             cut = int(last[-1]) + 1 if len(last) else 0
             # The last group may go on in the next batch.
