@@ -12,7 +12,7 @@ from trailmart.plans import testbed
 from trailmart.plans.catalog import QUERIES
 from trailmart.plans.models import MODELS, Warehouse, derive
 from trailmart.session import shared_dir
-from trailmart.sources.files import replace_table
+from trailmart.sources.tables import replace_table
 
 
 def plan(df) -> str:
