@@ -46,6 +46,21 @@ def test_null_is_neither_duplicate_nor_unaccepted(spark):
     }
 
 
+@pytest.mark.parametrize("planted", [[], [(5, 1)], [(5, 3), (70_000, 1), (-9, 2), (1 << 40, 1)]])
+def test_numbered_keys_are_checked_by_bitmaps(spark, tmp_path, planted):
+    """Duplicates inside a file and across files, far apart and next to each other."""
+    ids = spark.range(-100, 100_000).unionByName(spark.range(1 << 40, (1 << 40) + 10))
+    rows = ids.selectExpr("id as event_id").repartition(4, "event_id")
+    for value, times in planted:
+        for _ in range(times):
+            rows = rows.unionByName(spark.range(value, value + 1).selectExpr("id as event_id"))
+    rows.unionByName(spark.createDataFrame([(None,), (None,)], "event_id long")).write.parquet(f"{tmp_path}/t")
+    report = quality.duplicated_numbers(spark.read.parquet(f"{tmp_path}/t"), "t", "event_id")
+    assert [tuple(r) for r in report.collect()] == [("t", "unique", "event_id", len(planted))]
+    text = report._jdf.queryExecution().executedPlan().toString()
+    assert ("hashpartitioning(event_id" in text) == bool(planted)
+
+
 def test_gate_names_what_failed(spark):
     good = products(spark, [(1, "a", "b")])
     quality.gate(quality.check_table(good, "product_dim"))
