@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trailmart.llm.common import Codes
 
@@ -399,12 +400,31 @@ class Tokenizer:
 
         return decoded(ids)
 
+    def round_trip(self, text: Column) -> Column:
+        """Ids of a text and the text decoded from them, in one visit to Python."""
+        shared, state = self.pieces, {}
+
+        @F.arrow_udf(T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]))
+        def there_and_back(texts: pa.Array) -> pa.Array:
+            if not state:
+                state["words"] = WordIds(pickle.loads(shared.value))
+            lists = encode_batch(state["words"], texts.to_pylist())
+            ids = np.concatenate([*lists, np.zeros(0)]).astype(np.int32)
+            offsets = np.cumsum([0, *map(len, lists)])
+            data, cuts = state["words"].pieces.decode_lists(ids, offsets)
+            decoded = pa.StringArray.from_buffers(
+                len(lists), pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())
+            )
+            encoded = pa.ListArray.from_arrays(offsets.astype(np.int32), ids)
+            return pa.StructArray.from_arrays([encoded, decoded], ["ids", "decoded"])
+
+        return there_and_back(text)
+
 
 def documents_as_ids(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, ids of the whole text with the end id, and the text decoded from them."""
     tokenizer = Tokenizer(docs.sparkSession, model_path)
-    encoded = docs.select("doc_id", tokenizer.encode(F.col("text")).alias("ids"))
-    return encoded.withColumn("decoded", tokenizer.decode(F.col("ids")))
+    return docs.select("doc_id", tokenizer.round_trip(F.col("text")).alias("both")).select("doc_id", "both.*")
 
 
 def digests(encoded: DataFrame) -> DataFrame:
