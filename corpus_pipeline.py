@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from trailmart.llm import fuse, mixing, pieces, simhash, toxicity  # noqa: E402
-from trailmart.llm.common import prepare, saved, table  # noqa: E402
+from trailmart.llm.common import delete, prepare, saved, table  # noqa: E402
 from trailmart.llm.queries import model_path  # noqa: E402
 
 
@@ -54,10 +54,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each reading what the one before has written to the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages, each reading what the one before has written to the shared folder, which then goes."""
+    docs, read = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs, _ = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, path = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        delete(spark, *read)
+        read = [path]
     return docs
 
 
