@@ -91,6 +91,31 @@ def test_minhash_chains_and_templates(spark, how):
     assert as_multiset(grouped(docs, **how)) == as_multiset(brute_groups(rows))
 
 
+def test_a_crowd_of_variants_costs_a_few_pairs_each(spark, monkeypatch):
+    """Variants of one text meet in all bands; candidates stay in proportion to them."""
+    prepare(spark)
+    rnd = random.Random(9)
+    base, rows = [f"b{k}" for k in range(200)], []
+    for i in range(1500):
+        words = base[:]
+        for _ in range(rnd.choice([1, 1, 2])):
+            words[rnd.randrange(200)] = f"v{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    counts, save = [], minhash.saved
+
+    def counting(df, label, *given):
+        table, path = save(df, label, *given)
+        if "candidates" in label:
+            counts.append(table.count())
+        return table, path
+
+    monkeypatch.setattr(minhash, "saved", counting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)  # noqa: F811
+    found = grouped(docs, cell_rows=256)
+    assert as_multiset(found) == as_multiset(brute_groups(rows))
+    assert 0 < sum(counts) <= 10 * len(rows)
+
+
 def test_minhash_at_the_threshold(spark):
     """Sets of 85 of 100 shingles are linked, of 84 of 100 are not."""
     prepare(spark)
@@ -100,6 +125,17 @@ def test_minhash_at_the_threshold(spark):
     assert as_multiset(grouped(docs)) == {(1, 100, 1, True): 1, (2, 85, 1, False): 1, (3, 84, 3, True): 1}
 
 
+def test_places_are_by_agreement_within_each_list():
+    rnd = np.random.default_rng(2)
+    owner, of, agreed = rnd.integers(0, 5, 400), rnd.integers(0, 3, 400), rnd.integers(0, 300, 400)
+    places = minhash.places_in_lists(owner, of, agreed)
+    for key in {(a, b) for a, b in zip(owner.tolist(), of.tolist(), strict=True)}:
+        mine = (owner == key[0]) & (of == key[1])
+        assert sorted(places[mine].tolist()) == list(range(mine.sum()))
+        assert (np.diff(agreed[mine][np.argsort(places[mine])]) <= 0).all()
+    assert len(minhash.places_in_lists(*[np.zeros(0, np.int64)] * 3)) == 0
+
+
 def test_minhash_of_nothing(spark, nothing):  # noqa: F811
     assert grouped(nothing) == []
 
@@ -130,10 +166,10 @@ def test_pairs_above_the_threshold_survive():
         for side, part in ((left, own[:75]), (right, own[75:])):
             side.append(minhash.signature(np.concatenate([shared, part]), factors, offsets).view(np.uint8))
     left, right = np.array(left), np.array(right)
-    assert len(minhash.may_be_similar(left, right, minhash.least_agreement())) == 300
+    assert len(minhash.may_be_similar(left, right, minhash.least_agreement())[0]) == 300
     agreed = (left == right).mean()
     assert abs(agreed - 0.85) < 0.01
-    assert len(minhash.may_be_similar(left[:-1], right[1:], minhash.least_agreement())) == 0
+    assert len(minhash.may_be_similar(left[:-1], right[1:], minhash.least_agreement())[0]) == 0
 
 
 # Ranked search

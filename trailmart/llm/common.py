@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import gc
 import string
+import sys
 import time
+from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -85,6 +88,17 @@ def one_row_each(docs: DataFrame, tie: Column, chosen: DataFrame) -> DataFrame:
     return keyed.withColumn("__number", number).where("__number = 1").select(*docs.columns)
 
 
+def per_worker(name: str, make: Callable):
+    """What ``make`` gives, made once per Python worker under ``name``.
+
+    Functions travel to tasks by value and bring new globals each time; a module entry lasts.
+    """
+    kept = sys.modules.setdefault("trailmart_worker_state", ModuleType("trailmart_worker_state")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 class Codes(dict):
     """Numbers words in order of appearance and lists those it has just met."""
 

@@ -7,10 +7,13 @@ signatures batch by batch: after n bytes of which m agree, the probability that
 similarity reaches the threshold follows from a flat prior, and a pair is dropped as soon as it
 is below the chosen miss probability. Whatever survives is decided by the whole sets.
 
-Classes of a cell are not paired with each other at once. In each round every member meets
-one representative of its cell, a different one each time; what is linked becomes one
-component, and cells whose members are all in one component are done. Only members of
-different components that are left after the rounds meet each other, block against block.
+Classes of a cell are not paired with each other at once. In each round every member meets a
+few representatives of its cells: first those that meet the most others themselves, which are
+the least changed of many variants, then others by chance. What is linked becomes one
+component, and cells whose members are all in one component are done. Members of different
+components that are left after the rounds meet each other, block against block; of the
+candidates of a member in another component the most alike are tried first, then four times as
+many as long as both are still apart, until none is left.
 """
 
 from __future__ import annotations
@@ -36,10 +39,12 @@ BANDS, BAND_BYTES = 44, 8
 BATCH = 32
 #: Probability at which a pair that reaches the threshold may be dropped after a batch.
 MISS = 1e-7
-#: Rounds in which members of a cell meet representatives.
-ROUNDS = 2
+#: Rounds in which members of a cell meet representatives, and how many of them at most.
+ROUNDS, REPRESENTATIVES = 3, 4
+#: Candidates of a member in another component that are tried first.
+FIRST_TRIES = 4
 #: Members of one cell that meet in one group; larger cells are compared block against block.
-CELL_ROWS = 1024
+CELL_ROWS = 512
 CHUNK_SHINGLES = 2048
 #: Pairs whose signatures are compared at once, whole sets at once.
 CHUNK_PAIRS = 1 << 14
@@ -141,15 +146,15 @@ def least_agreement(percent: int = PERCENT, miss: float = MISS) -> np.ndarray:
     return np.array(needed)
 
 
-def may_be_similar(left: np.ndarray, right: np.ndarray, needed: np.ndarray) -> np.ndarray:
-    """Which rows of two byte matrices survive every batch."""
+def may_be_similar(left: np.ndarray, right: np.ndarray, needed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of two byte matrices survive every batch, and how many of their bytes agree."""
     agreed = np.zeros(len(left), np.int64)
     alive = np.arange(len(left))
     for number, least in enumerate(needed):
         part = slice(number * BATCH, (number + 1) * BATCH)
         agreed[alive] += (left[alive, part] == right[alive, part]).sum(axis=1)
         alive = alive[agreed[alive] >= least]
-    return alive
+    return alive, agreed[alive]
 
 
 def bytes_of(column: pa.Array) -> np.ndarray:
@@ -164,7 +169,7 @@ def surviving(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     def screen(batches):
         for batch in batches:
             left, right = bytes_of(batch.column("bands_u")), bytes_of(batch.column("bands_v"))
-            kept = pa.array(may_be_similar(left, right, needed))
+            kept = pa.array(may_be_similar(left, right, needed)[0])
             yield pa.RecordBatch.from_arrays([batch.column("u").take(kept), batch.column("v").take(kept)], names=["u", "v"])
 
     first = signatures.select(F.col("node").alias("u"), F.col("bands").alias("bands_u"))
@@ -184,10 +189,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def with_components(members: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """cell, node, comp of every member; nodes without links are components of their own."""
+    """cell, node, met, comp of every member; nodes without links are components of their own."""
     if roots is None:
         return members.withColumn("comp", F.col("node"))
-    return members.join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("comp"))
+    return members.join(roots, "node", "left").select("cell", "node", "met", F.coalesce("root", "node").alias("comp"))
 
 
 def open_cells(members: DataFrame) -> DataFrame:
@@ -197,12 +202,15 @@ def open_cells(members: DataFrame) -> DataFrame:
 
 
 def pairs_with_representatives(members: DataFrame, number: int) -> DataFrame:
-    """Every member with the representative its cell has in this round, if of another component."""
-    order = F.xxhash64("node", F.lit(number))
-    chosen = members.groupBy("cell").agg(F.min(F.struct(order.alias("o"), "node", "comp")).alias("r"))
+    """Every member with the first few representatives its cells have in this round, if of another component."""
+    chance = F.xxhash64("node", F.lit(number))
+    order = F.struct((-F.col("met") if number == 0 else F.lit(0).cast("long")).alias("met"), chance.alias("chance"))
+    chosen = members.groupBy("cell").agg(F.min(F.struct(order.alias("order"), "node", "comp")).alias("r"))
     met = members.join(chosen, "cell").where(F.col("comp") != F.col("r.comp"))
-    pair = F.least("node", "r.node").alias("u"), F.greatest("node", "r.node").alias("v")
-    return met.select(*pair).distinct()
+    # A node has at most one representative per band.
+    first = F.slice(F.array_sort(F.collect_set(F.struct("r.order", "r.node"))), 1, REPRESENTATIVES)
+    few = met.groupBy("node").agg(F.explode(first).alias("r"))
+    return few.select(F.least("node", "r.node").alias("u"), F.greatest("node", "r.node").alias("v")).distinct()
 
 
 def blocked(members: DataFrame, limit: int) -> DataFrame:
@@ -214,9 +222,22 @@ def blocked(members: DataFrame, limit: int) -> DataFrame:
     return dealt.select("cell", pair.alias("pair"), "node", "comp")
 
 
-def survivors_in_cells(rows: DataFrame) -> DataFrame:
+def places_in_lists(owner: np.ndarray, of: np.ndarray, agreed: np.ndarray) -> np.ndarray:
+    """Place of each pair among the candidates of one member in one component, most alike first."""
+    order = np.lexsort((-agreed, of, owner))
+    same = (owner[order][1:] == owner[order][:-1]) & (of[order][1:] == of[order][:-1])
+    begins = np.flatnonzero(np.append(True, ~same))
+    places = np.empty(len(order), np.int64)
+    places[order] = np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(order))))
+    return places
+
+
+def survivors_in_cells(rows: DataFrame, low: int, high: int) -> DataFrame:
     """u, v: members of a group that are of different components and survive verification.
 
+    Of the candidates that a member has in another component those at places ``low`` to
+    ``high`` are given, by the later one of the places a pair has on both sides. Links only
+    ever make these lists longer in front, so with rising places no pair is passed over.
     ``rows`` has cell, pair, node, comp, bands. Groups are read one after the other.
     """
     needed = least_agreement()
@@ -229,30 +250,34 @@ def survivors_in_cells(rows: DataFrame) -> DataFrame:
             keys = np.stack([batch.column("cell").to_numpy(), batch.column("pair").to_numpy()], axis=1)
             if not len(keys):
                 continue
-            changes = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            for low, high in zip([0, *changes.tolist()], [*changes.tolist(), len(keys)], strict=True):
-                own = tuple(keys[low])
+            changes = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+            for start, end in zip([0, *changes], [*changes, len(keys)], strict=True):
+                own = tuple(keys[start])
                 if own != current and waiting:
-                    yield from group(waiting)
+                    yield group(waiting)
                     waiting = []
                 current = own
-                waiting.append(batch.slice(low, high - low))
+                waiting.append(batch.slice(start, end - start))
         if waiting:
-            yield from group(waiting)
+            yield group(waiting)
 
     def group(parts):
         node, comp = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("node", "comp"))
         bands = np.concatenate([bytes_of(p.column("bands")) for p in parts])
         step = max(1, CHUNK_PAIRS // len(node))
-        for low in range(0, len(node), step):
+        found = []
+        for begin in range(0, len(node), step):
             # Each unordered pair once: rows of this stretch with all rows after them.
-            a, b = np.nonzero(comp[low : low + step, None] != comp[None, :])
-            a += low
+            a, b = np.nonzero(comp[begin : begin + step, None] != comp[None, :])
+            a += begin
             a, b = a[a < b], b[a < b]
-            kept = may_be_similar(bands[a], bands[b], needed)
-            u, v = node[a[kept]], node[b[kept]]
-            if len(kept):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
+            kept, agreed = may_be_similar(bands[a], bands[b], needed)
+            found.append((a[kept], b[kept], agreed))
+        a, b, agreed = (np.concatenate(x) for x in zip(*found, strict=True))
+        place = np.maximum(places_in_lists(a, comp[b], agreed), places_in_lists(b, comp[a], agreed))
+        now = (place >= low) & (place < high)
+        u, v = node[a[now]], node[b[now]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
 
     sorted_rows = rows.repartition("cell", "pair").sortWithinPartitions("cell", "pair")
     return sorted_rows.mapInArrow(compare, schema).distinct()
@@ -279,18 +304,20 @@ def near_duplicates(docs: DataFrame, cell_rows: int = CELL_ROWS, rounds: int = R
 
     banded = signatures.select("node", F.posexplode("bands").alias("band", "part"))
     cells, cells_path = saved(banded.select(F.xxhash64("band", "part").alias("cell"), "node"), "minhash-cells")
-    crowded = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell")
-    members, members_path = saved(cells.join(crowded, "cell"), "minhash-members")
+    crowded = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    shared, shared_path = saved(cells.join(crowded, "cell"), "minhash-shared")
+    meets = shared.groupBy("node").agg(F.sum("n").alias("met"))
+    members, members_path = saved(shared.drop("n").join(meets, "node").select("cell", "node", "met"), "minhash-members")
 
     # Whole sets of classes that meet others, from one text each.
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "first.id", "first.tie")
     texts = docs.select(own_id, tie, "text").join(wanted.hint("merge"), ["id", "tie"])
     once = texts.groupBy("node").agg(F.any_value("text").alias("text"))
     sets, sets_path = saved(once.select("node", shingle_set(F.col("text")).alias("shingles")), "minhash-sets")
-    finished = [cells_path, members_path, sets_path]
+    finished = [cells_path, shared_path, members_path, sets_path]
 
-    links = roots = None
-    for number in range(rounds + 1):
+    links, roots, number, low, high = None, None, 0, 0, FIRST_TRIES
+    while True:
         open_, path = saved(open_cells(with_components(members, roots)), f"minhash-open-{number}")
         finished.append(path)
         if open_.isEmpty():
@@ -298,14 +325,19 @@ def near_duplicates(docs: DataFrame, cell_rows: int = CELL_ROWS, rounds: int = R
         if number < rounds:
             candidates = surviving(pairs_with_representatives(open_, number), signatures)
         else:
-            candidates = survivors_in_cells(blocked(open_, cell_rows).join(signatures.hint("merge"), "node"))
+            grouped = blocked(open_, cell_rows).join(signatures.hint("merge"), "node")
+            candidates = survivors_in_cells(grouped, low, high)
+            low, high = high, 4 * high
         candidates, path = saved(candidates, f"minhash-candidates-{number}")
         finished.append(path)
+        if number >= rounds and candidates.isEmpty():
+            break
         fresh, path = saved(confirmed(candidates, sets), f"minhash-links-{number}")
         finished.append(path)
         if not fresh.isEmpty():
             links = fresh if links is None else links.unionByName(fresh)
             roots = components(links)
+        number += 1
 
     rooted = classes.select("name", "node", "first")
     rooted = rooted.join(roots, "node", "left") if roots is not None else rooted.withColumn("root", F.col("node"))

@@ -66,3 +66,76 @@ select page_id, payload_bytes, payload_digest, case when again then 'revisit' el
        case when again then first_page end as refers_to
 from r
 """
+
+WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
+TERMS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+# Sets that reach 85 per cent share one of their rarest shingles, as many as may be missing and one more.
+SQL["op11_minhash"] = f"""
+with recursive d as (
+  select row_number() over () as r, doc_id, {WORDS.format(text=LOWERED)} as w from documents
+), words as (
+  select r, unnest(w) as x, generate_subscripts(w, 1) as i from d where len(w) >= 5
+), shingles as (
+  select distinct r, x || ' ' || lead(x, 1) over o || ' ' || lead(x, 2) over o || ' ' || lead(x, 3) over o || ' '
+    || lead(x, 4) over o as x from words window o as (partition by r order by i)
+), long as (
+  select r, list(x order by x) as s from shingles where x is not null group by r
+), s as (
+  select doc_id, coalesce(s, case when len(w) = 0 then [] else [array_to_string(w, ' ')] end) as s
+  from d left join long using (r)
+), named as (
+  select doc_id, s, len(s) as n, sha256(array_to_string(s, chr(10))) as name from s
+), classes as (
+  select row_number() over () as c, * from (
+    select name, any_value(s) as s, any_value(n) as n, min(doc_id) as first_id from named where n > 0 group by name)
+), listed as (
+  select c, n, unnest(s) as x from classes
+), frequent as (
+  select x, count(*) as f from listed group by x
+), prefixes as (
+  select c, x from listed join frequent using (x)
+  qualify row_number() over (partition by c order by f, x) <= n - (85 * n + 99) // 100 + 1
+), candidates as (
+  select distinct p.c as a, q.c as b from prefixes p join prefixes q on p.x = q.x and p.c < q.c
+), common as (
+  select a, b, len(list_intersect(x.s, y.s)) as k, x.n + y.n as total
+  from candidates join classes x on x.c = a join classes y on y.c = b
+), links as (
+  select a, b from common where 100 * k >= 85 * (total - k) union all
+  select b, a from common where 100 * k >= 85 * (total - k)
+), reached(c, k) as (
+  select c, c from classes union select r.c, l.b from reached r join links l on r.k = l.a
+), components as (
+  select r.c, min(k.first_id) as component_id from reached r join classes k on k.c = r.k group by r.c
+)
+select doc_id, d.n::bigint as n_shingles, coalesce(component_id, doc_id) as component_id,
+       doc_id = coalesce(component_id, doc_id) as kept
+from named d left join classes using (name) left join components using (c)
+"""
+
+SQL["op12_lexical"] = f"""
+with d as (
+  select row_number() over () as r, doc_id, {TERMS.format(text=LOWERED)} as t from documents
+), counted as (
+  select r, doc_id, t, len(t)::bigint as n from d where len(t) > 0
+), totals as (
+  select count(*)::bigint as docs, sum(n)::bigint as words from counted
+), q as (
+  select q, item_id, unnest(t) as term
+  from (select row_number() over () as q, item_id, list_distinct({TERMS.format(text=LOWERED)}) as t from benchmark)
+), held as (
+  select r, term, count(*)::bigint as tf from (select r, unnest(t) as term from counted)
+  where term in (select term from q) group by all
+), weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+  from held, totals group by term
+), scores as (
+  select q, item_id, doc_id, r,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words))))::bigint as score
+  from q join weights using (term) join held using (term) join counted using (r), totals group by all
+)
+select item_id, row_number() over (partition by q order by score desc, doc_id)::integer as rank, doc_id, score
+from scores where score > 0
+qualify row_number() over (partition by q order by score desc, doc_id) <= 10
+"""
