@@ -261,9 +261,12 @@ def survivors_in_cells(rows: DataFrame, low: int, high: int) -> DataFrame:
         if waiting:
             yield group(waiting)
 
-    def group(parts):
-        node, comp = (np.concatenate([p.column(c).to_numpy() for p in parts]) for c in ("node", "comp"))
-        bands = np.concatenate([bytes_of(p.column("bands")) for p in parts])
+    def group(batches):
+        node, comp = (np.concatenate([x.column(c).to_numpy() for x in batches]) for c in ("node", "comp"))
+        bands = np.concatenate([bytes_of(x.column("bands")) for x in batches])
+        # A pair that meets in several bands is compared in the first of them alone.
+        parts = bands.view(np.int64)
+        band = int((parts == parts[0]).all(axis=0).argmax())
         step = max(1, CHUNK_PAIRS // len(node))
         found = []
         for begin in range(0, len(node), step):
@@ -271,6 +274,8 @@ def survivors_in_cells(rows: DataFrame, low: int, high: int) -> DataFrame:
             a, b = np.nonzero(comp[begin : begin + step, None] != comp[None, :])
             a += begin
             a, b = a[a < b], b[a < b]
+            first = (parts[a] == parts[b]).argmax(axis=1) == band
+            a, b = a[first], b[first]
             kept, agreed = may_be_similar(bands[a], bands[b], needed)
             found.append((a[kept], b[kept], agreed))
         a, b, agreed = (np.concatenate(x) for x in zip(*found, strict=True))
