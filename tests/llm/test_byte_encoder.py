@@ -1,0 +1,49 @@
+"""The byte-level encoder against the library the file is made for."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from trailmart.llm import alignment
+from trailmart.llm.queries import BYTE_MODEL, model_path
+
+
+@pytest.fixture(scope="module")
+def both():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(model_path(BYTE_MODEL))
+    library.encode_special_tokens = True
+    return library, alignment.byte_encoder(model_path(BYTE_MODEL))
+
+
+def differing(both, texts):
+    library, own = both
+    expected = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    return [text for text, ids in zip(texts, expected, strict=True) if own.encode_ordinary(text) != ids]
+
+
+def test_every_character_is_split_alike(both):
+    """Each code point beside letters, digits, marks and spaces: what kind it is shows in the split."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f" a{c}1{c}!{c} {c}\n{c}" for c in points[k : k + 256]) for k in range(0, len(points), 256)]
+    assert differing(both, texts) == []
+
+
+def test_random_texts_are_encoded_alike(both):
+    rnd = random.Random(11)
+    library, _ = both
+    entries = [token for token in library.get_vocab() if len(token) < 12]
+    pieces = ["".join(chr(alignment.byte_letters().get(c, 32)) for c in entry) for entry in rnd.sample(entries, 4000)]
+    alphabet = "abcdefgh'stIN019  \n\té日本𝄞_-.!?"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 80))) for _ in range(6000)]
+    texts += ["".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 12))) for _ in range(6000)]
+    texts += ["a" * k for k in range(200)] + [" " * k for k in range(100)] + ["<|endoftext|>" * k for k in range(4)]
+    assert differing(both, texts) == []
+
+
+def test_given_documents_are_encoded_alike(both, spark, sf_dir):
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").collect()]
+    assert differing(both, [" " + text for text in texts]) == []

@@ -10,18 +10,20 @@ vocabulary. Pairs of other groups are counted by a shuffle of pairs.
 from __future__ import annotations
 
 import hashlib
+import json
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmart.llm.common import discard, saved
+from trailmart.llm.common import discard, per_worker, saved
 
 #: The most frequent pairs of other groups that are looked up in each task: bounds what is sent there (6 MB).
 HEAD_PAIRS = 1 << 18
+#: Fixed value: how byte-level tokenizers of this kind split a text into words.
+SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Low bits of a number that holds a place in the batch and a pair.
 PAIR_BITS = 40
 
@@ -50,27 +52,56 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(byte): byte for byte in visible}, **{chr(256 + k): byte for k, byte in enumerate(hidden)}}
 
 
-@lru_cache(maxsize=2)
+def byte_entries(a_path: str) -> list[bytes]:
+    """Bytes of every id of a byte-level tokenizer file; special tokens are their strings."""
+    with open(a_path, encoding="utf-8") as file:
+        content = json.load(file)
+    letters = byte_letters()
+    special = {token["id"]: token["content"] for token in content["added_tokens"]}
+    ids = {**content["model"]["vocab"], **{text: number for number, text in special.items()}}
+    entries = [b""] * (max(ids.values()) + 1)
+    for entry, number in ids.items():
+        entries[number] = entry.encode() if number in special else bytes(letters[letter] for letter in entry)
+    return entries
+
+
+def byte_encoder(a_path: str):
+    """The file's tokenizer as an encoder of ordinary text: special tokens are not looked for.
+
+    Merges rank like the ids of what they make, which is checked, so ids serve as ranks.
+    """
+    import tiktoken
+
+    with open(a_path, encoding="utf-8") as file:
+        content = json.load(file)
+    vocabulary = content["model"]["vocab"]
+    merges = [tuple(x.split(" ")) if isinstance(x, str) else tuple(x) for x in content["model"]["merges"]]
+    made = [vocabulary[first + second] for first, second in merges]
+    if made != sorted(made):
+        raise ValueError(f"merges of {a_path} do not rank like their ids")
+    entries, special = byte_entries(a_path), {token["id"] for token in content["added_tokens"]}
+    ranks = {entries[number]: number for number in vocabulary.values() if number not in special}
+    return tiktoken.Encoding("byte-level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 def encoders(a_path: str, b_path: str):
     """Both tokenizers, loaded once per worker."""
-    import sentencepiece
-    from tokenizers import Tokenizer
 
-    first = Tokenizer.from_file(a_path)
-    # Strings of special tokens in a text are ordinary text.
-    first.encode_special_tokens = True
-    return first, sentencepiece.SentencePieceProcessor(model_file=b_path)
+    def load():
+        import sentencepiece
+
+        return byte_encoder(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
+
+    return per_worker(f"encoders {a_path} {b_path}", load)
 
 
-@lru_cache(maxsize=2)
 def tokens(a_path: str, b_path: str) -> Tokens:
-    first, second = encoders(a_path, b_path)
-    letters = byte_letters()
-    a_bytes = [b""] * first.get_vocab_size(with_added_tokens=True)
-    for entry, number in first.get_vocab(with_added_tokens=True).items():
-        known = all(letter in letters for letter in entry)
-        a_bytes[number] = bytes(letters[letter] for letter in entry) if known else entry.encode()
+    return per_worker(
+        f"tokens {a_path} {b_path}", lambda: table_of(byte_entries(a_path), encoders(a_path, b_path)[1])
+    )
+
 
+def table_of(a_bytes: list[bytes], second) -> Tokens:
     def of_piece(number: int) -> bytes:
         piece = second.id_to_piece(number)
         return bytes([int(piece[3:5], 16)]) if second.is_byte(number) else piece.replace("▁", " ").encode()
@@ -82,11 +113,14 @@ def tokens(a_path: str, b_path: str) -> Tokens:
     return Tokens(a_bytes, b_bytes, np.array([ids.get(x, -1) for x in a_bytes], np.int64))
 
 
-@lru_cache(maxsize=2)
 def written_ids(a_count: int, b_count: int) -> list[bytes]:
     """Ids of A inside and at the end of their part of a group, then those of B."""
     parts = ((a_count, b","), (a_count, b"|"), (b_count, b","), (b_count, b";"))
-    return [b"%d" % number + mark for count, mark in parts for number in range(count)]
+
+    def write():
+        return [b"%d" % number + mark for count, mark in parts for number in range(count)]
+
+    return per_worker(f"written ids {a_count} {b_count}", write)
 
 
 @dataclass(frozen=True)
@@ -113,7 +147,7 @@ def aligned(texts: list[str | None], a_path: str, b_path: str) -> Aligned:
     first, second = encoders(a_path, b_path)
     table = tokens(a_path, b_path)
     full = [k for k, text in enumerate(texts) if text]
-    own_a = [x.ids for x in first.encode_batch([" " + texts[k] for k in full], add_special_tokens=False)]
+    own_a = [first.encode_ordinary(" " + texts[k]) for k in full]
     own_b = second.encode([texts[k] for k in full], num_threads=1)
     used, a_lists, b_lists, sizes = [], [], [], []
     for k, a_ids, b_ids in zip(full, own_a, own_b, strict=True):
@@ -135,10 +169,11 @@ def aligned(texts: list[str | None], a_path: str, b_path: str) -> Aligned:
     a_ends, b_ends = np.cumsum(table.a_sizes[a]), np.cumsum(table.b_sizes[b])
     text_ends = np.cumsum(sizes)
 
-    cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    cuts = a_ends[np.isin(a_ends, b_ends, assume_unique=True, kind="sort")]
     group_of_a, group_of_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
     # Tokens of both end somewhere in each stretch between neighbouring ends: one link each.
-    ends = np.union1d(a_ends, b_ends)
+    ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+    ends = ends[np.append(True, ends[1:] != ends[:-1])]
     owner = np.searchsorted(text_ends, ends)
     pair = a[np.searchsorted(a_ends, ends)] * len(table.b_bytes) + b[np.searchsorted(b_ends, ends)]
     held, times = np.unique((owner << PAIR_BITS) | pair, return_counts=True)
