@@ -77,6 +77,14 @@ def over_typed(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 _written: dict[tuple, str] = {}
 
+#: About the most rows of a written file, so that a task's share does not grow with the tables.
+FILE_ROWS = 200_000
+
+
+def files_of(spark: SparkSession, sf_dir: str) -> int:
+    """Number of files that the events fill."""
+    return max(1, -(-testbed.table(spark, sf_dir, "events").count() // FILE_ROWS))
+
 
 def written_once(make: Callable[[SparkSession, str, bool], str]) -> Callable[[SparkSession, str, bool], str]:
     """Files derived from the given tables are inputs: one Spark application writes them once."""
@@ -104,11 +112,18 @@ def csv_files(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
 
 @written_once
 def csv_parts(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
-    """Three CSV files of unequal size, in order of the events."""
+    """CSV files of unequal size, in order of the events: two short ones, the rest cut by ``FILE_ROWS``."""
     folder = shared_dir(spark, "parts")
-    part = F.expr("case when event_id < 50 then 0 when event_id < 400 then 1 else 2 end")
-    rows = testbed.landing(spark, sf_dir, dirty).withColumn("part", part)
-    ordered = rows.repartitionByRange(3, "part").sortWithinPartitions("event_id")
+    rows = testbed.landing(spark, sf_dir, dirty)
+    # At least two for the rest: a union puts parts of one task each together task by task.
+    numbers = (1, 1, max(2, files_of(spark, sf_dir)))
+    kept = ("event_id < 50", "event_id >= 50 and event_id < 400", "event_id is null or event_id >= 400")
+    parts = [
+        rows.where(part).repartitionByRange(files, "event_id").sortWithinPartitions("event_id")
+        for part, files in zip(kept, numbers, strict=True)
+    ]
+    # A union keeps the order of its parts, and files are numbered by task.
+    ordered = parts[0].union(parts[1]).union(parts[2])
     export_csv(ordered.select(*LANDING_COLUMNS), folder)
     return folder
 
@@ -142,7 +157,7 @@ def over_loaded(report: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def over_parts(report: Callable[[DataFrame], DataFrame], dirty: bool = True) -> Query:
-    """A report over three CSV files of unequal size, in order of the events."""
+    """A report over CSV files of unequal size, in order of the events."""
     return lambda spark, sf_dir: comparable(report(events.scan_csv(spark, csv_parts(spark, sf_dir, dirty))))
 
 
