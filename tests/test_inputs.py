@@ -33,7 +33,13 @@ def test_parts_are_cut_and_in_order(spark, sf_dir, short_files):
     assert times == [r.event_time for r in wanted]
 
 
-@pytest.mark.parametrize("name", ["load_dense_keys", "append_load", "append_products", "product_master"])
+def test_torn_files_are_cut(spark, sf_dir, short_files):
+    folder = catalog.csv_torn(spark, sf_dir, False)
+    number = len(find_csv(spark, folder))
+    assert number >= catalog.testbed.table(spark, sf_dir, "events").count() / 100 - 1
+
+
+@pytest.mark.parametrize("name", ["load_dense_keys", "append_load", "append_products", "product_master", "quoted_scan"])
 def test_rows_do_not_depend_on_the_cut(spark, sf_dir, name, monkeypatch):
     found = []
     for rows in (100, 200_000):

@@ -130,9 +130,10 @@ def csv_parts(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
 
 @written_once
 def csv_torn(spark: SparkSession, sf_dir: str, dirty: bool) -> str:
-    """One CSV file whose brands hold line breaks, quotes and separators."""
+    """CSV files, one per ``FILE_ROWS`` events, whose brands hold line breaks, quotes and separators."""
     folder = shared_dir(spark, "torn")
-    export_csv(testbed.landing(spark, sf_dir, dirty, torn=True).select(*LANDING_COLUMNS), folder, single_file=True)
+    rows = testbed.landing(spark, sf_dir, dirty, torn=True).repartition(files_of(spark, sf_dir), "event_id")
+    export_csv(rows.select(*LANDING_COLUMNS), folder)
     return folder
 
 
@@ -162,7 +163,7 @@ def over_parts(report: Callable[[DataFrame], DataFrame], dirty: bool = True) ->
 
 
 def quoted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of one file with torn lines, read by many tasks."""
+    """Rows of files with torn lines, each file read by many tasks."""
     folder = csv_torn(spark, sf_dir, False)
     size, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set(size, "256k")
