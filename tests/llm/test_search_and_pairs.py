@@ -116,6 +116,39 @@ def test_a_crowd_of_variants_costs_a_few_pairs_each(spark, monkeypatch):
     assert 0 < sum(counts) <= 10 * len(rows)
 
 
+def test_a_crowd_just_below_the_threshold_makes_no_pairs(spark, monkeypatch):
+    """Variants that survive verification in pairs but are not similar enough are decided where they meet."""
+    prepare(spark)
+    rnd = random.Random(4)
+    base, rows = [f"b{k}" for k in range(200)], []
+    for i in range(200):
+        words = base[:]
+        for k in rnd.sample(range(5, 190, 10), 2):
+            words[k] = f"v{i}-{k}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(rows[i][1].split()[:-3])) for i in range(0, 200, 20)]
+    counts, save = {}, minhash.saved
+
+    def counting(df, label, *given):
+        table, path = save(df, label, *given)
+        counts[label] = table.count()
+        return table, path
+
+    monkeypatch.setattr(minhash, "saved", counting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)  # noqa: F811
+    assert as_multiset(grouped(docs, cell_rows=64)) == as_multiset(brute_groups(rows))
+    pairs = sum(n for label, n in counts.items() if "candidates" in label or "links" in label)
+    assert pairs <= 10 * len(rows)
+
+
+def test_exact_comparison_of_two_sets():
+    numbers = np.arange(100, dtype=np.uint64)
+    assert minhash.similar(numbers, numbers[:85]) and minhash.similar(numbers[15:], numbers)
+    assert not minhash.similar(numbers, numbers[:84]) and not minhash.similar(numbers[:50], numbers[50:])
+    assert minhash.similar(np.append(numbers[:92], np.uint64(200)), numbers[:93])
+    assert not minhash.similar(np.append(numbers[:9], np.uint64(200)), numbers[:10])
+
+
 def test_minhash_at_the_threshold(spark):
     """Sets of 85 of 100 shingles are linked, of 84 of 100 are not."""
     prepare(spark)

@@ -11,9 +11,10 @@ Classes of a cell are not paired with each other at once. In each round every me
 few representatives of its cells: first those that meet the most others themselves, which are
 the least changed of many variants, then others by chance. What is linked becomes one
 component, and cells whose members are all in one component are done. Members of different
-components that are left after the rounds meet each other, block against block; of the
-candidates of a member in another component the most alike are tried first, then four times as
-many as long as both are still apart, until none is left.
+components that are left after the rounds bring their whole sets and meet each other, block
+against block, within one task: what survives verification is decided there, the most alike
+candidates first, unless the group's links have joined the two by then. A crowd whose members
+are alike but not similar enough costs comparisons, not rows.
 """
 
 from __future__ import annotations
@@ -41,8 +42,6 @@ BATCH = 32
 MISS = 1e-7
 #: Rounds in which members of a cell meet representatives, and how many of them at most.
 ROUNDS, REPRESENTATIVES = 3, 4
-#: Candidates of a member in another component that are tried first.
-FIRST_TRIES = 4
 #: Members of one cell that meet in one group; larger cells are compared block against block.
 CELL_ROWS = 512
 CHUNK_SHINGLES = 2048
@@ -232,13 +231,29 @@ def places_in_lists(owner: np.ndarray, of: np.ndarray, agreed: np.ndarray) -> np
     return places
 
 
-def survivors_in_cells(rows: DataFrame, low: int, high: int) -> DataFrame:
-    """u, v: members of a group that are of different components and survive verification.
+def sets_of(column: pa.Array) -> list[np.ndarray]:
+    """Sorted hashes of each row of a batch."""
+    ends = np.cumsum(column.value_lengths().to_numpy())
+    return np.split(column.flatten().to_numpy().view(np.uint64), ends[:-1])
 
-    Of the candidates that a member has in another component those at places ``low`` to
-    ``high`` are given, by the later one of the places a pair has on both sides. Links only
-    ever make these lists longer in front, so with rising places no pair is passed over.
-    ``rows`` has cell, pair, node, comp, bands. Groups are read one after the other.
+
+def similar(left: np.ndarray, right: np.ndarray) -> bool:
+    """Whether two sorted sets are similar enough."""
+    small, large = sorted((left, right), key=len)
+    if len(small) * 100 < len(large) * PERCENT:
+        return False
+    places = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    common = int((large[places] == small).sum())
+    return common * 100 >= (len(left) + len(right) - common) * PERCENT
+
+
+def links_in_cells(rows: DataFrame) -> DataFrame:
+    """u, v: links that join members of a group that are of different components.
+
+    Pairs that survive verification are decided by their whole sets, in order of their places
+    among the candidates that a member has in another component; one that earlier links of the
+    group have joined already needs no decision. ``rows`` has cell, pair, node, comp, bands,
+    shingles. Groups are read one after the other, and only links leave the task.
     """
     needed = least_agreement()
     schema = "u long, v long"
@@ -264,6 +279,7 @@ def survivors_in_cells(rows: DataFrame, low: int, high: int) -> DataFrame:
     def group(batches):
         node, comp = (np.concatenate([x.column(c).to_numpy() for x in batches]) for c in ("node", "comp"))
         bands = np.concatenate([bytes_of(x.column("bands")) for x in batches])
+        sets = [one for x in batches for one in sets_of(x.column("shingles"))]
         # A pair that meets in several bands is compared in the first of them alone.
         parts = bands.view(np.int64)
         band = int((parts == parts[0]).all(axis=0).argmax())
@@ -280,8 +296,12 @@ def survivors_in_cells(rows: DataFrame, low: int, high: int) -> DataFrame:
             found.append((a[kept], b[kept], agreed))
         a, b, agreed = (np.concatenate(x) for x in zip(*found, strict=True))
         place = np.maximum(places_in_lists(a, comp[b], agreed), places_in_lists(b, comp[a], agreed))
-        now = (place >= low) & (place < high)
-        u, v = node[a[now]], node[b[now]]
+        order, joined, links = np.argsort(place, kind="stable"), comp.copy(), []
+        for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
+            if joined[i] != joined[j] and similar(sets[i], sets[j]):
+                links.append((i, j))
+                joined[joined == joined[j]] = joined[i]
+        u, v = (node[[link[side] for link in links]] if links else np.zeros(0, np.int64) for side in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], names=["u", "v"])
 
     sorted_rows = rows.repartition("cell", "pair").sortWithinPartitions("cell", "pair")
@@ -321,28 +341,29 @@ def near_duplicates(docs: DataFrame, cell_rows: int = CELL_ROWS, rounds: int = R
     sets, sets_path = saved(once.select("node", shingle_set(F.col("text")).alias("shingles")), "minhash-sets")
     finished = [cells_path, shared_path, members_path, sets_path]
 
-    links, roots, number, low, high = None, None, 0, 0, FIRST_TRIES
-    while True:
+    links, roots, number = None, None, 0
+    while number <= rounds:
         open_, path = saved(open_cells(with_components(members, roots)), f"minhash-open-{number}")
         finished.append(path)
         if open_.isEmpty():
             break
         if number < rounds:
             candidates = surviving(pairs_with_representatives(open_, number), signatures)
+            candidates, path = saved(candidates, f"minhash-candidates-{number}")
+            finished.append(path)
+            fresh = confirmed(candidates, sets)
         else:
-            grouped = blocked(open_, cell_rows).join(signatures.hint("merge"), "node")
-            candidates = survivors_in_cells(grouped, low, high)
-            low, high = high, 4 * high
-        candidates, path = saved(candidates, f"minhash-candidates-{number}")
-        finished.append(path)
-        if number >= rounds and candidates.isEmpty():
-            break
-        fresh, path = saved(confirmed(candidates, sets), f"minhash-links-{number}")
+            whole = signatures.join(sets.hint("merge"), "node")
+            fresh = links_in_cells(blocked(open_, cell_rows).join(whole.hint("merge"), "node"))
+        fresh, path = saved(fresh, f"minhash-links-{number}")
         finished.append(path)
         if not fresh.isEmpty():
             links = fresh if links is None else links.unionByName(fresh)
             roots = components(links)
-        number += 1
+            number += 1
+        else:
+            # Where representatives link nothing, those of another round hardly would.
+            number = rounds if number < rounds else rounds + 1
 
     rooted = classes.select("name", "node", "first")
     rooted = rooted.join(roots, "node", "left") if roots is not None else rooted.withColumn("root", F.col("node"))
