@@ -41,3 +41,23 @@ def test_small_source_over_many_shards(spark, short):
     for r in mixing.mixed_documents(docs, shard_words).collect():
         words[r.source] += len(r.text.split())
     assert all(abs(words[s] - goal) <= (120 if s in ("big", "medium") else short) + 2 for s, goal in goals.items())
+
+
+def test_every_shard_gives_its_part(spark):
+    """A source of which a part is taken gives words from every shard, and from none all of them."""
+    prepare(spark)
+    rows = [(i, "word " * 20, "en", "abc"[i % 3], 0) for i in range(1800)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    shards = 12
+    own = mixing.F.pmod(mixing.F.xxhash64(mixing.F.lit(mixing.SEED + 1), "doc_id", "tie"), mixing.F.lit(shards))
+    taken, present = Counter(), Counter()
+    for r in mixing.mix(docs, shard_words=len(rows) * 20 // shards).withColumn("shard", own).collect():
+        source = "abc"[r.doc_id % 3]
+        taken[source, r.shard] += r.taken
+        present[source, r.shard] += r.size
+    assert len(present) == 3 * shards
+    for source, share in (("a", 15 / 8), ("b", 6 / 8), ("c", 3 / 8)):
+        for shard in range(shards):
+            assert abs(taken[source, shard] / present[source, shard] - share) < 0.25
+        whole = sum(taken[source, shard] for shard in range(shards))
+        assert whole == pytest.approx(share * 600 * 20, abs=2)

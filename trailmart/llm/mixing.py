@@ -2,12 +2,14 @@
 
 The words of the whole corpus are seats, handed to sources by highest quotients
 target / (2 seats + 1), which gives each source an integer quota of words. Documents are
-dealt into shards by hash. The stream of a source is its documents shard by shard, in seeded
-order within each. A quota is met by whole passes over the stream and one circular stretch
-of the remaining words, which begins at a seeded block. Running totals over the shards of a
-source say which words of the stream, and so of the quota, are a shard's: what a shard cannot
-take is not lost but goes to the others, and at most two documents of a source are in part.
-A shard by itself need not meet the weights.
+dealt into shards by hash and put into seeded order within each. A round holds, of every
+shard, the documents that begin in one block of its words; the stream of a source is its rounds one
+after the other, shard by shard within each. A quota is met by whole passes over the stream and
+one circular stretch of the remaining words, which begins at a seeded block: every shard gives
+the same blocks, but for those of two rounds, so each is a mix by itself as far as it has enough
+words of a source. Running totals over rounds and groups of shards place the documents: what a
+shard cannot give is not lost but comes from the others, and at most two documents of a source
+are in part.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ MOST_REPEATS = 3
 #: Words of a block, where stretches may begin, and about how many words make a shard.
 BLOCK_WORDS = 64
 SHARD_WORDS = 500_000
+#: Shards whose documents of one round are put in order by one task.
+GROUP_SHARDS = 256
 SEED = 42
 
 
@@ -135,23 +139,38 @@ def mix(
     total = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     shards = max(1, round(total / shard_words))
     place = F.xxhash64(F.lit(seed), "doc_id", "tie")
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "tie"), F.lit(shards)))
-    parts = dealt.groupBy("shard", "source").agg(F.sum("size").alias("words")).where("words > 0")
-    # A shard's words begin in the stream of the source where those of the shards before it end.
-    before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    begins, _ = saved(parts.withColumn("begin", F.coalesce(F.sum("words").over(before), F.lit(0))), "mix-shards")
-
-    # Within a shard: its documents one after the other in seeded order.
-    stream = Window.partitionBy("shard", "source").orderBy(place, "doc_id", "tie")
-    start = F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    placed = dealt.withColumn("within", start)
-    q = begins.join(targets, begins["source"].eqNullSafe(targets["source"])).select(
-        F.col("shard").alias("q_shard"), begins["source"].alias("q_source"), "begin", "source_size", "quota"
+    shard = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "tie"), F.lit(shards))
+    # Empty texts have nothing to give and no place in a stream.
+    dealt = rows.where("size > 0").withColumn("shard", shard)
+    inside = Window.partitionBy("shard", "source").orderBy(place, "doc_id", "tie")
+    within = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    rounds = dealt.withColumn("round", F.floor(within / F.lit(block_words)))
+    rounds, _ = saved(rounds.withColumn("group", F.floor(F.col("shard") / F.lit(GROUP_SHARDS))), "mix-rounds")
+
+    # Words of a source before each of its rounds, and of a round before each group of shards.
+    parts = rounds.groupBy("source", "round", "group").agg(F.sum("size").alias("words"))
+    parts, _ = saved(parts, "mix-parts")
+    earlier = Window.partitionBy("source").orderBy("round").rowsBetween(Window.unboundedPreceding, -1)
+    begins = parts.groupBy("source", "round").agg(F.sum("words").alias("words"))
+    begins = begins.select(
+        F.col("source").alias("b_source"), F.col("round").alias("b_round"), F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("begin")
     )
-    joined = placed.join(
-        q, (placed["shard"] == q["q_shard"]) & placed["source"].eqNullSafe(q["q_source"]), "left"
+    ahead = Window.partitionBy("source", "round").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = parts.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
+    q = ahead.join(begins, ahead["source"].eqNullSafe(begins["b_source"]) & (ahead["round"] == begins["b_round"]))
+    q = q.join(targets.withColumnRenamed("source", "t_source"), q["source"].eqNullSafe(F.col("t_source"))).select(
+        F.col("source").alias("q_source"),
+        F.col("round").alias("q_round"),
+        F.col("group").alias("q_group"),
+        (F.col("begin") + F.col("ahead")).alias("begin"),
+        *("source_size", "quota"),
     )
-    joined = joined.withColumn("start", F.col("begin") + F.col("within")).withColumn("end", F.col("start") + F.col("size"))
+    turn = Window.partitionBy("source", "round", "group").orderBy("shard", place, "doc_id", "tie")
+    behind = F.sum("size").over(turn.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    placed = rounds.withColumn("behind", behind)
+    own = placed["source"].eqNullSafe(q["q_source"]) & (placed["round"] == q["q_round"]) & (placed["group"] == q["q_group"])
+    joined = placed.join(q, own).withColumn("start", F.col("begin") + F.col("behind"))
+    joined = joined.withColumn("end", F.col("start") + F.col("size"))
     passes = F.floor(F.col("quota") / F.col("source_size"))
     rest = F.col("quota") - passes * F.col("source_size")
     blocks = F.ceil(F.col("source_size") / F.lit(block_words))
@@ -162,7 +181,8 @@ def mix(
         + overlap(low, F.least(high, F.col("source_size")), F.col("start"), F.col("end"))
         + overlap(F.lit(0), high - F.col("source_size"), F.col("start"), F.col("end"))
     )
-    mixed = joined.select("doc_id", "source", "size", "tie", F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
+    mixed = joined.select("doc_id", "source", "size", "tie", taken.cast("long").alias("taken"))
+    mixed = mixed.unionByName(rows.where("size = 0").withColumn("taken", F.lit(0).cast("long")))
     t = targets.select(F.col("source").alias("t_source"), "source_size", "target")
     return mixed.join(t, mixed["source"].eqNullSafe(t["t_source"])).select(
         "doc_id", "size", "source_size", "target", "taken", "tie"
