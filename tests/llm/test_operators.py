@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -235,6 +236,29 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_that_are_stars_cost_one_table(spark, monkeypatch):
+    """Stars are known as such when neighbours are counted; other rounds never add rows."""
+    module = sys.modules[components.__module__]
+    stored, save = [], module.saved
+
+    def counting(df, label, *given):
+        table, path = save(df, label, *given)
+        stored.append((label, table.count()))
+        return table, path
+
+    monkeypatch.setattr(module, "saved", counting)
+    stars = [(10, 11 + i) for i in range(20)] + [(51 + i, 50) for i in range(20)] + [(51, 50), (7, 7)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(stars, "u long, v long")).collect()}
+    assert found == {x: r for x, r in roots_of(stars).items() if x != 7} and stored == [("components-ends", 42)]
+    stored.clear()
+    rnd = random.Random(3)
+    links = [(900 - i, 901 - i) for i in range(60)] + [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] * 2
+    found = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
+    linked = {x for link in links if link[0] != link[1] for x in link}
+    assert found == {x: r for x, r in roots_of(links).items() if x in linked}
+    assert all(n <= len(links) for label, n in stored if label == "components")
+
+
 # Toxicity
 
 

@@ -141,6 +141,32 @@ def test_a_crowd_just_below_the_threshold_makes_no_pairs(spark, monkeypatch):
     assert pairs <= 10 * len(rows)
 
 
+def test_candidates_move_once_after_they_are_dealt(spark, monkeypatch):
+    """A round deals members by cell, then by node, and moves its pairs once more to their representatives."""
+    prepare(spark)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(i, " ".join(base[:k] + [f"v{i}"] + base[k + 1 :])) for i, k in enumerate(range(5, 195, 10))]
+    plans, save = {}, minhash.saved
+
+    def noting(df, label, *given):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return save(df, label, *given)
+
+    monkeypatch.setattr(minhash, "saved", noting)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = grouped(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))  # noqa: F811
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert as_multiset(found) == as_multiset(brute_groups(rows))
+    dealt = re.findall(r"Exchange hashpartitioning\((\w+)#", plans["minhash-candidates-0"])
+    # Two sides by cell, two by the member's node, two by the representative.
+    assert len(dealt) == 6 and dealt.count("cell") == dealt.count("v") == 2
+    # All are linked in the first round; the next one finds nothing, and no round stores its members anew.
+    assert not [label for label in plans if label.startswith("minhash-open-")]
+
+
 def test_exact_comparison_of_two_sets():
     numbers = np.arange(100, dtype=np.uint64)
     assert minhash.similar(numbers, numbers[:85]) and minhash.similar(numbers[15:], numbers)

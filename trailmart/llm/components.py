@@ -8,48 +8,45 @@ from pyspark.sql import functions as F
 from trailmart.llm.common import delete, saved
 
 
-def signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first())
+def neighbours(edges: DataFrame) -> DataFrame:
+    """node, low, high: the smallest and the largest neighbour of every node; one row per node."""
+    both = edges.selectExpr("inline(array(named_struct('node', u, 'to', v), named_struct('node', v, 'to', u)))")
+    return both.groupBy("node").agg(F.min("to").alias("low"), F.max("to").alias("high"))
 
 
-def large_star(edges: DataFrame) -> tuple[DataFrame, str]:
+def large_star(edges: DataFrame, ends: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours.
 
-    The smallest neighbours are stored first (their path is returned too): the join then
-    has two plain sides, and AQE splits a node that has a large part of all edges.
+    The join has two plain sides, so AQE splits a node that has a large part of all edges.
     """
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-    least, path = saved(least, "components-least")
-    joined = both.where("v > u").join(least, F.col("u") == F.col("c"))
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")), path
+    joined = edges.join(ends.select(F.col("node").alias("v"), F.least("node", "low").alias("m")), "v")
+    return joined.select("u", F.col("m").alias("v"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
-    """Link a node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
-    moved = edges.join(least, edges["u"] == least["c"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select(F.col("c").alias("u"), F.col("m").alias("v")))
+    """Link a node and its smaller neighbours to the smallest of them; as many rows as ``edges``."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    moved = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+    return edges.join(least, "u").select(moved.alias("u"), F.col("m").alias("v"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root (smallest node of its component) for every node with an edge (u, v).
 
+    ``edges`` are read more than once, so they should be a stored table; repeated ones do no harm.
     Each round is written to the shared folder. Rounds grow with the logarithm of the
-    number of nodes; what moves per round is at most the edges.
+    number of nodes; what moves per round is at most the edges. They end when every node has
+    either larger neighbours only or a single, smaller one: then all components are stars.
     """
     spark = edges.sparkSession
     high, low = F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
-    current, path = saved(edges.where("u <> v").select(high, low).distinct(), "components")
-    before = signature(current)
-    while before[0]:
-        larger, least_path = large_star(current)
-        following, next_path = saved(small_star(larger).distinct(), "components")
-        after = signature(following)
-        delete(spark, path, least_path)
-        current, path = following, next_path
-        if after == before:
+    current, current_path = edges.where("u <> v").select(high, low), []
+    while True:
+        ends, ends_path = saved(neighbours(current), "components-ends")
+        if ends.where("low < node and low < high").isEmpty():
             break
-        before = after
-    roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.union(roots.select(F.col("root").alias("node"), "root")).distinct()
+        following, next_path = saved(small_star(large_star(current, ends)), "components")
+        delete(spark, ends_path, *current_path)
+        current, current_path = following, [next_path]
+    delete(spark, *current_path)
+    return ends.select("node", F.least("node", "low").alias("root"))

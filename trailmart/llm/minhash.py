@@ -162,7 +162,10 @@ def bytes_of(column: pa.Array) -> np.ndarray:
 
 
 def surviving(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """u, v of the pairs that sequential verification does not rule out."""
+    """u, v of the pairs that sequential verification does not rule out.
+
+    ``pairs`` come dealt by u, so only the join by v moves them.
+    """
     needed = least_agreement()
 
     def screen(batches):
@@ -189,9 +192,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def with_components(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     """cell, node, met, comp of every member; nodes without links are components of their own."""
-    if roots is None:
-        return members.withColumn("comp", F.col("node"))
-    return members.join(roots, "node", "left").select("cell", "node", "met", F.coalesce("root", "node").alias("comp"))
+    rooted = members.withColumn("root", F.col("node")) if roots is None else members.join(roots, "node", "left")
+    return rooted.select(F.explode("cells").alias("cell"), "node", "met", F.coalesce("root", "node").alias("comp"))
 
 
 def open_cells(members: DataFrame) -> DataFrame:
@@ -201,15 +203,18 @@ def open_cells(members: DataFrame) -> DataFrame:
 
 
 def pairs_with_representatives(members: DataFrame, number: int) -> DataFrame:
-    """Every member with the first few representatives its cells have in this round, if of another component."""
+    """u, v: every member with the first few representatives its cells have in this round, if of another component.
+
+    A pair comes twice where both represent a cell of the other.
+    """
     chance = F.xxhash64("node", F.lit(number))
     order = F.struct((-F.col("met") if number == 0 else F.lit(0).cast("long")).alias("met"), chance.alias("chance"))
     chosen = members.groupBy("cell").agg(F.min(F.struct(order.alias("order"), "node", "comp")).alias("r"))
     met = members.join(chosen, "cell").where(F.col("comp") != F.col("r.comp"))
     # A node has at most one representative per band.
     first = F.slice(F.array_sort(F.collect_set(F.struct("r.order", "r.node"))), 1, REPRESENTATIVES)
-    few = met.groupBy("node").agg(F.explode(first).alias("r"))
-    return few.select(F.least("node", "r.node").alias("u"), F.greatest("node", "r.node").alias("v")).distinct()
+    few = met.groupBy(F.col("node").alias("u")).agg(first.alias("few"))
+    return few.select("u", F.explode("few.node").alias("v"))
 
 
 def blocked(members: DataFrame, limit: int) -> DataFrame:
@@ -325,45 +330,43 @@ def near_duplicates(docs: DataFrame, cell_rows: int = CELL_ROWS, rounds: int = R
     first = F.min(F.struct("id", "tie")).alias("first")
     classes = rows.where("size > 0").groupBy("name").agg(first, F.any_value("bands").alias("bands"))
     classes, classes_path = saved(classes.withColumn("node", F.monotonically_increasing_id()), "minhash-classes")
-    signatures = classes.select("node", "bands")
-
-    banded = signatures.select("node", F.posexplode("bands").alias("band", "part"))
-    cells, cells_path = saved(banded.select(F.xxhash64("band", "part").alias("cell"), "node"), "minhash-cells")
+    banded = classes.select("node", F.posexplode("bands").alias("band", "part"))
+    cells = banded.select(F.xxhash64("band", "part").alias("cell"), "node")
     crowded = cells.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    shared, shared_path = saved(cells.join(crowded, "cell"), "minhash-shared")
-    meets = shared.groupBy("node").agg(F.sum("n").alias("met"))
-    members, members_path = saved(shared.drop("n").join(meets, "node").select("cell", "node", "met"), "minhash-members")
+    shared = cells.join(crowded, "cell").groupBy("node").agg(F.collect_list("cell").alias("cells"), F.sum("n").alias("met"))
+    members, members_path = saved(shared, "minhash-members")
 
-    # Whole sets of classes that meet others, from one text each.
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "first.id", "first.tie")
+    # Signatures and whole sets of classes that meet others, from one text each.
+    wanted = classes.join(members.select("node"), "node", "left_semi").select("node", "bands", "first.id", "first.tie")
     texts = docs.select(own_id, tie, "text").join(wanted.hint("merge"), ["id", "tie"])
-    once = texts.groupBy("node").agg(F.any_value("text").alias("text"))
-    sets, sets_path = saved(once.select("node", shingle_set(F.col("text")).alias("shingles")), "minhash-sets")
-    finished = [cells_path, shared_path, members_path, sets_path]
+    # Rows of a text lie together already.
+    once = texts.groupBy("id", "tie", "node").agg(F.any_value("bands").alias("bands"), F.any_value("text").alias("text"))
+    sets, sets_path = saved(once.select("node", "bands", shingle_set(F.col("text")).alias("shingles")), "minhash-sets")
+    signatures, finished = sets.select("node", "bands"), [members_path, sets_path]
 
-    links, roots, number = None, None, 0
+    roots, number = None, 0
     while number <= rounds:
-        open_, path = saved(open_cells(with_components(members, roots)), f"minhash-open-{number}")
-        finished.append(path)
-        if open_.isEmpty():
-            break
+        placed = with_components(members, roots)
         if number < rounds:
-            candidates = surviving(pairs_with_representatives(open_, number), signatures)
+            candidates = surviving(pairs_with_representatives(placed, number), signatures)
             candidates, path = saved(candidates, f"minhash-candidates-{number}")
             finished.append(path)
             fresh = confirmed(candidates, sets)
         else:
-            whole = signatures.join(sets.hint("merge"), "node")
-            fresh = links_in_cells(blocked(open_, cell_rows).join(whole.hint("merge"), "node"))
+            open_, path = saved(open_cells(placed), "minhash-open")
+            finished.append(path)
+            if open_.isEmpty():
+                break
+            fresh = links_in_cells(blocked(open_, cell_rows).join(sets.hint("merge"), "node"))
         fresh, path = saved(fresh, f"minhash-links-{number}")
         finished.append(path)
         if not fresh.isEmpty():
-            links = fresh if links is None else links.unionByName(fresh)
-            roots = components(links)
+            # What earlier rounds have joined is a star by now.
+            roots = components(fresh if roots is None else fresh.unionByName(roots.toDF("v", "u")))
             number += 1
         else:
             # Where representatives link nothing, those of another round hardly would.
-            number = rounds if number < rounds else rounds + 1
+            number = max(rounds, number + 1)
 
     rooted = classes.select("name", "node", "first")
     rooted = rooted.join(roots, "node", "left") if roots is not None else rooted.withColumn("root", F.col("node"))

@@ -208,12 +208,12 @@ def near_duplicates(docs: DataFrame, bits: int = MAX_BITS, cell_rows: int = CELL
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "tie")).alias("first")
     classes, classes_path = saved(marked.groupBy("fp").agg(first), "simhash-classes")
     cells, cells_path = saved(grid(classes.select("fp")), "simhash-cells")
-    links = links_in_cells(blocked(cells, cell_rows), bits)
+    links, links_path = saved(links_in_cells(blocked(cells, cell_rows), bits).distinct(), "simhash-links")
     roots = components(links).select(F.col("node").alias("fp"), "root")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("chosen"))
     members, _ = saved(rooted.select("fp", "root").join(smallest, "root").select("fp", "chosen"), "simhash-members")
-    discard(spark, cells_path, classes_path)
+    discard(spark, cells_path, classes_path, links_path)
     own_id = F.coalesce("doc_id", F.lit(LAST_ID))
     return marked.join(members, "fp").select(
         "doc_id",
